@@ -48,7 +48,7 @@ def targets(sizes: DataFrame, share: float = SHARE, weights: tuple[int, ...] = W
     rows = rows.withColumn("stops", stops)
     full = F.sum(F.when(F.col("stops"), F.col("cap")).otherwise(0.0)).over(everything)
     free = F.sum(F.when(F.col("stops"), 0.0).otherwise(F.col("weight"))).over(everything)
-    target = F.when(F.col("stops"), F.col("cap")).otherwise((F.col("total") - full) * F.col("weight") / free)
+    target = F.when(F.col("stops"), F.col("cap")).otherwise(F.try_divide((F.col("total") - full) * F.col("weight"), free))
     return rows.select("source", "source_size", target.alias("target"))
 
 
@@ -65,14 +65,14 @@ def balance(counts: DataFrame, goals: DataFrame, tolerance: float = 1e-7, most_r
     become bisections. Sums are of decimals, so that reruns agree to the last digit. A null
     multiplier stands for infinity: the source's target is its ceiling, or it has no words.
     """
-    scale = (F.sum((F.col("n") * F.col("size") * F.col("size")).cast("double").cast(_EXACT)) / F.sum((F.col("n") * F.col("size")).cast(_EXACT))).cast("double")
+    scale = (F.sum((F.col("n") * F.col("size") * F.col("size")).cast("double").cast(_EXACT)) / F.nullif(F.sum((F.col("n") * F.col("size")).cast(_EXACT)), F.lit(0).cast(_EXACT))).cast("double")
     least = F.min(F.when(F.col("size") > 0, F.col("size")))
     shapes = counts.groupBy(F.col("source").alias("s")).agg(scale.alias("scale"), least.alias("least"))
     state = goals.join(shapes, goals["source"].eqNullSafe(shapes["s"]))
     ends = (F.col("source_size") == 0) | (F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12))
     hi = F.log(F.lit(float(MOST))) * F.col("scale") / F.col("least")
     # exp() of the lower end is so small that even a source of 1e18 words would be taken less than once
-    state = materialize(state.select("source", "target", "scale", F.when(~ends, F.log(F.col("target") / F.col("source_size"))).alias("multiplier"), (F.lit(-64.0) * F.col("scale") / F.col("least")).alias("lo"), hi.alias("hi"), ends.alias("done")), "dual")
+    state = materialize(state.select("source", "target", "scale", F.when(~ends, F.log(F.try_divide("target", "source_size"))).alias("multiplier"), (F.lit(-64.0) * F.col("scale") / F.col("least")).alias("lo"), hi.alias("hi"), ends.alias("done")), "dual")
     for _ in range(most_rounds):
         if state.where(~F.col("done")).isEmpty():
             break
