@@ -1,22 +1,62 @@
-"""The corpus pipeline: rules, line dedup, near-dedup, mixing, packing, one after another."""
+"""The corpus pipeline: rules, line dedup, near-dedup, mixing, packing, one after another.
+
+Every stage but the last returns the columns of ``documents``; see each operator for what
+it does with nulls, empty texts and repeated rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from framequery.llm import line_dedup, mixing, packing, quality_rules, simhash
+from framequery.llm.common import materialize
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-#: The rounding of learned thresholds and tokenizing have no SQL form; tests hold run() against brute force.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the learned list reject go; operator 4."""
+    return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated chunks of lines are cut from the texts; operator 1."""
+    return line_dedup.dedup_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, that of least doc_id; operator 3."""
+    return simhash.keep_one(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; operator 8."""
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces, each with its sequence and offset; operator 10."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("SimHash near-dedup", near_duplicates),
+    ("mixing sources to target weights", mixture),
+    ("best-fit packing", packing_stage),
+]
+
+#: SQL expresses neither the learned rules nor the tokenizer; tests hold run() against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the documents table, in order."""
+    """Apply the stages to the documents table, each to what the one before it wrote."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
