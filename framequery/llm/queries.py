@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, packing, quality_rules, simhash, token_files
+from . import line_dedup, mixing, packing, quality_rules, simhash, token_counts, token_files
 from .common import scratch
 
 
@@ -39,6 +39,10 @@ def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_token_files": op6_token_files,
     "op8_entropy_mix": op8_entropy_mix,
+    "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
