@@ -10,6 +10,8 @@ from framequery.llm import token_files
 from framequery.llm.common import scratch
 from framequery.llm.tokens import Encoder
 from pyspark.sql import functions as F
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,3 +59,13 @@ def test_kept_units_change_nothing(monkeypatch):
     own = Encoder(PATH)
     for t in [*ODD, "the cat. the cat, the\ncat", "tail words"]:
         assert list(own.encode([t, "the cat.", t])) == [own.whole(t), own.whole("the cat."), own.whole(t)]
+
+
+OWN = {name: Encoder(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "word_bpe_49k.json")}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "The", "é", " ", " ", "\n", "\n", ".", ",", "!", "'s", "'", "1", "\t", "\xa0", "\u3000", "\x1c", "́", "|", "Σ", "😀"]), max_size=25).map("".join))
+def test_any_mixture_of_spaces_and_signs(text):
+    for own in OWN.values():
+        assert list(own.encode([text])) == [own.whole(text) if text else b""]
