@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, packing, quality_rules, simhash, token_counts, token_files
+from . import line_dedup, mixing, packing, pii, quality_rules, simhash, token_counts, token_files
 from .common import scratch
 
 
@@ -20,6 +20,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, count_col="lines_cut")
 
 
+#: The permutation's secret; a real run passes its own.
+PSEUDONYM_KEY = "registered query"
+
+
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PSEUDONYM_KEY, count_col="n_values")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +58,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii_pseudonyms": op2_pii_pseudonyms,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_token_files": op6_token_files,
