@@ -1,23 +1,29 @@
 """Whole-text token ids by the tokenizers library, with the ids of recurring words kept.
 
-In both public vocabularies a space always begins a new pre-token, so a text's ids are
-those of its space-led units one after another. Most units recur, so a worker keeps their
-ids; new ones are cut into parts, and the new parts of a batch are encoded in few calls, divided by a special token. Texts
-where spaces meet other white space, or that hold a special token's own string, take the
-plain way through the library.
+A text is cut only where the pre-tokens of both public vocabularies always end: before a
+space, around a line feed, between a letter and the punctuation that closes a word. Its ids
+are then those of its parts one after another. Most parts recur, so a worker keeps their
+ids; the new ones of a batch are encoded together, divided by a special token. Texts with
+other white space, or with a special token's own string, take the plain way through the
+library.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 
-#: Units kept by a worker before it starts afresh; about 200 bytes each.
-MOST_KEPT = 700_000
+#: Parts kept by a worker before it starts afresh; about 200 bytes each.
+MOST_KEPT = 900_000
 _CHUNK = 512
-_CLOSING = ".,;:!?#$%&*|"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_CLOSING = re.escape(".,;:!?#$%&*|")
+#: A word of known letters up to its punctuation; that punctuation; a line feed between other
+#: signs; anything else up to white space; white space in any other place.
+_PARTS = re.compile(rf" ?[{_LETTERS}]++(?=[ \n{_CLOSING}]|\Z)|[{_CLOSING}]++(?=[ \n{_LETTERS}]|\Z)|\n(?=\S)| ?\S+|\s+")
 
 _encoders: dict[str, Encoder] = {}
 
@@ -34,71 +40,34 @@ class Encoder:
         self.divider_id, divider = next(iter(sorted(special.items())))
         self.divider = divider.content
         self.marks = [t.content for t in special.values()]
-        # by unit and by part: the string after its space, or a space and the string if none leads it
         self.kept: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         """The ids of one text straight from the library."""
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    @staticmethod
-    def _parts(unit: str) -> list[str]:
-        """A unit cut where pre-tokens always end: around a line feed between other signs, and
-        between a letter and the punctuation that closes a word. Parts recur more than units."""
-        parts = [unit]
-        if "\n" in unit:
-            lines = unit.split("\n")
-            if all(x and x == x.strip() for x in lines):
-                parts = [lines[0], *(p for x in lines[1:] for p in (" \n", " " + x))]
-        out = []
-        for part in parts:
-            stem = part.rstrip(_CLOSING)
-            if stem != part and stem and stem[-1].isalpha():
-                out += (stem, " " + part[len(stem) :])
-            else:
-                out.append(part)
-        return out
-
-    def _learn(self, units: set[str]) -> None:
-        """Keep the ids of new units: those of their parts, of which new ones are encoded together."""
-        if len(self.parts) > MOST_KEPT:
-            self.parts = {}
-        cut = {u: self._parts(u) for u in units}
-        new = sorted(set().union(*cut.values()).difference(self.parts))
-        for at in range(0, len(new), _CHUNK):
-            part = new[at : at + _CHUNK]
-            joined = self.divider.join(u[1:] if u[0] == " " else " " + u for u in part)
-            ids = np.asarray(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+    def _learn(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), _CHUNK):
+            some = parts[at : at + _CHUNK]
+            ids = np.asarray(self.library.encode_batch_fast([self.divider.join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.divider_id), len(ids))
             starts = np.append(0, ends[:-1] + 1)
             raw = ids.tobytes()
-            self.parts |= {u: raw[4 * s : 4 * e] for u, s, e in zip(part, starts.tolist(), ends.tolist(), strict=True)}
-        for u, own in cut.items():
-            self.kept[u] = self.parts[own[0]] if len(own) == 1 else b"".join(map(self.parts.__getitem__, own))
-
-    @staticmethod
-    def _loose(unit: str) -> bool:
-        """Whether white space beside the unit's space may join it to one longer run."""
-        return unit[-1].isspace() and unit != " " or unit[0].isspace() and unit[0] != " "
+            self.kept |= {p: raw[4 * s : 4 * e] for p, s, e in zip(some, starts.tolist(), ends.tolist(), strict=True)}
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text; a null or empty one has none."""
-        split: list[list[str]] = []
-        for text in texts:
-            units = [] if not text or any(m in text for m in self.marks) else text.split(" ")
-            if units:
-                units[0] = " " + units[0]
-            split.append(units)
-        used = set().union(*split)
+        cut = [_PARTS.findall(t) if t and not any(m in t for m in self.marks) else [] for t in texts]
+        used = set().union(*cut)
         if len(self.kept) > MOST_KEPT:
             self.kept = {}
         new = used.difference(self.kept)
-        loose = {u for u in new if not u or u.strip() != u and self._loose(u)}
-        self._learn(new - loose)
-        for text, units in zip(texts, split, strict=True):
-            if units and (not loose or loose.isdisjoint(units)):
-                yield b"".join(map(self.kept.__getitem__, units))
+        # white space that isn't a lone line feed may make a longer pre-token
+        loose = {p for p in new if p.isspace() and p != "\n"}
+        self._learn(sorted(new - loose))
+        for text, parts in zip(texts, cut, strict=True):
+            if parts and (not loose or loose.isdisjoint(parts)):
+                yield b"".join(map(self.kept.__getitem__, parts))
             else:
                 yield self.whole(text) if text else b""
 
