@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, mixing, packing, pii, quality_rules, simhash, token_counts, token_files
+from . import ann, line_dedup, mixing, packing, pii, quality_classifier, quality_rules, simhash, token_counts, token_files
 from .common import scratch
 
 
@@ -49,6 +49,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(spark, path)
 
 
+def op7_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_multiprobe_neighbours": op5_multiprobe_neighbours,
     "op6_token_files": op6_token_files,
+    "op7_cotrained_quality": op7_cotrained_quality,
     "op8_entropy_mix": op8_entropy_mix,
     "op9_token_counts": op9_token_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
