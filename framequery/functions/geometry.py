@@ -149,10 +149,12 @@ def se3_log(p: Pose) -> tuple[Vec, Vec]:
 
 
 class Camera(NamedTuple):
-    fx: Column
-    fy: Column
-    cx: Column
-    cy: Column
+    """Focal lengths and principal point, as numbers or columns."""
+
+    fx: Column | float
+    fy: Column | float
+    cx: Column | float
+    cy: Column | float
 
     def ray(self, u: Column, v: Column) -> Vec:
         """The point at depth one that pixel (u, v) sees."""

@@ -12,7 +12,7 @@ from framequery.sources.frames import grid, poses, sql
 
 from .registry import query
 
-CAM = g.Camera(*(F.lit(x) for x in (8.0, 8.0, 4.0, 4.0)))
+CAM = g.Camera(8.0, 8.0, 4.0, 4.0)
 
 _RELIABLE = """reliable AS (SELECT a.frame_idx, a.r, a.c FROM grid a JOIN grid b ON a.frame_idx = b.frame_idx AND abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2
 GROUP BY ALL HAVING (max(b.depth) - min(b.depth)) / (sum(b.depth) / 25 + 1e-8) < 0.1)"""
