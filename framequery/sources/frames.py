@@ -40,7 +40,7 @@ def edges(spark: SparkSession, sf_dir: str, radius: int = 3) -> DataFrame:
     """(i, j): keyframes at most ``radius`` apart, both ways, found by offset rather than by pairing all."""
     k = keyframes(spark, sf_dir).select(F.col("kf_idx"))
     offsets = F.array(*[F.lit(d) for d in range(-radius, radius + 1) if d])
-    near = k.select(F.col("kf_idx").alias("i"), (F.col("kf_idx") + F.explode(offsets)).alias("j"))
+    near = k.select(F.col("kf_idx").alias("i"), F.explode(F.transform(offsets, lambda d: F.col("kf_idx") + d)).alias("j"))
     return near.join(k, near["j"] == k["kf_idx"], "left_semi")
 
 
