@@ -26,4 +26,4 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
-from . import depth_maps, geometry_rows, joins  # noqa: E402, F401
+from . import depth_maps, geometry_rows, joins, stream_rows  # noqa: E402, F401
