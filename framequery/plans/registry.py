@@ -26,4 +26,4 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
-from . import depth_maps, geometry_rows, joins, reductions, stream_rows, windows  # noqa: E402, F401
+from . import depth_maps, geometry_rows, graphs, joins, reductions, solver, stream_rows, windows  # noqa: E402, F401
