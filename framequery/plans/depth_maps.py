@@ -10,7 +10,7 @@ from framequery.functions import geometry as g
 from framequery.operators import neighbourhood as n
 from framequery.sources.frames import grid, poses, sql
 
-from .registry import query
+from .catalog import query
 
 CAM = g.Camera(8.0, 8.0, 4.0, 4.0)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from framequery.functions import geometry as g
 from framequery.sources.frames import grid, poses, sql, streams
 
-from .registry import query
+from .catalog import query
 
 CAM = g.Camera(8.0, 8.0, 4.0, 4.0)
 _MATRIX = {"m00": "1 - 2 * (qy * qy + qz * qz)", "m01": "2 * (qx * qy - qz * qw)", "m02": "2 * (qx * qz + qy * qw)", "m03": "tx", "m10": "2 * (qx * qy + qz * qw)", "m11": "1 - 2 * (qx * qx + qz * qz)", "m12": "2 * (qy * qz - qx * qw)", "m13": "ty", "m20": "2 * (qx * qz - qy * qw)", "m21": "2 * (qy * qz + qx * qw)", "m22": "1 - 2 * (qx * qx + qy * qy)", "m23": "tz"}

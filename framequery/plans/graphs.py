@@ -10,7 +10,7 @@ from framequery.functions import geometry as g
 from framequery.operators import neighbourhood as n
 from framequery.sources.frames import edges, grid, poses, sql, streams
 
-from .registry import query
+from .catalog import query
 
 _AGED = "aged AS (SELECT i, j, (i * 7 + j * 3) % 30 AS age FROM edges)"
 

@@ -10,7 +10,7 @@ from framequery.functions import geometry as g
 from framequery.operators import lookups
 from framequery.sources.frames import edges, grid, keyframes, poses, sql, streams, tracks
 
-from .registry import query
+from .catalog import query
 
 CAM = g.Camera(8.0, 8.0, 4.0, 4.0)
 _EKF = "ekf AS (SELECT stream_id, ts, raw_frame_idx FROM streams WHERE phrase = 'signup')"

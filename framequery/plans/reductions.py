@@ -10,7 +10,7 @@ from framequery.functions import geometry as g
 from framequery.operators import scatter
 from framequery.sources.frames import edges, grid, poses, sql, streams, table
 
-from .registry import query
+from .catalog import query
 
 
 @query("SELECT l_suppkey AS idx, round(sum(l_quantity), 3) + 0.0 AS total FROM lineitem GROUP BY ALL")

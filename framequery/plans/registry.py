@@ -1,29 +1,8 @@
-"""Names every query of the library; the modules beside this one register theirs."""
+"""Every query of the library, by importing the modules that register them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+from . import depth_maps, geometry_rows, graphs, joins, maps, reductions, solver, stream_rows, windows    # noqa: F401
+from .catalog import ORACLE_SQL, QUERIES  # noqa: F401
 
 FLAGSHIP = "points_from_depth"
-
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with its SQL if it has one."""
-
-    def keep(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if oracle is not None:
-            ORACLE_SQL[f.__name__] = oracle
-        return f
-
-    return keep
-
-
-from . import depth_maps, geometry_rows, graphs, joins, reductions, solver, stream_rows, windows  # noqa: E402, F401

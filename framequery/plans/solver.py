@@ -10,7 +10,7 @@ from framequery.operators import bundle
 from framequery.sources.frames import edges, grid, poses, sql
 
 from .joins import _FLOW, CAM, FLOW_VIEWS
-from .registry import query
+from .catalog import query
 
 _RES = "res AS (SELECT i, j, r, c, c + 0.3 + 0.05 * (j - i) - u AS ru, r - 0.2 * (j - i) - w AS rv, 0.2 + 0.03 * (r + c) AS weight FROM flow WHERE seen)"
 

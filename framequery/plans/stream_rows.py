@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from framequery.functions import geometry as g
 from framequery.sources.frames import grid, poses, sql, streams, table
 
-from .registry import query
+from .catalog import query
 
 
 @query(sql("streams", "SELECT stream_id, frame_idx, raw_frame_idx, (frame_idx - 2) // 3 AS new_idx FROM streams WHERE frame_idx >= 2 AND frame_idx < 50 AND (frame_idx - 2) % 3 = 0"))

@@ -10,7 +10,7 @@ from framequery.functions import geometry as g
 from framequery.operators import sequences
 from framequery.sources.frames import grid, poses, sql, streams, table
 
-from .registry import query
+from .catalog import query
 
 
 @query(sql("streams", "SELECT stream_id, frame_idx, round(pow(0.9::DOUBLE, frame_idx) * (first_value(ln(1 + score)) OVER w + sum(CASE WHEN frame_idx > 0 THEN 0.1::DOUBLE * ln(1 + score) * pow(0.9::DOUBLE, -frame_idx) ELSE 0 END) OVER w), 4) + 0.0 AS ema FROM streams WHERE frame_idx < 200 WINDOW w AS (PARTITION BY stream_id ORDER BY frame_idx)"))

@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 from framequery.functions import geometry as g
-from framequery.operators import bundle, lookups, scatter, sequences
+from framequery.operators import alignment, bundle, lookups, scatter, sequences
+from framequery.plans import maps
+from framequery.sources import frames
 from framequery.streaming import replay
 from pyspark.sql import functions as F
 
@@ -191,3 +193,50 @@ def test_elimination_against_the_dense_system(spark):
         t = b[:6] - h[:6, 6:] @ c @ b[6:]
         assert np.allclose([out[f"s{p}{q}"] for p in range(6) for q in range(p, 6)], [s[p, q] for p in range(6) for q in range(p, 6)])
         assert np.allclose([out[f"b{p}"] for p in range(6)], t)
+
+
+def test_similarity_is_found(spark):
+    rng = np.random.default_rng(12)
+    a = rng.normal(size=(40, 3))
+    q = rng.normal(size=4)
+    rot = _quat_matrix(q / np.linalg.norm(q))
+    b = 1.7 * a @ rot.T + [1, -2, 0.5]
+    df = spark.createDataFrame([(0, *map(float, x), *map(float, y)) for x, y in zip(a, b, strict=True)] + [(1, *[1.0] * 6)] * 3, "k long, " + ", ".join(f"{s}_{x} double" for s in "ab" for x in "xyz"))
+    got = {r.k: r for r in alignment.similarity(df, "k").collect()}
+    assert got[0].scale == pytest.approx(1.7)
+    assert np.allclose([[got[0][f"r{p}{q}"] for q in range(3)] for p in range(3)], rot)
+    assert np.allclose([got[0].tx, got[0].ty, got[0].tz], [1, -2, 0.5])
+    assert got[1].scale == 1.0
+
+
+def test_greedy_edges_keep_apart(spark):
+    rng = np.random.default_rng(13)
+    rows = [(int(k), int(i), int(j), float(rng.random())) for k in range(2) for i in range(15) for j in range(i + 1, min(15, i + 8))]
+    df = spark.createDataFrame(rows, "k long, i long, j long, d double")
+    got = sorted((r.k, r.i, r.j) for r in alignment.greedy_edges(df, "k", 2, 6).collect())
+    want = []
+    for k in range(2):
+        taken = []
+        for d, i, j in sorted((d, i, j) for g_, i, j, d in rows if g_ == k):
+            if len(taken) < 6 and all(abs(i - p) + abs(j - q) > max(min(abs(i - j) - 2, 2), 0) for p, q in taken):
+                taken.append((i, j))
+        want += [(k, *t) for t in taken]
+    assert got == sorted(want)
+
+
+def test_bundle_rounds_lower_the_energy(spark, sf):
+    p = frames.poses(spark, sf).where("frame_idx % 5 = 0 AND frame_idx < 40")
+    cams = p.select((F.col("frame_idx") / 5).cast("long").alias("k"), *[c.alias(m) for m, c in g.inverse(g.pose()).named().items()])
+    px = frames.grid(spark, sf).where("frame_idx % 5 = 0 AND frame_idx < 40").select((F.col("frame_idx") / 5).cast("long").alias("i"), "r", "c", "disp")
+    e = frames.edges(spark, sf).where("i < 8 AND j < 8")
+    targets = px.select("i", "r", "c").join(e, "i").select("i", "j", "r", "c", (F.col("c") + 0.03 * (F.col("j") - F.col("i"))).alias("tu"), (F.col("r") - 0.02 * (F.col("j") - F.col("i"))).alias("tv"), F.lit(0.07).alias("weight"))
+
+    def energy():
+        named = lambda k: cams.select(F.col("k").alias(k), *[F.col(m).alias(f"{k}_{m}") for m in g.Pose._fields])
+        pairs = e.join(named("i"), "i").join(named("j"), "j").select("i", "j", *[c.alias(f"r_{m}") for m, c in g.compose(g.pose("j_"), g.inverse(g.pose("i_"))).named().items()])
+        return bundle.residuals(px, pairs, targets, maps.CAM).agg(F.sum(F.col("weight") * (F.col("ru") * F.col("ru") + F.col("rv") * F.col("rv")))).first()[0]
+
+    before = energy()
+    cams, px = (d.cache() for d in maps.bundle_round(cams, px, e, targets))
+    after = energy()
+    assert after < 0.9 * before
