@@ -74,16 +74,19 @@ def salts_for(n_rows: int, rows_per_salt: int = 4096, most: int = 65536) -> int:
     return min(most, max(8, math.ceil(n_rows / rows_per_salt)))
 
 
-def salted_rank(df: DataFrame, keys: list[str], order: list[Column], salt_on: list[str], out: str, n_salts: int) -> DataFrame:
+def salted_rank(df: DataFrame, keys: list[str], order: list[Column], salt_on: list[str], out: str, n_salts: int, narrow: DataFrame | None = None) -> DataFrame:
     """Number the rows of each key from 0 without bringing a key's rows into one task.
 
     A row's salt is a hash of ``salt_on``. Rows are numbered within (key, salt) by
     ``order``, after the rows of the key's lower salts, whose counts are summed first.
     Rows that tie in ``order`` must be interchangeable. Null keys form groups of their own.
+    ``narrow`` may give the keys and ``salt_on`` of the same rows from a cheaper place, to count.
     """
     salt = f"{out}_salt"
-    salted = df.withColumn(salt, F.pmod(F.xxhash64(*salt_on), F.lit(n_salts)))
-    counts = salted.groupBy(*keys, salt).agg(F.count(F.lit(1)).alias(f"{out}_n"))
+    salting = F.pmod(F.xxhash64(*salt_on), F.lit(n_salts))
+    salted = df.withColumn(salt, salting)
+    counted = salted if narrow is None else narrow.withColumn(salt, salting)
+    counts = counted.groupBy(*keys, salt).agg(F.count(F.lit(1)).alias(f"{out}_n"))
     below = Window.partitionBy(*keys).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         *[F.col(k).alias(f"{out}_k{i}") for i, k in enumerate(keys)],

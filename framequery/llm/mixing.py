@@ -113,10 +113,10 @@ def _plan(sized: DataFrame, share: float, weights: tuple[int, ...]) -> tuple[Dat
 
 def _with_copies(sized: DataFrame, id_col: str, share: float, weights: tuple[int, ...]) -> DataFrame:
     """Add __mix_source_size, __mix_target and __mix_copies to rows with __mix_source and __mix_size."""
-    small = materialize(sized.select(F.col("__mix_source").alias("source"), F.col("__mix_size").alias("size")), "sizes")
-    plan, goals = _plan(small, share, weights)
+    small = materialize(sized.select(id_col, "__mix_source", "__mix_size"), "sizes")
+    plan, goals = _plan(small.withColumnsRenamed({"__mix_source": "source", "__mix_size": "size"}).select("source", "size"), share, weights)
     order = [F.xxhash64(F.col(id_col), F.lit(7)), F.col(id_col)]
-    ranked = salted_rank(sized, ["__mix_source", "__mix_size"], order, [id_col], "__mix_rank", salts_for(small.count()))
+    ranked = salted_rank(sized, ["__mix_source", "__mix_size"], order, [id_col], "__mix_rank", salts_for(small.count()), small)
     goals = goals.select(F.col("source").alias("__g_source"), F.col("source_size").alias("__mix_source_size"), F.col("target").alias("__mix_target"))
     plan = plan.withColumnsRenamed({"source": "__p_source", "size": "__p_size", "each": "__p_each", "odd": "__p_odd"})
     plan = plan.join(goals, F.col("__p_source").eqNullSafe(F.col("__g_source")))
