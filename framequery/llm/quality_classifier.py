@@ -5,7 +5,8 @@ form (lengths, lines, shares of kinds of characters) in quantile bins. Both are
 regressions. From a bounded sample of labelled documents they start apart; each round every
 unlabelled document of the corpus is scored, and the documents that one view is surest of
 become pseudo-labelled examples of the other. At the end each view is calibrated on labelled
-documents that were held out, the calibrated log-odds are added up, and all documents scored.
+documents that were held out, the calibrated log-odds are combined, the lower one counting
+extra where that helps (a view may be blind to what the other sees), and all documents scored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from .common import materialize
 MAX_LABELLED = 8000
 EXCHANGE = 300
 ROUNDS = 3
-WORD_BUCKETS = 8192
+WORD_BUCKETS = 1 << 16
 BINS = 16
 NAME_BUCKETS = 128
 #: Share of good held-out documents that the threshold may cost.
@@ -51,9 +52,8 @@ def word_counts(text: str) -> tuple[bytes, bytes]:
     if len(_buckets) > _MOST_KEPT:
         _buckets.clear()
     words = text.encode().lower().translate(None, _DROPPED).split()
-    n = np.bincount(np.fromiter(map(_buckets.__getitem__, words), np.int64, len(words)), minlength=WORD_BUCKETS)
-    used = np.flatnonzero(n)
-    return used.astype("<u2").tobytes(), np.minimum(n[used], 255).astype(np.uint8).tobytes()
+    used, n = np.unique(np.fromiter(map(_buckets.__getitem__, words), np.uint16, len(words)), return_counts=True)
+    return used.astype("<u2").tobytes(), np.minimum(n, 255).astype(np.uint8).tobytes()
 
 
 def page_form(text: str, n_chars: int | None) -> list[float]:
@@ -179,7 +179,7 @@ def platt(odds: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, floa
 
 @dataclass(frozen=True)
 class CoTrained:
-    """Both views' models with what turns a row into a score. ``prior`` is the labels' log-odds."""
+    """Both views' models with what turns a row into a score."""
 
     idf: np.ndarray
     edges: np.ndarray
@@ -187,7 +187,7 @@ class CoTrained:
     page: Logistic
     text_scale: tuple[float, float] = (1.0, 0.0)
     page_scale: tuple[float, float] = (1.0, 0.0)
-    prior: float = 0.0
+    mix: tuple[float, float, float, float] = (1.0, 1.0, 0.0, 0.0)
     threshold: float = 0.5
 
     def odds(self, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +199,28 @@ class CoTrained:
         a = self.text_scale[0] * text + self.text_scale[1]
         b = self.page_scale[0] * page + self.page_scale[1]
         chance = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        return chance(a), chance(b), chance(a + b - self.prior)
+        return chance(a), chance(b), chance(_both(a, b) @ np.array(self.mix))
+
+
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the combination weighs: each view's log-odds, the lower of them, and one."""
+    return np.stack([a, b, np.minimum(a, b), np.ones(len(a))], axis=1)
+
+
+def combination(a: np.ndarray, b: np.ndarray, y: np.ndarray, steps: int = 40, ridge: float = 0.5) -> tuple[float, float, float, float]:
+    """Weights of ``_both`` by ridged logistic regression, drawn towards the plain sum of log-odds.
+
+    Negative weights of a view or of the lower one become nought.
+    """
+    x, start = np.clip(_both(a, b), -12, 12), np.array([0.5, 0.5, 0.0, 0.0])
+    w = start.copy()
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * np.eye(4)
+        step = np.linalg.solve(h, x.T @ (p - y) + ridge * (w - start))
+        w = w - step / max(1.0, float(np.abs(step).max()))
+        w[:3] = np.maximum(w[:3], 0.0)
+    return tuple(map(float, w))
 
 
 def _page_columns(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,7 +237,8 @@ def rarity(features: DataFrame) -> np.ndarray:
             n += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u2"), minlength=WORD_BUCKETS)
             rows += b.num_rows
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, WORD_BUCKETS)), pa.array(np.append(rows, n))], names=["bucket", "n"])
+            used = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, used)), pa.array(np.append(rows, n[used]))], names=["bucket", "n"])
 
     counted = features.select("words").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     n = {r["bucket"]: r["n"] for r in counted}
@@ -324,11 +346,12 @@ def co_train(features: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     judge = _rows_of(table.filter(pa.array(held))) if held.any() else seen
     truth = y[held] if held.any() else y[~held]
     z_text, z_page = model.odds(judge)
-    prior = float(np.log((truth.sum() + 1) / ((~truth).sum() + 1)))
-    model = CoTrained(idf, edges, model.text, model.page, platt(z_text, truth), platt(z_page, truth), prior)
+    scales = platt(z_text, truth), platt(z_page, truth)
+    mix = combination(*(k * z + c for z, (k, c) in zip((z_text, z_page), scales, strict=True)), truth)
+    model = CoTrained(idf, edges, model.text, model.page, *scales, mix)
     of_good = model.scores(z_text, z_page)[2][truth]
     threshold = min(0.5, float(np.quantile(of_good, LOSS))) if len(of_good) else 0.5
-    return CoTrained(idf, edges, model.text, model.page, model.text_scale, model.page_scale, prior, threshold)
+    return CoTrained(idf, edges, model.text, model.page, *scales, mix, threshold)
 
 
 def good_label(labels: DataFrame) -> DataFrame:
