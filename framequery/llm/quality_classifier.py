@@ -246,16 +246,17 @@ def rarity(features: DataFrame) -> np.ndarray:
     return np.array([np.log((1 + total) / (1 + n.get(k, 0))) + 0.1 for k in range(WORD_BUCKETS)])
 
 
-def surest(features: DataFrame, model: CoTrained, known: DataFrame, k: int) -> dict[tuple[str, bool], pa.Table]:
-    """For each view and class the ``k`` documents it is surest of, of all that have no label.
+def surest(features: DataFrame, model: CoTrained, taken: frozenset[int], k: int) -> dict[tuple[str, bool], pa.Table]:
+    """For each view and class the ``k`` documents it is surest of, of all that have neither label nor pseudo-label.
 
-    Each task keeps its own ``k`` of each kind, so that at most four times ``k`` rows a task
+    ``taken`` holds the pseudo-labelled ids, a bounded number. Each task keeps its own ``k`` of each kind, so that at most four times ``k`` rows a task
     are ranked. Rows with a null id aren't asked for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, bool], tuple[np.ndarray, pa.Table]] = {}
         for b in batches:
+            b = b.filter(pa.array([i not in taken for i in b.column(0).to_pylist()], pa.bool_()))
             if not b.num_rows:
                 continue
             for view, z in zip(("text", "page"), model.odds(b), strict=True):
@@ -270,7 +271,7 @@ def surest(features: DataFrame, model: CoTrained, known: DataFrame, k: int) -> d
             t = table.append_column("sure", pa.array(sure)).append_column("view", pa.array([view] * len(sure))).append_column("good", pa.array([good] * len(sure)))
             yield from t.combine_chunks().to_batches()
 
-    left = features.where("doc_id is not null").join(known, "doc_id", "left_anti").select("doc_id", "words", "counts", "form", "lang", "source")
+    left = features.where("doc_id is not null AND good is null").select("doc_id", "words", "counts", "form", "lang", "source")
     found = left.mapInArrow(run, _SCHEMA + ", sure double, view string, good boolean")
     order = Window.partitionBy("view", "good").orderBy(F.desc("sure"), "doc_id")
     best = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place").toArrow()
@@ -295,15 +296,15 @@ def _stack(parts: list[Sparse]) -> Sparse:
     return Sparse(np.concatenate([p.column for p in parts]), np.concatenate([p.value for p in parts]), np.concatenate(ends))
 
 
-def co_train(features: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, exchange: int = EXCHANGE, rounds: int = ROUNDS) -> CoTrained | float:
+def co_train(features: DataFrame, max_labelled: int = MAX_LABELLED, exchange: int = EXCHANGE, rounds: int = ROUNDS) -> CoTrained | float:
     """The trained views, or the share of good labels where only one class (or none: 0.5) is labelled.
 
-    At most ``max_labelled`` labelled documents, those of least hashed id, take part; a fifth
+    ``features`` are those of labelled_features(). At most ``max_labelled`` labelled documents, those of least hashed id, take part; a fifth
     is held out for calibration and the threshold. Everything else is over all documents.
     """
-    known = labels.where("doc_id is not null and good is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("good").alias("good"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    table = features.join(F.broadcast(chosen), "doc_id").select("doc_id", "words", "counts", "form", "lang", "source", "good").toArrow().sort_by("doc_id")
+    labelled = features.where("doc_id is not null AND good is not null")
+    chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    table = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "words", "counts", "form", "lang", "source", "good").toArrow().sort_by("doc_id")
     y = np.array(table.column("good").to_pylist(), bool)
     if not len(y) or y.all() or not y.any():
         return float(y.mean()) if len(y) else 0.5
@@ -324,12 +325,9 @@ def co_train(features: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
         return CoTrained(idf, edges, train(_stack(text_set), np.concatenate(text_y), WORD_BUCKETS), train(_stack(page_set), np.concatenate(page_y), PAGE_COLUMNS))
 
     model = trained()
-    spark = features.sparkSession
     taken: set[int] = set()
     for _ in range(rounds):
-        pseudo = spark.createDataFrame([(i,) for i in sorted(taken)], "doc_id long")
-        labelled = known.select("doc_id").unionByName(pseudo)
-        for (view, good), picked in surest(features, model, labelled, exchange).items():
+        for (view, good), picked in surest(features, model, frozenset(taken), exchange).items():
             b = _rows_of(picked)
             if not b.num_rows:
                 continue
@@ -360,6 +358,12 @@ def good_label(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", F.when(F.col("quality").isNotNull(), (F.col("quality") == 1) & (toxic == 0)).alias("good"))
 
 
+def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Both views of every row with its label (null: none), written once; the rounds then shuffle nothing."""
+    known = good_label(labels).where("doc_id is not null and good is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("good").alias("good"))
+    return materialize(view_features(docs, id_col, text_col).join(known, "doc_id", "left"), "views")
+
+
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> DataFrame:
     """(doc_id, text_score, page_score, score, kept) of every row of ``docs``.
 
@@ -368,8 +372,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     empty table gives no rows. Where the labels have one class or none, every score is the
     share of good labels (0.5 without labels) and every row is kept.
     """
-    features = materialize(view_features(docs, id_col, text_col), "views")
-    model = co_train(features, good_label(labels), max_labelled)
+    features = labelled_features(docs, labels, id_col, text_col)
+    model = co_train(features, max_labelled)
     if not isinstance(model, CoTrained):
         same = F.lit(model)
         return features.select("doc_id", same.alias("text_score"), same.alias("page_score"), same.alias("score"), F.lit(True).alias("kept"))

@@ -25,8 +25,7 @@ def test_whole_table(spark):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     got = {r.doc_id: r for r in q.classify(docs, labels).collect()}
     assert len(got) == docs.count()
-    features = q.view_features(docs).cache()
-    model = q.co_train(features, q.good_label(labels))
+    model = q.co_train(q.labelled_features(docs, labels))
     for r in docs.orderBy("doc_id").limit(60).collect():
         a, b, c = model.scores(*(np.array([z]) for z in plain_odds(model, r.text, r.lang, r.source, r.n_chars)))
         g = got[r.doc_id]
