@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,14 +82,3 @@ def select_keyframes(rows: DataFrame, by: str, order: str, value: str, threshold
             yield pd.DataFrame([(key, previous)], columns=[by, order])
 
     return rows.select(by, order, value).repartition(by).sortWithinPartitions(by, order).mapInPandas(walk, fields)
-
-
-def greedy_peaks(scores: np.ndarray, radius: int, most: int) -> list[int]:
-    """Positions of the greatest scores, none within ``radius`` of a greater one taken."""
-    taken: list[int] = []
-    for k in np.argsort(-scores, kind="stable"):
-        if len(taken) == most:
-            break
-        if all(abs(int(k) - t) > radius for t in taken):
-            taken.append(int(k))
-    return taken
