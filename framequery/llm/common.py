@@ -62,10 +62,7 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 
 def word_count(text: Column) -> Column:
-    """Words of a text (null: 0), in the JVM.
-
-    Every maximal run of non-space characters becomes one ``x`` and the spaces go.
-    """
+    """Words of a text (null: 0), counted in the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
