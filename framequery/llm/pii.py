@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses, in the JVM alone.
 
-A value is found by its format and validated (Luhn digit, calendar, octets, number ranges).
+A value is found by its format and validated (Luhn digit, remainder by 97, calendar, octets, number ranges).
 Its symbols then go through a keyed Feistel network of additions modulo each symbol's own
 radix, which permutes the values of a format among themselves: the same value becomes the
 same pseudonym in every document, however it is punctuated, and distinct values stay
@@ -28,7 +28,8 @@ YEAR_LAST = r"(?:0?[1-9]|[12][0-9]|3[01])(?:-(?:0?[1-9]|[12][0-9]|3[01])-|/(?:0?
 CARD = r"(?:[0-9]{13,19}|(?:[0-9]{4} ){3}[0-9]{1,7}|(?:[0-9]{4}-){3}[0-9]{1,7}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})"
 SOCIAL = r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"
-_NUMBERS = "|".join((IPV4, YEAR_FIRST, YEAR_LAST, SOCIAL, CARD, PHONE))
+IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+_NUMBERS = "|".join((IBAN, IPV4, YEAR_FIRST, YEAR_LAST, SOCIAL, CARD, PHONE))
 FOUND = rf"{EMAIL}|(?<![0-9A-Za-z_+(])(?<![0-9][.])(?:{_NUMBERS}){_AFTER}|{_BEFORE}(?:{PHONE}){_AFTER}"
 
 
@@ -132,18 +133,51 @@ def ipv4(value: Column, key: str) -> Column:
     return F.array_join(feistel(octets, F.array(*[F.lit(256)] * 4), F.lit("ipv4"), key).cast("array<string>"), ".")
 
 
-def email(value: Column, key: str) -> Column:
-    """Letters and digits of the local part are permuted, each within its kind; the domain stays."""
-    local = F.substring_index(value, "@", 1)
+def permuted_signs(text: Column, kind: str, key: str) -> Column:
+    """Letters and digits permuted, each within its kind; other signs stay in place."""
     radix = lambda c: F.when(c.between("0", "9"), 10).when(c.between("a", "z") | c.between("A", "Z"), 26).otherwise(1)
     base = lambda c: F.when(c.between("0", "9"), 48).when(c.between("a", "z"), 97).when(c.between("A", "Z"), 65).otherwise(F.ascii(c))
 
     def new(chars: Column) -> Column:
         symbols = F.transform(chars, lambda c: F.ascii(c) - base(c))
-        moved = feistel(symbols, F.transform(chars, radix), F.lit("email"), key)
+        moved = feistel(symbols, F.transform(chars, radix), F.lit(kind), key)
         return F.array_join(F.zip_with(chars, moved, lambda c, x: F.char(base(c) + x)), "")
 
-    return F.concat(_let(_chars(local), new), F.lit("@"), F.substring_index(value, "@", -1))
+    return _let(_chars(text), new)
+
+
+def email(value: Column, key: str) -> Column:
+    """The local part is permuted; the domain stays."""
+    return F.concat(permuted_signs(F.substring_index(value, "@", 1), "email", key), F.lit("@"), F.substring_index(value, "@", -1))
+
+
+def _mod97(signs: Column) -> Column:
+    """The remainder by 97 of a string of digits and capitals, these counting 10 to 35."""
+    return F.aggregate(_chars(signs), F.lit(0), lambda a, c: F.when(c.between("0", "9"), a * 10 + F.ascii(c) - 48).otherwise(a * 100 + F.ascii(c) - 55) % 97)
+
+
+def _turned(signs: Column) -> Column:
+    return F.concat(F.substr(signs, F.lit(5)), F.left(signs, F.lit(4)))
+
+
+def valid_iban(value: Column) -> Column:
+    return _let(F.regexp_replace(value, " ", ""), lambda s: _mod97(_turned(s)) == 1)
+
+
+def iban(value: Column, key: str) -> Column:
+    """The country stays, the account is permuted and the two check digits are computed anew."""
+
+    def new(s: Column) -> Column:
+        land = F.left(s, F.lit(2))
+        fresh = lambda body: F.concat(land, F.lpad((98 - _mod97(F.concat(body, land, F.lit("00")))).cast("string"), 2, "0"), body)
+        return _let(permuted_signs(F.substr(s, F.lit(5)), "iban", key), fresh)
+
+    def spaced(signs: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("k"))
+        put = lambda acc, c: F.when(c == " ", F.struct(F.concat(acc["out"], F.lit(" ")).alias("out"), acc["k"].alias("k"))).otherwise(F.struct(F.concat(acc["out"], F.substring(signs, acc["k"], 1)).alias("out"), (acc["k"] + 1).alias("k")))
+        return F.aggregate(_chars(value), start, put, lambda acc: acc["out"])
+
+    return _let(_let(F.regexp_replace(value, " ", ""), new), spaced)
 
 
 def _date_parts(value: Column) -> Column:
@@ -203,6 +237,7 @@ def pseudonym(value: Column, key: str) -> Column:
     return (
         F.when(value.contains("@"), email(value, key))
         .when(full(IPV4), ipv4(value, key))
+        .when(full(IBAN), F.when(valid_iban(value), iban(value, key)))
         .when(full(f"{YEAR_FIRST}|{YEAR_LAST}"), F.when(valid_date(value), date(value, key)))
         .when(full(SOCIAL), social(value, key))
         .when(full(CARD), F.when(valid_card(value), card(value, key)))
