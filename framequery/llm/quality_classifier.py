@@ -359,9 +359,12 @@ def good_label(labels: DataFrame) -> DataFrame:
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Both views of every row with its label (null: none), written once; the rounds then shuffle nothing."""
+    """Both views of every row with its label (null: none), written once; the rounds then shuffle nothing.
+
+    The join is a sort-merge join at every size, as labels may be as many as documents.
+    """
     known = good_label(labels).where("doc_id is not null and good is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("good").alias("good"))
-    return materialize(view_features(docs, id_col, text_col).join(known, "doc_id", "left"), "views")
+    return materialize(view_features(docs, id_col, text_col).join(known.hint("merge"), "doc_id", "left"), "views")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> DataFrame:
