@@ -128,6 +128,25 @@ def _fill(lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
     return counts
 
 
+def counting_bound(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> int:
+    """Sequences that any packing needs, by counting lengths that can't share.
+
+    For a cut a of at most half the capacity: lengths over half need a sequence each, and of
+    those only ones of at most capacity - a leave room for lengths from a up to a half.
+    """
+    rows = [0, *lengths[2 * lengths <= capacity].tolist()]
+    count, total = np.append(0, np.cumsum(demand)), np.append(0, np.cumsum(demand * lengths))
+    upto = lambda n: int(np.searchsorted(lengths, n, side="right"))
+    half, best = upto(capacity / 2), 0
+    for a in rows:
+        large, small = upto(capacity - a), int(np.searchsorted(lengths, a, side="left"))
+        roomy = max(half, large)
+        room = (count[roomy] - count[half]) * capacity - (total[roomy] - total[half])
+        more = -(-(total[half] - total[small] - room) // capacity)
+        best = max(best, int(count[-1] - count[half] + max(0, more)))
+    return best
+
+
 @dataclass
 class Plan:
     """Configurations with whole numbers of copies that use up the histogram, and a lower bound."""
@@ -142,14 +161,14 @@ class Plan:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, solves: int = 2) -> Plan:
-    """Pack a histogram {length: count}; the bound is of the program's dual and of total length."""
+    """Pack a histogram {length: count}; the bound is the best of the program's dual, of total length and of counting."""
     lengths = np.array(sorted(histogram), np.int64)
     left = np.array([histogram[int(n)] for n in lengths], np.int64)
     found: list[tuple[np.ndarray, int]] = []
     bound = 0
     if not len(lengths):
         return Plan(lengths, found, bound)
-    bound = -int(-(left * lengths).sum() // capacity)
+    bound = max(-int(-(left * lengths).sum() // capacity), counting_bound(lengths, left, capacity))
     for k in range(solves):
         some = left > 0
         if left.sum() < 4 * max(1, some.sum()):
