@@ -5,11 +5,17 @@ where that hash falls on a divisor, so an inserted line moves the boundaries nea
 others. A line that is long by itself makes a chunk of its own. Chunks that count are those
 of several lines, or of one long line. Equal hashes only nominate; texts of nominated chunks
 are compared whole before anything is removed.
+
+Chunks miss the ends of a repeated run, and short runs whole, since their ends also hang on
+the lines around it. ``dedup_passages`` therefore adds every smallest run of lines that has
+LONG_WORDS words: it depends on its own lines only, so it lies in every copy of a passage,
+and the smallest runs inside a passage of LONG_WORDS words or more cover all its lines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -124,16 +130,9 @@ def _cut(text: str, spans: list[dict]) -> tuple[str, int]:
     return "\n".join(kept + lines[at:]), gone
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with later copies of repeated chunks cut from the texts; all columns as they were.
-
-    ``count_col`` adds a column with the number of lines cut. Null and empty texts, and rows
-    with a null id, stay as they are, and no row goes, even if its whole text is cut. Rows
-    that repeat an id are one document: copies of a row are cut alike; where the texts
-    differ, a span is cut only from a text that has the chunk's lines there. An empty table
-    gives no rows.
-    """
-    spans = repeats(docs, id_col, text_col).withColumnsRenamed({"doc_id": "__span_id", "spans": "__spans"})
+def _without(docs: DataFrame, spans: DataFrame, cut: Callable[[str, list[dict]], tuple[str, int]], id_col: str, text_col: str, count_col: str | None) -> DataFrame:
+    """``docs`` with the (doc_id, spans) that ``cut`` takes from each text; see dedup_lines()."""
+    spans = spans.withColumnsRenamed({"doc_id": "__span_id", "spans": "__spans"})
     joined = docs.join(spans, F.col(id_col).cast("long") == F.col("__span_id"), "left").drop("__span_id")
     at, schema = docs.columns.index(text_col), docs.schema
     out_schema = T.StructType([*schema.fields, *([T.StructField(count_col, T.IntegerType())] if count_col else [])])
@@ -144,10 +143,120 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             texts = columns[at].to_pylist()
             for k, spans in enumerate(b.column(b.num_columns - 1).to_pylist()):
                 if spans and texts[k]:
-                    texts[k], counts[k] = _cut(texts[k], spans)
+                    texts[k], counts[k] = cut(texts[k], spans)
             columns[at] = pa.array(texts, columns[at].type)
             if count_col:
                 columns.append(pa.array(counts, pa.int32()))
             yield pa.RecordBatch.from_arrays(columns, names=out_schema.names)
 
     return joined.mapInArrow(run, out_schema)
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` with later copies of repeated chunks cut from the texts; all columns as they were.
+
+    ``count_col`` adds a column with the number of lines cut. Null and empty texts, and rows
+    with a null id, stay as they are, and no row goes, even if its whole text is cut. Rows
+    that repeat an id are one document: copies of a row are cut alike; where the texts
+    differ, a span is cut only from a text that has the chunk's lines there. An empty table
+    gives no rows.
+    """
+    return _without(docs, repeats(docs, id_col, text_col), _cut, id_col, text_col, count_col)
+
+
+def passages(lines: list[str]) -> list[tuple[int, int]]:
+    """(first line, line after the last) of every smallest run of LONG_WORDS words or more.
+
+    From each worded line the run goes on, and to each one it goes back, just until it has
+    the words. Every line of a longer run lies in one of its smallest runs.
+    """
+    worded, before = [], [0]
+    for k, line in enumerate(lines):
+        if n := len(line.split()):
+            worded.append(k)
+            before.append(before[-1] + n)
+    found: set[tuple[int, int]] = set()
+    first = last = 0
+    for k in range(len(worded)):
+        while last < len(worded) and before[last] - before[k] < LONG_WORDS:
+            last += 1
+        if before[last] - before[k] >= LONG_WORDS:
+            found.add((worded[k], worded[last - 1] + 1))
+        while before[k + 1] - before[first + 1] >= LONG_WORDS:
+            first += 1
+        if before[k + 1] - before[first] >= LONG_WORDS:
+            found.add((worded[first], worded[k] + 1))
+    return sorted(found)
+
+
+def _line_digests(lines: list[str]) -> list[bytes]:
+    return [hashlib.blake2b(line.encode(), digest_size=16).digest() for line in lines]
+
+
+def _digest(line_digests: list[bytes]) -> tuple[int, int]:
+    d = hashlib.blake2b(b"".join(line_digests), digest_size=16).digest()
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+
+
+def passage_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, first, after, h, g) of every smallest run of a text and of every chunk that counts."""
+    names = ["doc_id", "first", "after", "h", "g"]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in names]
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if not text:
+                    continue
+                lines = text.split("\n")
+                digests = _line_digests(lines)
+                counted = [(a, z) for a, z in chunks(text) if _counts(lines[a:z])]
+                for first, after in sorted({*passages(lines), *counted}):
+                    for column, x in zip(out, (doc_id, first, after, *_digest(digests[first:after])), strict=True):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=names)
+
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return picked.mapInArrow(run, "doc_id long, first int, after int, h long, g long")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, spans): the later copies of the runs of passage_hashes(), each with the copy that stays if that is in the same document.
+
+    Runs are equal if their 128-bit BLAKE2b digests are. The copy of least (doc_id, line) stays.
+    """
+    hashes = materialize(passage_hashes(docs, id_col, text_col), "passages")
+    twice = hashes.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
+    met = materialize(hashes.join(twice, ["h", "g"]), "met")
+    keep = met.groupBy("h", "g").agg(F.min(F.struct("doc_id", "first", "after")).alias("keep"))
+    later = met.join(keep, ["h", "g"]).where("doc_id is not null").where(~F.struct("doc_id", "first").eqNullSafe(F.struct("keep.doc_id", "keep.first")))
+    own = F.col("doc_id").eqNullSafe(F.col("keep.doc_id"))
+    span = F.struct("first", "after", "h", "g", F.when(own, F.col("keep.first")).alias("kept_first"), F.when(own, F.col("keep.after")).alias("kept_after"))
+    return later.groupBy("doc_id").agg(F.sort_array(F.collect_set(span)).alias("spans"))
+
+
+def _cut_passages(text: str, spans: list[dict]) -> tuple[str, int]:
+    """The text without the spans that hold the lines they were found with, and how many lines went.
+
+    A span that overlaps the copy of its run that stays (a run of like lines) leaves it whole.
+    """
+    lines = text.split("\n")
+    digests, gone = _line_digests(lines), [False] * len(lines)
+    for s in spans:
+        first, after, run = s["first"], s["after"], (s["h"], s["g"])
+        if _digest(digests[first:after]) == run:
+            if s["kept_after"] is not None and s["kept_after"] > first and _digest(digests[s["kept_first"] : s["kept_after"]]) == run:
+                first = s["kept_after"]
+            for k in range(first, after):
+                gone[k] = True
+    return "\n".join(line for line, g in zip(lines, gone, strict=True) if not g), sum(gone)
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` with later copies of repeated runs of lines cut: all runs of LONG_WORDS words or more, whole, and repeated chunks.
+
+    Each cut line is equal to an earlier one, and the earliest copy of each line stays. Null
+    ids, null texts, repeated ids and ``count_col`` are as in dedup_lines().
+    """
+    return _without(docs, repeated_passages(docs, id_col, text_col), _cut_passages, id_col, text_col, count_col)

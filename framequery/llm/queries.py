@@ -18,7 +18,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs, count_col="lines_cut")
+    return line_dedup.dedup_passages(docs, count_col="lines_cut")
 
 
 #: The permutation's secret; a real run passes its own.

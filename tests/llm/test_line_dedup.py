@@ -66,3 +66,42 @@ def test_chunks_cover_and_resist_shifts():
     shifted = line_dedup.chunks("\n".join(["new first line", *lines]))
     ends = {b for _, b in whole}
     assert len(ends & {b - 1 for _, b in shifted}) > 0.9 * len(ends)
+
+
+def plain_passages(rows):
+    """Texts without the lines of later copies of any run of LONG_WORDS words, by trying every run."""
+    first, runs = {}, []
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[a:b]) >= line_dedup.LONG_WORDS:
+                    runs.append((i, a, b, "\n".join(lines[a:b])))
+                    first.setdefault(runs[-1][3], (i, a))
+    gone = {(i, k) for i, a, b, own in runs if first[own] != (i, a) for k in range(a, b)}
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
+
+
+def test_passages_of_short_lines_go_whole(spark):
+    rows, unique = [], lambda k: f"alone {k} " + " ".join(f"w{k}x{j}" for j in range(12))
+    shapes = [(2, 30), (3, 20), (5, 12), (10, 8), (20, 10)]
+    plant = ["\n".join(" ".join(f"p{n}r{r}q{j}" for j in range(words)) for r in range(n)) for n, words in shapes]
+    for k in range(12):
+        parts = [x for m, p in enumerate(plant) for x in (unique(100 * k + m), p)]
+        rows.append((k, "\n".join([*parts, unique(100 * k + 99)])))
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_passages(rows)
+    assert got[0] == rows[0][1]
+    for k in range(1, 12):
+        assert got[k].split("\n") == [unique(100 * k + m) for m in (0, 1, 2, 3, 4, 99)]
+
+
+def test_passages_edge_cases(spark):
+    like = "\n".join(["same words here again"] * 30)
+    one = " ".join(f"o{j}" for j in range(60))
+    rows = [(1, None), (2, ""), (3, "\n\n"), (4, "one line"), (5, "one line"), (6, like), (7, f"x\n{one}\ny"), (7, f"x\n{one}\ny"), (7, f"z\nz\n{one}"), (8, f"{one}\nend"), (None, f"n\n{one}"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.dedup_passages(df, count_col="cut")
+    want = [(1, None, 0), (2, "", 0), (3, "\n\n", 0), (4, "one line", 0), (5, "one line", 0), (6, "\n".join(["same words here again"] * 10), 20), (7, "x\ny", 1), (7, "x\ny", 1), (7, "z\nz", 1), (8, "end", 1), (None, f"n\n{one}", 0), (None, None, 0)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert line_dedup.dedup_passages(df.limit(0)).count() == 0
