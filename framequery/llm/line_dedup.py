@@ -97,6 +97,26 @@ def chunk_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return picked.mapInArrow(run, "doc_id long, first int, after int, h long, g long")
 
 
+def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, first, h, g, chunk) of the asked spans that a row's own text holds.
+
+    Rows with the same id, or with none, are asked for each other's spans too; what lies
+    there in another text isn't the chunk and says nothing about it.
+    """
+    names = ["doc_id", "first", "h", "g", "chunk"]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string())
+    for b in batches:
+        out: list[list] = [[] for _ in names]
+        for doc_id, text, asked in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            lines = text.split("\n") if text else []
+            for s in asked if lines else ():
+                own = lines[s["first"] : s["after"]]
+                if _halves(own) == (s["h"], s["g"]):
+                    for column, x in zip(out, (doc_id, s["first"], s["h"], s["g"], "\n".join(own)), strict=True):
+                        column.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=names)
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans): the spans of lines to remove from each document, those of later copies of a chunk.
 
@@ -109,10 +129,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     twice = hashes.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
     nominated = materialize(hashes.join(twice, ["h", "g"]), "nominated")
     asked = nominated.groupBy("doc_id").agg(F.collect_list(F.struct("first", "after", "h", "g")).alias("asked")).withColumnRenamed("doc_id", "__id")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.col(text_col), "\n").alias("lines"))
-    found = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "lines", F.explode("asked").alias("c"))
-    chunk = F.array_join(F.slice("lines", F.col("c.first") + 1, F.col("c.after") - F.col("c.first")), "\n")
-    compared = found.groupBy("c.h", "c.g", chunk.alias("chunk")).agg(F.min(F.struct("doc_id", F.col("c.first").alias("first"))).alias("keep"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "text", "asked").mapInArrow(_fetched, "doc_id long, first int, h long, g long, chunk string")
+    compared = found.groupBy("h", "g", "chunk").agg(F.min(F.struct("doc_id", "first")).alias("keep"))
     proven = compared.groupBy("h", "g").agg(F.count(F.lit(1)).alias("texts"), F.min("keep").alias("keep")).where("texts = 1").select("h", "g", "keep")
     later = nominated.join(proven, ["h", "g"]).where(~F.struct("doc_id", "first").eqNullSafe(F.col("keep")))
     return later.where("doc_id is not null").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "after", "h", "g"))).alias("spans"))

@@ -105,3 +105,15 @@ def test_passages_edge_cases(spark):
     want = [(1, None, 0), (2, "", 0), (3, "\n\n", 0), (4, "one line", 0), (5, "one line", 0), (6, "\n".join(["same words here again"] * 10), 20), (7, "x\ny", 1), (7, "x\ny", 1), (7, "z\nz", 1), (8, "end", 1), (None, f"n\n{one}", 0), (None, None, 0)]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
     assert line_dedup.dedup_passages(df.limit(0)).count() == 0
+
+
+def test_stray_rows_of_an_id_keep_no_chunk(spark):
+    """A second null id, or a repeated id with another or a null text, once made a shared chunk look like two texts."""
+    long = " ".join(f"o{j}" for j in range(60))
+    shared = [(1, long), (2, f"a\n{long}"), (3, long)]
+    for stray in ([(None, long), (None, "other\ntext")], [(None, long), (None, None)], [(3, "other\ntext")], [(3, None)]):
+        df = spark.createDataFrame([*shared, *stray], "doc_id long, text string")
+        got = [tuple(r) for r in line_dedup.dedup_lines(df).collect()]
+        want = [(1, "" if (None, long) in stray else long), (2, "a"), (3, ""), *stray]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert sorted(map(tuple, line_dedup.dedup_passages(df).collect()), key=str) == sorted(want, key=str)
