@@ -7,6 +7,8 @@ unlabelled document of the corpus is scored, and the documents that one view is
 become pseudo-labelled examples of the other. At the end each view is calibrated on labelled
 documents that were held out, the calibrated log-odds are combined, the lower one counting
 extra where that helps (a view may be blind to what the other sees), and all documents scored.
+Toxic words are few and drown in a long text's unit-length row, so documents are also dropped
+for the mere presence of words that mark toxic ones, whatever their length.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ BINS = 16
 NAME_BUCKETS = 128
 #: Share of good held-out documents that the threshold may cost.
 LOSS = 0.01
+#: The same for toxic words; a word marks by a lower bound of its log-odds, the strongest few count.
+TOXIC_LOSS = 0.005
+TOXIC_BOUND = 3.0
+TOXIC_WORDS = 3
 _MOST_KEPT = 500_000
 _DROPPED = b".,;:"
 _FORM = ("log_chars", "log_lines", "line_length", "word_length", "upper", "symbols", "marks", "digits", "bars", "other")
@@ -189,6 +195,8 @@ class CoTrained:
     page_scale: tuple[float, float] = (1.0, 0.0)
     mix: tuple[float, float, float, float] = (1.0, 1.0, 0.0, 0.0)
     threshold: float = 0.5
+    toxic: np.ndarray | None = None
+    toxic_threshold: float = 0.0
 
     def odds(self, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """Each view's odds for a batch whose columns follow ``_SCHEMA``."""
@@ -202,6 +210,40 @@ class CoTrained:
         return chance(a), chance(b), chance(_both(a, b) @ np.array(self.mix))
 
 
+    def kept(self, b: pa.RecordBatch, score: np.ndarray) -> np.ndarray:
+        """Whether each row's score and its words' marks of toxicity let it stay."""
+        good = score >= self.threshold
+        return good if self.toxic is None else good & (toxicity(b.column(1).to_pylist(), self.toxic) <= self.toxic_threshold)
+
+
+def toxic_weights(words: list[bytes], toxic: np.ndarray) -> np.ndarray | None:
+    """How surely each word bucket's presence marks toxic documents (nought: it doesn't); None without both classes."""
+    if toxic.all() or not toxic.any():
+        return None
+    n = [np.bincount(np.frombuffer(b"".join(w for w, t in zip(words, toxic, strict=True) if t == k), "<u2"), minlength=WORD_BUCKETS) + 0.5 for k in (True, False)]
+    lift = np.log(n[0] / (toxic.sum() + 1)) - np.log(n[1] / ((~toxic).sum() + 1))
+    return np.maximum(lift - TOXIC_BOUND * np.sqrt(1 / n[0] + 1 / n[1]), 0.0)
+
+
+def toxicity(words: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """Sum of the TOXIC_WORDS greatest weights among each row's words."""
+    out = np.zeros(len(words))
+    for k, w in enumerate(words):
+        v = weights[np.frombuffer(w, "<u2")]
+        v = v[v > 0]
+        out[k] = np.sort(v)[-TOXIC_WORDS:].sum()
+    return out
+
+
+def cut_off(good: np.ndarray, bad: np.ndarray) -> float:
+    """The threshold that catches most bad scores at a loss of LOSS of the good ones, no higher above one half than that takes."""
+    if not len(good):
+        return 0.5
+    most = float(np.quantile(good, LOSS))
+    caught = bad[bad < most]
+    return max(min(0.5, most), float(np.nextafter(caught.max(), 1)) if len(caught) else 0.0)
+
+
 def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """What the combination weighs: each view's log-odds, the lower of them, and one."""
     return np.stack([a, b, np.minimum(a, b), np.ones(len(a))], axis=1)
@@ -304,7 +346,7 @@ def co_train(features: DataFrame, max_labelled: int = MAX_LABELLED, exchange: in
     """
     labelled = features.where("doc_id is not null AND good is not null")
     chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    table = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "words", "counts", "form", "lang", "source", "good").toArrow().sort_by("doc_id")
+    table = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "words", "counts", "form", "lang", "source", "good", "toxic").toArrow().sort_by("doc_id")
     y = np.array(table.column("good").to_pylist(), bool)
     if not len(y) or y.all() or not y.any():
         return float(y.mean()) if len(y) else 0.5
@@ -347,15 +389,17 @@ def co_train(features: DataFrame, max_labelled: int = MAX_LABELLED, exchange: in
     scales = platt(z_text, truth), platt(z_page, truth)
     mix = combination(*(k * z + c for z, (k, c) in zip((z_text, z_page), scales, strict=True)), truth)
     model = CoTrained(idf, edges, model.text, model.page, *scales, mix)
-    of_good = model.scores(z_text, z_page)[2][truth]
-    threshold = min(0.5, float(np.quantile(of_good, LOSS))) if len(of_good) else 0.5
-    return CoTrained(idf, edges, model.text, model.page, *scales, mix, threshold)
+    score = model.scores(z_text, z_page)[2]
+    toxic = toxic_weights(seen.column(1).to_pylist(), np.array(seen.column(7).to_pylist(), bool))
+    marks = toxicity(judge.column(1).to_pylist(), toxic)[truth] if toxic is not None else np.zeros(0)
+    bearable = float(np.quantile(marks, 1 - TOXIC_LOSS, method="higher")) if len(marks) else 0.0
+    return CoTrained(idf, edges, model.text, model.page, *scales, mix, cut_off(score[truth], score[~truth]), toxic, bearable)
 
 
 def good_label(labels: DataFrame) -> DataFrame:
-    """(doc_id, good): of quality and not toxic; null where quality is. A null toxic counts as not toxic."""
+    """(doc_id, good, toxic): good is of quality and not toxic; null where quality is. A null toxic counts as not toxic."""
     toxic: Column = F.coalesce(F.col("toxic"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
-    return labels.select("doc_id", F.when(F.col("quality").isNotNull(), (F.col("quality") == 1) & (toxic == 0)).alias("good"))
+    return labels.select("doc_id", F.when(F.col("quality").isNotNull(), (F.col("quality") == 1) & (toxic == 0)).alias("good"), (toxic != 0).alias("toxic"))
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -363,7 +407,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
 
     The join is a sort-merge join at every size, as labels may be as many as documents.
     """
-    known = good_label(labels).where("doc_id is not null and good is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("good").alias("good"))
+    known = good_label(labels).where("doc_id is not null and good is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("good").alias("good"), F.max("toxic").alias("toxic"))
     return materialize(view_features(docs, id_col, text_col).join(known.hint("merge"), "doc_id", "left"), "views")
 
 
@@ -385,6 +429,6 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         for b in batches:
             if b.num_rows:
                 scores = model.scores(*model.odds(b))
-                yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, scores), pa.array(scores[2] >= model.threshold)], names=["doc_id", "text_score", "page_score", "score", "kept"])
+                yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, scores), pa.array(model.kept(b, scores[2]))], names=["doc_id", "text_score", "page_score", "score", "kept"])
 
     return features.mapInArrow(run, "doc_id long, text_score double, page_score double, score double, kept boolean")

@@ -64,3 +64,28 @@ def test_edge_cases(spark):
     assert {r.score for r in q.classify(docs, labels.limit(0)).collect()} == {0.5}
     bare = docs.select("doc_id", "text")
     assert q.classify(bare, labels).count() == len(rows)
+
+
+def test_toxic_words_show_in_long_texts(spark):
+    """A few insults in a long text; half of the toxic documents have no label."""
+    rng = np.random.default_rng(5)
+    plain = [f"w{k}" for k in range(3000)]
+    rows, toxic = [], rng.random(600) < 0.3
+    for i, bad in enumerate(toxic):
+        words = list(rng.choice(plain, 400 if i % 2 else 40))
+        for at, w in zip(rng.integers(0, len(words), 3), rng.choice(["slur", "jeer", "taunt", "sneer", "scoff"], 3), strict=True):
+            words[at] = w if bad else words[at]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(t)) for i, t in enumerate(toxic) if i % 4 < 2], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in q.classify(docs, labels).collect()}
+    assert np.mean([not kept[i] for i, t in enumerate(toxic) if t]) > 0.95
+    assert np.mean([kept[i] for i, t in enumerate(toxic) if not t]) > 0.95
+
+
+def test_toxic_recall_on_the_table(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r.kept for r in q.classify(docs, labels).collect()}
+    toxic = [r.doc_id for r in labels.where("toxic = 1").collect() if xxhash.xxh64_intdigest(str(r.doc_id).encode(), 5) % 5 == 0 or r.quality == 1]
+    assert np.mean([not got[i] for i in toxic]) > 0.6
