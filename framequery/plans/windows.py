@@ -15,8 +15,8 @@ from .catalog import query
 
 @query(sql("streams", "SELECT stream_id, frame_idx, round(pow(0.9::DOUBLE, frame_idx) * (first_value(ln(1 + score)) OVER w + sum(CASE WHEN frame_idx > 0 THEN 0.1::DOUBLE * ln(1 + score) * pow(0.9::DOUBLE, -frame_idx) ELSE 0 END) OVER w), 4) + 0.0 AS ema FROM streams WHERE frame_idx < 200 WINDOW w AS (PARTITION BY stream_id ORDER BY frame_idx)"))
 def ema_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running average of the logarithm of each stream's scores."""
-    s = streams(spark, sf_dir).where("frame_idx < 200").select("stream_id", "frame_idx", "score")
+    """Running average of the logarithm of each stream's scores, over all frames; the SQL stops at the 200th, as its powers grow too large."""
+    s = streams(spark, sf_dir).select("stream_id", "frame_idx", "score")
     return sequences.smoothed(s, "stream_id", "frame_idx", F.ln(1 + F.col("score")), 0.9, "ema", block=64).select("stream_id", "frame_idx", (F.round("ema", 4) + F.lit(0.0)).alias("ema"))
 
 
