@@ -40,6 +40,24 @@ def k_nearest(queries: DataFrame, points: DataFrame, k: int, cell: float, axes:
     return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("q_id", "rank", "p_id", "d2")
 
 
+def k_nearest_whole(queries: DataFrame, points: DataFrame, k: int, cell: float, axes: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
+    """(q_id, rank, p_id, d2): the ``k`` nearest points at any distance (all, if fewer), ties to smaller ids.
+
+    Queries that find fewer than ``k`` points through cells go on to cells eight times wider,
+    and those that still do so meet all points, of which each task keeps its best.
+    """
+    found, left = [], queries
+    for wider in (cell, 8 * cell):
+        near = k_nearest(left, points, k, wider, axes)
+        proven = near.where(F.col("rank") == k).select("q_id")
+        found.append(near.join(proven, "q_id", "left_semi"))
+        left = left.join(proven, "q_id", "left_anti")
+    d2 = sum(((F.col(f"q_{a}") - F.col(f"p_{a}")) * (F.col(f"q_{a}") - F.col(f"p_{a}")) for a in axes), F.lit(0.0))
+    best = Window.partitionBy("q_id").orderBy("d2", "p_id")
+    met = left.crossJoin(points).withColumn("d2", d2).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("q_id", "rank", "p_id", "d2")
+    return found[0].unionByName(found[1]).unionByName(met)
+
+
 def in_range(rows: DataFrame, low: Column, high: Column, out: str) -> DataFrame:
     """Each row once for every whole number from ``low`` to ``high``, for an equi-join to follow; none if low > high."""
     return rows.where(low <= high).withColumn(out, F.explode(F.sequence(low, high)))

@@ -2,6 +2,7 @@
 
 import math
 
+from framequery.operators import lookups
 from framequery.plans import windows
 
 
@@ -15,3 +16,12 @@ def test_ema_scale_of_a_long_stream(spark, monkeypatch):
     for k, x in enumerate(score):
         ema = 0.9 * ema + 0.1 * math.log(1 + x) if k else ema
         assert abs(got[k] - ema) < 1e-4
+
+
+def test_k_nearest_at_any_distance(spark):
+    at = [(0.001 * k, 0.0, 0.0) for k in range(8)] + [(0.05, 0.0, 0.0), (3.0, 1.0, 0.0), (-40.0, 2.0, 7.0), (0.0, 500.0, 0.0)]
+    frame = lambda p: spark.createDataFrame([(k, *x) for k, x in enumerate(at)], f"{p}_id long, {p}_x double, {p}_y double, {p}_z double")
+    got = {(r.q_id, r.rank): r.p_id for r in lookups.k_nearest_whole(frame("q"), frame("p"), 4, 0.01).collect()}
+    d2 = lambda a, b: sum(((x - y) * (x - y) for x, y in zip(a, b, strict=True)), 0.0)
+    want = {(i, n + 1): j for i, a in enumerate(at) for n, (_, j) in enumerate(sorted((d2(a, b), j) for j, b in enumerate(at))[:4])}
+    assert got == want
