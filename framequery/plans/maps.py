@@ -80,6 +80,15 @@ def equirect_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return px.select("frame_idx", "r", "c", (F.round(u, 5) + F.lit(0.0)).alias("u"), (F.round(w, 5) + F.lit(0.0)).alias("w"))
 
 
+@query(sql("poses", "SELECT frame_idx, r, c, round(atan2(x, z) / (2 * pi()) + 0.5, 5) + 0.0 AS u, round(acos(-y / sqrt(x * x + y * y + z * z)) / pi(), 5) + 0.0 AS w FROM (SELECT frame_idx, r, c, " + ", ".join(f"m{k}0 * (c - 4) / 8.0::DOUBLE + m{k}1 * (r - 4) / 8.0::DOUBLE + m{k}2 AS {x}" for k, x in enumerate("xyz")) + " FROM rot, range(8) a(r), range(8) b(c))", _ROTS))
+def equirect_uv_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each pixel of a posed perspective view falls on the panorama, for every frame."""
+    eight = F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))
+    px = poses(spark, sf_dir).withColumn("r", F.explode(eight)).withColumn("c", F.explode(eight))
+    u, w = g.panorama_project(g.rotate(g.pose().q, CAM.ray(F.col("c").cast("double"), F.col("r").cast("double"))))
+    return px.select("frame_idx", "r", "c", (F.round(u, 5) + F.lit(0.0)).alias("u"), (F.round(w, 5) + F.lit(0.0)).alias("w"))
+
+
 @query(sql("grid", "SELECT frame_idx, r, c, round(8 * x / (1 + k * sqrt(x * x + y * y + 1)) + 4, 6) + 0.0 AS u, round(8 * y / (1 + k * sqrt(x * x + y * y + 1)) + 4, 6) + 0.0 AS w FROM (SELECT frame_idx, r, c, 0.1 + 0.01 * view_idx AS k, (c - 4) / 8.0::DOUBLE AS x, (r - 4) / 8.0::DOUBLE AS y FROM grid)"))
 def rectification_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source pixel, in a unified-sphere camera of each view, of every pinhole pixel."""
