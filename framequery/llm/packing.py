@@ -30,19 +30,21 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids and an end id, cut at ``capacity`` if longer."""
-    end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list[int | None]] = [[], [], [], [], []]
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoded(tokenizer_path, b.column(1).to_pylist()), strict=True):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
-                    for column, x in zip(out, (doc_id, k, at // 4, len(own) // 4, zlib.crc32(own)), strict=True):
-                        column.append(x)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for lo, hi, ids, ends in encoded(tokenizer_path, b.column(1)):
+                full, bounds = np.insert(ids, ends, end_id), np.append(0, ends + np.arange(1, hi - lo + 1))
+                n = np.diff(bounds)
+                parts = -(-n // capacity)
+                row = np.repeat(np.arange(hi - lo), parts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+                start = piece * capacity
+                length = np.minimum(n[row] - start, capacity)
+                raw, first = memoryview(full.astype("<u4", copy=False)).cast("B"), bounds[row] + start
+                crc = [zlib.crc32(raw[4 * s : 4 * (s + k)]) for s, k in zip(first.tolist(), length.tolist(), strict=True)]
+                columns = [b.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, _PIECE)

@@ -38,15 +38,13 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id
     Null ids come first; rows of one id are in the order of their text's hash. A null text
     is empty: its ids are the end id alone. File part-N holds what follows part-(N-1).
     """
-    end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [x + end for x in encoded(tokenizer_path, b.column(1).to_pylist())]
-            n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-            ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), lists], names=["doc_id", "n_tokens", "ids"])
+            for lo, hi, ids, ends in encoded(tokenizer_path, b.column(1)):
+                full, offsets = np.insert(ids, ends, end_id), np.append(0, ends + np.arange(1, hi - lo + 1))
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(full.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets)), lists], names=["doc_id", "n_tokens", "ids"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
