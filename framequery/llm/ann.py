@@ -4,8 +4,10 @@ Largest inner product becomes smallest Euclidean distance when each indexed vect
 more component that brings all norms to the greatest. A table hashes a vector to the slots
 of a few Gaussian projections; a query visits slot combinations in order of the estimated
 probability that a neighbour lies there, until the visited ones together hold the wished
-share over all tables. Buckets are cut into blocks, each block scores the queries that
-visit it exactly in double precision, and only the best of each pass on.
+share over all tables. Buckets lie on shelves of bounded size, a crowded bucket on several;
+a query's vector goes once to each shelf that holds any of its buckets, is scored exactly in
+double precision against these alone, and only the best pass on. A query that meets fewer
+than k rows in its buckets is then held against all rows.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import erf, log, sqrt
+from math import ceil, erf, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,16 @@ from .common import materialize
 #: Rows of the bounded samples that the index is fitted on.
 SAMPLE_ROWS = 8192
 SAMPLE_QUERIES = 256
-#: Index rows that a bucket should have on average, and rows of a block.
-BUCKET = 1024
-BLOCK = 1024
-TABLES = 2
+#: Index rows that a bucket should have on average, and least hashes of a table.
+BUCKET = 256
+LEAST_HASHES = 2
+TABLES = 4
+#: Bytes of vectors on a shelf.
+SHELF_BYTES = 16 << 20
 #: Share of true neighbours that the estimate aims at.
-AIM = 0.94
+AIM = 0.93
+#: Queries scored together.
+_TOGETHER = 64
 _PAIRS_HELD = 1_000_000
 
 
@@ -113,8 +119,8 @@ def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, tables: int = TAB
     """An index for ``n_rows`` vectors from a bounded sample of them.
 
     The number of hashes grows with the logarithm of the rows, so that buckets stay about
-    ``bucket`` large; few rows need none and are searched whole. Slope and spread describe where the projection of a query's k-th
-    neighbour lies; from a sample, the neighbour of proportional rank stands in for it, one
+    ``bucket`` large, and is never below LEAST_HASHES. Slope and spread describe where the
+    projection of a query's k-th neighbour lies; from a sample, the neighbour of proportional rank stands in for it, one
     that is farther if anything.
     """
     rng = np.random.default_rng(seed)
@@ -122,7 +128,7 @@ def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, tables: int = TAB
     rest = np.sqrt(np.maximum(0.0, norm2 - (sample * sample).sum(axis=1)))
     x = np.column_stack([sample, rest])
     width = 1.5 * float(np.sqrt((x * x).sum(axis=1).mean()))
-    hashes = min(16, round(log(max(1.0, n_rows / bucket)) / log(3.0)))
+    hashes = max(LEAST_HASHES, min(16, round(log(max(1.0, n_rows / bucket)) / log(3.0))))
     a = rng.normal(size=(tables, hashes, d))
     b = rng.uniform(0, width, size=(tables, hashes))
     slots = np.floor((np.einsum("rd,thd->rth", x, a) + b) / width)
@@ -161,6 +167,8 @@ def _hashed(rows: DataFrame, index: Index) -> DataFrame:
 
 
 def _probed(queries: DataFrame, index: Index) -> DataFrame:
+    """(id, t, bucket) of every bucket that a query visits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 128):
@@ -171,10 +179,9 @@ def _probed(queries: DataFrame, index: Index) -> DataFrame:
                         t += [table] * len(codes)
                         bucket += codes
                         row += [i] * len(codes)
-                take = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(bucket, pa.int64()), part.column(0).take(take), part.column(1).take(take)], names=["t", "bucket", "id", "v"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row, pa.int64())), pa.array(t, pa.int32()), pa.array(bucket, pa.int64())], names=["id", "t", "bucket"])
 
-    return queries.mapInArrow(run, "t int, bucket long, id long, v array<double>")
+    return queries.mapInArrow(run, "id long, t int, bucket long")
 
 
 class _Best:
@@ -210,43 +217,64 @@ class _Best:
         self.parts, self.held = [], 0
 
 
-def _pairs(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best of a block for each query, with all that come within rounding of the k-th.
+def _pairs(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, visits: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of the rows that each query visits, with all that come within rounding of the k-th.
 
     A matrix product preselects; the score itself is a sum in a fixed order, so that equal
-    vectors score equally in whatever block they lie.
+    vectors score equally on whatever shelf they lie.
     """
     rough = q @ x.T
-    rough[q_ids[:, None] == ids[None, :]] = -np.inf
-    kth = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.finfo(float).max)
+    rough[~visits | (q_ids[:, None] == ids[None, :])] = -np.inf
+    least = -np.finfo(float).max
+    kth = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), least)
     slack = 1e-10 * np.sqrt((q * q).sum(axis=1) * (x * x).sum(axis=1).max())
-    i, j = np.nonzero(rough >= np.maximum(kth - slack, -np.finfo(float).max)[:, None])
+    i, j = np.nonzero(rough >= np.maximum(kth - slack, least)[:, None])
     return q_ids[i], ids[j], (q[i] * x[j]).sum(axis=1)
 
 
+class _Shelf:
+    """A shelf's rows in order of bucket, and which of them a query's list of buckets means."""
+
+    def __init__(self, ids: np.ndarray, buckets: np.ndarray, vectors: np.ndarray) -> None:
+        order = np.argsort(buckets, kind="stable")
+        self.ids, self.vectors = ids[order], vectors[order]
+        self.buckets, self.of = np.unique(buckets[order], return_inverse=True)
+
+    def score(self, q_ids: np.ndarray, q: np.ndarray, asked: list[np.ndarray | None], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best pairs of some queries; a query without a list means every row."""
+        visited = np.zeros((len(q), len(self.buckets)), bool)
+        for i, own in enumerate(asked):
+            visited[i] = True if own is None else np.isin(self.buckets, own, assume_unique=True)
+        rows = np.flatnonzero(visited.any(axis=0)[self.of])
+        if not len(rows):
+            none = np.zeros(0, np.int64)
+            return none, none, np.zeros(0)
+        return _pairs(q_ids, q, self.ids[rows], self.vectors[rows], visited[:, self.of[rows]], k)
+
+
 def _scored(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows come sorted by (t, bucket, block, asks): a block's vectors, then the queries that visit it."""
+    """Rows (t, shelf, asks, bucket, id, v, buckets) come sorted by the first four: a shelf's vectors, then the queries that visit it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, key = _Best(k), None
-        ids: list[np.ndarray] = []
-        vectors: list[np.ndarray] = []
+        best, key, shelf = _Best(k), None, None
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for b in batches:
             if not b.num_rows:
                 continue
-            keys = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
+            keys = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                own, x = b.column(4).slice(lo, hi - lo).to_numpy(), _matrix(b.column(5).slice(lo, hi - lo))
-                if key != (now := tuple(keys[lo, :3])):
-                    key, ids, vectors = now, [], []
-                if not keys[lo, 3]:
-                    ids.append(own)
-                    vectors.append(x)
-                elif ids:
-                    ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
-                    for at in range(0, len(own), 256):
-                        best.add(*_pairs(own[at : at + 256], x[at : at + 256], ids[0], vectors[0], k))
+                if key != (now := tuple(keys[lo, :2])):
+                    key, shelf, parts = now, None, []
+                own = b.slice(lo, hi - lo)
+                ids, x = own.column(4).to_numpy(), _matrix(own.column(5))
+                if not keys[lo, 2]:
+                    parts.append((ids, own.column(3).to_numpy(), x))
+                elif parts:
+                    shelf = shelf or _Shelf(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+                    asked = [None if a is None else np.array(a, np.int64) for a in own.column(6).to_pylist()]
+                    for at in range(0, len(ids), _TOGETHER):
+                        best.add(*shelf.score(ids[at : at + _TOGETHER], x[at : at + _TOGETHER], asked[at : at + _TOGETHER], k))
                 if best.held > _PAIRS_HELD // 2:
                     yield from best.flush()
         yield from best.flush()
@@ -261,7 +289,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     own. Vectors that are null, empty, zero or hold a null or non-finite component take no
     part, nor do rows with a null id or vectors of another length than most. Rows that
     repeat an id with the same vector count once. A query with no candidate, or an empty
-    table, gives no rows. The search is approximate: see the tests for its recall.
+    table, gives no rows. The search is approximate, though every query finds k rows or all
+    there are; see the tests for its recall and for the share of rows that it scores.
     """
     picked = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     picked = picked.where(F.col("id").isNotNull() & _usable(F.col("v")))
@@ -274,13 +303,31 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     sample = np.array([r["v"] for r in even.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("v").collect()])
     index = fit(sample, n_rows, norm2, k, tables)
 
-    indexed = _hashed(even.select("id", "v"), index)
-    sizes = materialize(_hashed(even.select("id", "v"), index).groupBy("t", "bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "buckets")
-    stored = indexed.join(sizes, ["t", "bucket"]).select("t", "bucket", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "id", "v")
-    asked = _probed(even.where("asks").select("id", "v"), index).join(sizes, ["t", "bucket"])
-    asked = asked.select("t", "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "id", "v")
-    met = stored.unionByName(asked).repartition("t", "bucket", "block").sortWithinPartitions("t", "bucket", "block", "asks")
-    found = met.mapInArrow(_scored(k), "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    shelf_rows = max(1024, SHELF_BYTES // (8 * size["n"]))
+    shelves = ceil(n_rows / shelf_rows)
+    hashed = _hashed(even.select("id", "v"), index)
+    counts = hashed.groupBy("t", "bucket").agg(F.ceil(F.count(F.lit(1)) / shelf_rows).cast("int").alias("blocks"))
+    counts = materialize(counts, "buckets")
+    shelf = F.pmod(F.xxhash64("t", "bucket", "block"), F.lit(shelves)).cast("int").alias("shelf")
+    stored = hashed.join(counts, ["t", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")))
+    stored = stored.select("t", shelf, F.lit(0).alias("asks"), "bucket", "id", "v", F.lit(None).cast("array<long>").alias("buckets"))
+    queries = even.where("asks").select("id", "v")
+    # ids alone meet the buckets; a vector then goes once to each shelf
+    visits = _probed(queries, index).join(counts, ["t", "bucket"]).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - F.lit(1).cast("long"))))
+    visits = visits.select("id", "t", shelf, "bucket").groupBy("id", "t", "shelf").agg(F.collect_set("bucket").alias("buckets"))
+    asked = visits.join(queries, "id").select("t", "shelf", F.lit(1).alias("asks"), F.lit(0).cast("long").alias("bucket"), "id", "v", "buckets")
+
+    def scored(rows: DataFrame, asking: DataFrame) -> DataFrame:
+        met = rows.unionByName(asking).repartition("t", "shelf").sortWithinPartitions("t", "shelf", "asks", "bucket", "id")
+        return met.mapInArrow(_scored(k), "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = lambda pairs: pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = materialize(rank(scored(stored, asked)), "found")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    lacking = materialize(queries.join(full, "id", "left_anti"), "lacking")
+    if lacking.isEmpty():
+        return found
+    everywhere = lacking.select(F.lit(0).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"), F.lit(1).alias("asks"), F.lit(0).cast("long").alias("bucket"), "id", "v", F.lit(None).cast("array<long>").alias("buckets"))
+    whole = rank(scored(stored.where("t = 0"), everywhere))
+    return found.join(lacking.select(F.col("id").alias("query_id")), "query_id", "left_anti").select("query_id", "rank", "vec_id", "score").unionByName(whole)

@@ -35,17 +35,70 @@ def held(got, ids, x, queries, recall):
     assert hits >= recall * sum(map(len, want.values()))
 
 
-@pytest.mark.parametrize("bucket", [1024, 60])
-def test_whole_table(spark, sf, monkeypatch, bucket):
-    monkeypatch.setattr(ann, "BLOCK", bucket)
-    monkeypatch.setattr(ann.fit, "__defaults__", (ann.TABLES, bucket, 17))
-    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+@pytest.mark.parametrize(("folder", "shelf"), [(None, ann.SHELF_BYTES), ("/root/testdata/sf0.1", ann.SHELF_BYTES), ("/root/testdata/sf0.1", 1 << 10)])
+def test_whole_table(spark, sf, monkeypatch, folder, shelf):
+    """The registered setting, on 500 and 2,000 vectors, and with many small shelves."""
+    monkeypatch.setattr(ann, "SHELF_BYTES", shelf)
+    df = spark.read.parquet(f"{folder or sf}/embeddings.parquet")
     rows = df.orderBy("vec_id").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
     got = ann.nearest(df, F.col("vec_id") % 20 == 0).collect()
     held(got, ids, x, np.flatnonzero(ids % 20 == 0), 0.9)
 
 
+def shares(x, queries, k=20):
+    """Share of rows scored and recall of the queries, from the registered index alone."""
+    norm2 = float((x * x).sum(axis=1).max())
+    index = ann.fit(x[: ann.SAMPLE_ROWS], len(x), norm2, k)
+    assert index.a.shape[0] == ann.TABLES and index.a.shape[1] >= ann.LEAST_HASHES
+    codes = index.codes(x)
+    share, recall = [], []
+    for q in queries:
+        seen = np.zeros(len(x), bool)
+        for t, visits in enumerate(index.probes(x[q])):
+            seen |= np.isin(codes[:, t], visits)
+        s = x @ x[q]
+        s[q] = -np.inf
+        share.append(seen.mean())
+        recall.append(seen[np.argsort(-s, kind="stable")[:k]].mean())
+    return np.mean(share), np.mean(recall)
+
+
+def clustered(n, d=64):
+    rng, clusters = np.random.default_rng(5), n // 50
+    centres = rng.normal(size=(clusters, d))
+    x = centres[rng.integers(0, clusters, n)] + 0.25 * rng.normal(size=(n, d))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_share_scored():
+    """Neighbours that are near are found among few rows; of random vectors, whose neighbours are far, most must be scored."""
+    rng = np.random.default_rng(6)
+    for n, most in ((2000, 0.95), (20_000, 0.9)):
+        random = rng.normal(size=(n, 64))
+        share, recall = shares(random / np.linalg.norm(random, axis=1, keepdims=True), range(0, n, n // 100))
+        assert recall >= 0.9 and share <= most
+    for n, most in ((2000, 0.6), (20_000, 0.35)):
+        share, recall = shares(clustered(n), range(0, n, n // 100))
+        assert recall >= 0.9 and share <= most
+
+
+def test_clustered_search(spark):
+    x, ids = clustered(20_000), np.arange(20_000)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.col("vec_id") % 100 == 0).collect()
+    held(got, ids, x, np.flatnonzero(ids % 100 == 0), 0.9)
+
+
+def test_queries_that_meet_few_rows_search_all(spark, monkeypatch):
+    monkeypatch.setattr(ann, "AIM", 0.0)
+    monkeypatch.setattr(ann.Index.probes, "__defaults__", (0.0,))
+    x, ids = clustered(500), np.arange(500)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.col("vec_id") % 50 == 0).collect()
+    held(got, ids, x, np.flatnonzero(ids % 50 == 0), 1.0)
+
+
 def test_lengths_that_differ_and_copies(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(700, 6)) * rng.uniform(0.2, 3, size=(700, 1))
