@@ -4,8 +4,8 @@ A configuration is a multiset of lengths that fits one sequence. The program cov
 length's count with as few configurations as possible. It is solved over the histogram of
 lengths, at most ``CAPACITY`` numbers whatever the corpus, by multiplicative weights: each
 round prices lengths by how far they lag and a knapsack recurrence finds the configuration
-worth most. The fractional solution is rounded down; what it leaves is solved again while
-that pays, and the last remains are filled greedily, longest first, each time with the
+worth most. The fractional solution is rounded down, what it leaves is solved again and rounded
+by greatest remainder, and the last remains are filled greedily, longest first, each time with the
 lengths that close the gap best. The plan is then dealt to the pieces by rank within length.
 """
 
@@ -72,28 +72,66 @@ def best_configuration(lengths: np.ndarray, values: np.ndarray, capacity: int) -
     return counts, float(best[capacity])
 
 
-def multiplicative_weights(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 150, rate: float = 12.0) -> tuple[dict[bytes, float], float]:
+def priced_configuration(lengths: np.ndarray, values: np.ndarray, stock: np.ndarray, capacity: int) -> np.ndarray:
+    """Counts of the configuration of greatest value that uses no length beyond its stock, by the bounded knapsack recurrence.
+
+    A length enters as lots of 1, 2, 4, ... copies; a lot is one pass over all rooms at once.
+    """
+    best, lots = np.zeros(capacity + 1), []
+    for k, (size, value) in enumerate(zip(lengths.tolist(), values.tolist(), strict=True)):
+        allowed, lot = min(int(stock[k]), capacity // size), 1
+        while allowed > 0:
+            n = min(lot, allowed)
+            with_lot = best[: capacity + 1 - n * size] + n * value
+            better = with_lot > best[n * size :]
+            np.maximum(best[n * size :], with_lot, out=best[n * size :])
+            lots.append((k, n, better))
+            allowed, lot = allowed - n, 2 * lot
+    counts, room = np.zeros(len(lengths), np.int64), capacity
+    for k, n, better in reversed(lots):
+        at = room - n * int(lengths[k])
+        if at >= 0 and better[at]:
+            counts[k] += n
+            room = at
+    return counts
+
+
+def multiplicative_weights(lengths: np.ndarray, demand: np.ndarray, capacity: int, priced: int = 96, share: float = 0.5, rate: float = 1.0) -> tuple[dict[bytes, float], float]:
     """A fractional solution that covers no length beyond its demand, and a lower bound on sequences.
 
-    A length weighs exp(-rate * share covered) / demand; a round adds as much of the priced
-    configuration as covers a ``rounds``-th part of the total. Any weights, divided by the
-    value of their best configuration, are a feasible dual, which gives the bound.
+    A token of a length weighs exp(-rate * share covered), per token so that a configuration
+    that wastes room is worth less. Each round prices ``priced`` lengths that are still in
+    demand, half of them the heaviest (of equal weight, the longest) and half spread over all,
+    and takes as much of the best configuration as covers ``share`` of the demand of any
+    length in it, or all that is left of it. Rounds end when nothing is in demand, after a few
+    for each length.
+    Any weights, divided by the value of their best configuration of all lengths, are a
+    feasible dual, which gives the bound; it is evaluated at the start and the end.
     """
     covered = np.zeros(len(lengths))
     taken: dict[bytes, float] = {}
-    bound = 0.0
-    ideal = (demand * lengths).sum() / capacity
-    for _ in range(rounds):
-        # priced per token, so that a configuration that wastes room is worth less
-        price = lengths * np.exp(-rate * (covered / demand - (covered / demand).min()))
-        counts, value = best_configuration(lengths, price, capacity)
-        bound = max(bound, float((demand * price).sum() / value))
+
+    def dual() -> float:
+        price = lengths * np.exp(-rate * covered / demand)
+        return float((demand * price).sum() / best_configuration(lengths, price, capacity)[1])
+
+    bound = dual()
+    for k in range(4 * len(lengths)):
+        left = demand - covered
+        wanted = np.flatnonzero(left > 1e-9 * demand)
+        if not len(wanted):
+            break
+        heaviest = wanted[np.lexsort((-wanted, covered[wanted] / demand[wanted]))[: priced // 2]]
+        spread = wanted[(np.arange(priced // 2) * len(wanted) // (priced // 2) + 7 * k) % len(wanted)]
+        some = np.unique(np.append(heaviest, spread))[::-1]
+        price = lengths[some] * np.exp(-rate * covered[some] / demand[some])
+        counts = np.zeros(len(lengths), np.int64)
+        counts[some] = priced_configuration(lengths[some], price, np.ceil(left[some]), capacity)
         held = counts > 0
-        step = min(ideal * 2 / rounds, float((demand[held] / counts[held]).min()))
+        step = float((np.minimum(np.maximum(share * demand[held], 1e-6), left[held]) / counts[held]).min())
         taken[counts.tobytes()] = taken.get(counts.tobytes(), 0.0) + step
-        covered += counts * step
-    over = float((covered / demand).max())
-    return {c: x / max(1.0, over) for c, x in taken.items()}, bound
+        covered[held] += counts[held] * step
+    return taken, max(bound, dual())
 
 
 def _fill(lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
@@ -149,6 +187,29 @@ def counting_bound(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> in
     return best
 
 
+def _rounded(fractions: dict[bytes, float], left: np.ndarray, last: bool) -> list[tuple[np.ndarray, int]]:
+    """Whole copies of a fractional solution's configurations, as far as the stock goes.
+
+    All are rounded down; the last time, those of greatest remainder are then rounded up
+    until there are as many copies as the solution's total, so that a small histogram's
+    fractions below one count too.
+    """
+    stock, taken = left.copy(), []
+    order = sorted(fractions.items(), key=lambda f: (-(f[1] % 1.0), f[0]))
+    more = int(sum(fractions.values())) - sum(int(x) for x in fractions.values()) if last else 0
+    for up in (False, True):
+        for raw, x in order:
+            counts = np.frombuffer(raw, np.int64)
+            held = counts > 0
+            wish = min(1, more) if up else int(x)
+            copies = min(wish, int((stock[held] // counts[held]).min()))
+            if copies > 0:
+                taken.append((counts, copies))
+                stock -= copies * counts
+                more -= copies * up
+    return taken
+
+
 @dataclass
 class Plan:
     """Configurations with whole numbers of copies that use up the histogram, and a lower bound."""
@@ -156,6 +217,8 @@ class Plan:
     lengths: np.ndarray
     configurations: list[tuple[np.ndarray, int]]
     bound: int
+    #: Sequences that the program gave; the rest were filled greedily.
+    programmed: int = 0
 
     @property
     def sequences(self) -> int:
@@ -163,7 +226,10 @@ class Plan:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, solves: int = 2) -> Plan:
-    """Pack a histogram {length: count}; the bound is the best of the program's dual, of total length and of counting."""
+    """Pack a histogram {length: count}; the bound is the best of the program's dual, of total length and of counting.
+
+    Of each solution the configurations that leave at most a 512th of a sequence empty are rounded.
+    """
     lengths = np.array(sorted(histogram), np.int64)
     left = np.array([histogram[int(n)] for n in lengths], np.int64)
     found: list[tuple[np.ndarray, int]] = []
@@ -173,23 +239,24 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, solves: int = 2) -
     bound = max(-int(-(left * lengths).sum() // capacity), counting_bound(lengths, left, capacity))
     for k in range(solves):
         some = left > 0
-        if left.sum() < 4 * max(1, some.sum()):
+        if not some.any():
             break
         fractions, low = multiplicative_weights(lengths[some], left[some].astype(float), capacity)
         bound = max(bound, int(np.ceil(low - 1e-6))) if k == 0 else bound
-        for raw, x in sorted(fractions.items()):
-            counts = np.zeros(len(lengths), np.int64)
-            counts[some] = np.frombuffer(raw, np.int64)
-            copies = min(int(x), *(int(n) for n in (left[counts > 0] // counts[counts > 0])))
-            if copies > 0:
-                found.append((counts, copies))
-                left = left - copies * counts
+        # the last rounds' configurations waste room for want of short lengths; what they hold is left to the next step
+        full = {c: x for c, x in fractions.items() if capacity - int((np.frombuffer(c, np.int64) * lengths[some]).sum()) <= capacity // 512}
+        for counts, copies in _rounded(full, left[some], last=k + 1 == solves):
+            whole = np.zeros(len(lengths), np.int64)
+            whole[some] = counts
+            found.append((whole, copies))
+            left = left - copies * whole
+    programmed = sum(n for _, n in found)
     while left.any():
         counts = _fill(lengths, left, capacity)
         copies = int((left[counts > 0] // counts[counts > 0]).min())
         found.append((counts, copies))
         left = left - copies * counts
-    return Plan(lengths, found, bound)
+    return Plan(lengths, found, bound, programmed)
 
 
 def slots(p: Plan) -> list[tuple[int, int, int, int, int]]:

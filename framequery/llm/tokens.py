@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 
 #: Parts kept by a worker before it starts afresh, about 200 bytes each; bytes of text cut at once.
 MOST_KEPT = 900_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _CHUNK = 1024
 _CUT = "\0"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"

@@ -67,3 +67,25 @@ def test_knapsack_against_all_configurations():
     every = [c for k in range(6) for c in combinations_with_replacement(range(3), k) if sum(lengths[list(c)]) <= 16]
     assert value == pytest.approx(max(values[list(c)].sum() for c in every))
     assert (counts * values).sum() == pytest.approx(value) and (counts * lengths).sum() <= 16
+
+
+@pytest.mark.parametrize("capacity", [64, 2048])
+def test_the_program_gives_most_sequences(capacity):
+    rng = np.random.default_rng(3)
+    for n in (200, 5000):
+        lengths, counts = np.unique(np.minimum(capacity, rng.lognormal(np.log(capacity / 4), 1.0, n).astype(int) + 1), return_counts=True)
+        p = packing.plan(dict(zip(lengths.tolist(), counts.tolist(), strict=True)), capacity)
+        assert p.programmed >= p.sequences / 2
+        assert p.sequences <= p.bound * 1.02 + 2
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.integers(1, 12), st.tuples(st.floats(0.1, 9), st.integers(1, 4)), min_size=1, max_size=4))
+def test_bounded_knapsack_against_all_choices(items):
+    lengths = np.array(sorted(items))
+    values, stock = np.array([items[int(n)][0] for n in lengths]), np.array([items[int(n)][1] for n in lengths])
+    counts = packing.priced_configuration(lengths, values, stock, 17)
+    assert (counts <= stock).all() and (counts * lengths).sum() <= 17
+    every = np.stack(np.meshgrid(*[np.arange(n + 1) for n in stock], indexing="ij"), -1).reshape(-1, len(lengths))
+    best = (every @ values)[(every @ lengths) <= 17].max()
+    assert counts @ values == pytest.approx(best)
