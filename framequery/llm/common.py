@@ -21,11 +21,13 @@ _own_dir: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """A folder that the driver and every executor see, for this application only.
 
-    It lies in ``spark.checkpoint.dir``; where that is unset (a local test) a new
-    temporary folder serves.
+    It lies in ``spark.checkpoint.dir``; where that is unset a new temporary folder serves
+    a local master, and a cluster gets an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         if not _own_dir:
             _own_dir.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
         base = _own_dir[0]
@@ -61,6 +63,26 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_hot(left: DataFrame, counted: DataFrame, keys: list[str], n: str, n_rows: int, how: str = "inner") -> DataFrame:
+    """``left`` joined on ``keys`` (null-safe) to ``counted``, which has one row a key; no key's rows meet in one task.
+
+    Keys that hold over a thousandth of ``left``, fewer than a thousand by their number
+    ``n``, are broadcast; the rest are shuffled. ``n_rows`` is the number of rows of
+    ``left``, which is read twice and should be written. ``how`` may be inner or left.
+    """
+    least = n_rows / 1000
+    named = counted.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    drop = [f"__key_{k}" for k in keys] + ([n] if n not in keys else [])
+    hot = named.where(F.col(n) > least)
+    found = left.join(F.broadcast(hot), same).drop(*drop)
+    cold = left.join(F.broadcast(hot.select(*[f"__key_{k}" for k in keys])), same, "left_anti")
+    rest = cold.join(named.where(F.col(n) <= least), same, how).drop(*drop)
+    return found.unionByName(rest)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text (null: 0), counted in the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

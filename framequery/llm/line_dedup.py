@@ -2,20 +2,22 @@
 
 A text's lines are hashed and a rolling hash runs over windows of line hashes; a chunk ends
 where that hash falls on a divisor, so an inserted line moves the boundaries near it and no
-others. A line that is long by itself makes a chunk of its own. Chunks that count are those
-of several lines, or of one long line. Equal hashes only nominate; texts of nominated chunks
-are compared whole before anything is removed.
+others. A line of LONG_WORDS words or more is a paragraph, as long as several lines, and
+makes a chunk of its own. Chunks that count are those of several lines, or of one long line.
 
 Chunks miss the ends of a repeated run, and short runs whole, since their ends also hang on
 the lines around it. ``dedup_passages`` therefore adds every smallest run of lines that has
 LONG_WORDS words: it depends on its own lines only, so it lies in every copy of a passage,
 and the smallest runs inside a passage of LONG_WORDS words or more cover all its lines.
+
+Equal digests only nominate. The nominated spans are read from their texts and compared byte
+for byte; where a digest stands for several texts, each of these keeps a copy of its own.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import join_hot, materialize
 
 #: Lines in the rolling window; one in DIVISOR windows ends a chunk.
 WINDOW = 2
@@ -71,118 +73,6 @@ def _counts(lines: list[str]) -> bool:
     return len(worded) > 1 or (len(worded) == 1 and len(worded[0].split()) >= LONG_WORDS)
 
 
-def _halves(lines: list[str]) -> tuple[int, int]:
-    digest = xxhash.xxh3_128_digest("\n".join(lines).encode())
-    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
-
-
-def chunk_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, first, after, h, g) of every chunk that counts; (h, g) are the halves of a 128-bit hash."""
-    names = ["doc_id", "first", "after", "h", "g"]
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[list] = [[] for _ in names]
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                lines = text.split("\n") if text else []
-                for first, after in chunks(text) if text else ():
-                    own = lines[first:after]
-                    if _counts(own):
-                        for column, x in zip(out, (doc_id, first, after, *_halves(own)), strict=True):
-                            column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=names)
-
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, first int, after int, h long, g long")
-
-
-def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, first, h, g, chunk) of the asked spans that a row's own text holds.
-
-    Rows with the same id, or with none, are asked for each other's spans too; what lies
-    there in another text isn't the chunk and says nothing about it.
-    """
-    names = ["doc_id", "first", "h", "g", "chunk"]
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string())
-    for b in batches:
-        out: list[list] = [[] for _ in names]
-        for doc_id, text, asked in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            lines = text.split("\n") if text else []
-            for s in asked if lines else ():
-                own = lines[s["first"] : s["after"]]
-                if _halves(own) == (s["h"], s["g"]):
-                    for column, x in zip(out, (doc_id, s["first"], s["h"], s["g"], "\n".join(own)), strict=True):
-                        column.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=names)
-
-
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans): the spans of lines to remove from each document, those of later copies of a chunk.
-
-    Chunks whose hash occurs twice or more are nominated. The documents that hold any are
-    fetched and the chunks' texts compared as grouping keys: a hash that turns out to stand
-    for several texts removes nothing. The copy of least (doc_id, line) stays; a row with a
-    null id is never changed and counts as least.
-    """
-    hashes = materialize(chunk_hashes(docs, id_col, text_col).distinct(), "chunks")
-    twice = hashes.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
-    nominated = materialize(hashes.join(twice, ["h", "g"]), "nominated")
-    asked = nominated.groupBy("doc_id").agg(F.collect_list(F.struct("first", "after", "h", "g")).alias("asked")).withColumnRenamed("doc_id", "__id")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "text", "asked").mapInArrow(_fetched, "doc_id long, first int, h long, g long, chunk string")
-    compared = found.groupBy("h", "g", "chunk").agg(F.min(F.struct("doc_id", "first")).alias("keep"))
-    proven = compared.groupBy("h", "g").agg(F.count(F.lit(1)).alias("texts"), F.min("keep").alias("keep")).where("texts = 1").select("h", "g", "keep")
-    later = nominated.join(proven, ["h", "g"]).where(~F.struct("doc_id", "first").eqNullSafe(F.col("keep")))
-    return later.where("doc_id is not null").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "after", "h", "g"))).alias("spans"))
-
-
-def _cut(text: str, spans: list[dict]) -> tuple[str, int]:
-    """The text without the spans that hold the lines they were found with, and how many lines went."""
-    lines = text.split("\n")
-    kept, at, gone = [], 0, 0
-    for s in spans:
-        own = lines[s["first"] : s["after"]]
-        if s["first"] >= at and _halves(own) == (s["h"], s["g"]):
-            kept += lines[at : s["first"]]
-            at, gone = s["after"], gone + len(own)
-    return "\n".join(kept + lines[at:]), gone
-
-
-def _without(docs: DataFrame, spans: DataFrame, cut: Callable[[str, list[dict]], tuple[str, int]], id_col: str, text_col: str, count_col: str | None) -> DataFrame:
-    """``docs`` with the (doc_id, spans) that ``cut`` takes from each text; see dedup_lines()."""
-    spans = spans.withColumnsRenamed({"doc_id": "__span_id", "spans": "__spans"})
-    joined = docs.join(spans, F.col(id_col).cast("long") == F.col("__span_id"), "left").drop("__span_id")
-    at, schema = docs.columns.index(text_col), docs.schema
-    out_schema = T.StructType([*schema.fields, *([T.StructField(count_col, T.IntegerType())] if count_col else [])])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            columns, counts = list(b.columns[:-1]), [0] * b.num_rows
-            texts = columns[at].to_pylist()
-            for k, spans in enumerate(b.column(b.num_columns - 1).to_pylist()):
-                if spans and texts[k]:
-                    texts[k], counts[k] = cut(texts[k], spans)
-            columns[at] = pa.array(texts, columns[at].type)
-            if count_col:
-                columns.append(pa.array(counts, pa.int32()))
-            yield pa.RecordBatch.from_arrays(columns, names=out_schema.names)
-
-    return joined.mapInArrow(run, out_schema)
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with later copies of repeated chunks cut from the texts; all columns as they were.
-
-    ``count_col`` adds a column with the number of lines cut. Null and empty texts, and rows
-    with a null id, stay as they are, and no row goes, even if its whole text is cut. Rows
-    that repeat an id are one document: copies of a row are cut alike; where the texts
-    differ, a span is cut only from a text that has the chunk's lines there. An empty table
-    gives no rows.
-    """
-    return _without(docs, repeats(docs, id_col, text_col), _cut, id_col, text_col, count_col)
-
-
 def passages(lines: list[str]) -> list[tuple[int, int]]:
     """(first line, line after the last) of every smallest run of LONG_WORDS words or more.
 
@@ -217,65 +107,146 @@ def _digest(line_digests: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def passage_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, first, after, h, g) of every smallest run of a text and of every chunk that counts."""
-    names = ["doc_id", "first", "after", "h", "g"]
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+_SPAN = "doc_id long, row long, first int, after int, h long, g long"
+
+
+def _batch(columns: list[list], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(x, kinds[kind]) for x, (_, kind) in zip(columns, fields, strict=True)], names=[name for name, _ in fields])
+
+
+def _row_key(text_col: str) -> F.Column:
+    """Tells rows of one id apart by their text; rows with the same id and text are one."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def span_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: bool = True) -> DataFrame:
+    """(doc_id, row, first, after, h, g) of every chunk that counts and, with ``runs``, of every smallest run.
+
+    (h, g) are the halves of a 128-bit BLAKE2b digest of the lines' own digests.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[] for _ in names]
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            out: list[list] = [[] for _ in range(6)]
+            for doc_id, row, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if not text:
                     continue
                 lines = text.split("\n")
                 digests = _line_digests(lines)
-                counted = [(a, z) for a, z in chunks(text) if _counts(lines[a:z])]
-                for first, after in sorted({*passages(lines), *counted}):
-                    for column, x in zip(out, (doc_id, first, after, *_digest(digests[first:after])), strict=True):
+                counted = {(a, z) for a, z in chunks(text) if _counts(lines[a:z])}
+                for first, after in sorted(counted.union(passages(lines)) if runs else counted):
+                    for column, x in zip(out, (doc_id, row, first, after, *_digest(digests[first:after])), strict=True):
                         column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=names)
+            yield _batch(out, _SPAN)
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, first int, after int, h long, g long")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row_key(text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
+    return picked.mapInArrow(run, _SPAN)
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans): the later copies of the runs of passage_hashes(), each with the copy that stays if that is in the same document.
+def _texts_of(rows: DataFrame) -> DataFrame:
+    """(doc_id, row, first, after, h, g, chunk) of the spans in (doc_id, row, text, spans)."""
+    schema = _SPAN + ", chunk string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for doc_id, row, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                lines = text.split("\n")
+                for s in spans:
+                    own = (doc_id, row, s["first"], s["after"], s["h"], s["g"], "\n".join(lines[s["first"] : s["after"]]))
+                    for column, x in zip(out, own, strict=True):
+                        column.append(x)
+            yield _batch(out, schema)
+
+    return rows.mapInArrow(run, schema)
 
-    Runs are equal if their 128-bit BLAKE2b digests are. The copy of least (doc_id, line) stays.
-    """
-    hashes = materialize(passage_hashes(docs, id_col, text_col), "passages")
-    twice = hashes.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
-    met = materialize(hashes.join(twice, ["h", "g"]), "met")
-    keep = met.groupBy("h", "g").agg(F.min(F.struct("doc_id", "first", "after")).alias("keep"))
-    later = met.join(keep, ["h", "g"]).where("doc_id is not null").where(~F.struct("doc_id", "first").eqNullSafe(F.struct("keep.doc_id", "keep.first")))
-    own = F.col("doc_id").eqNullSafe(F.col("keep.doc_id"))
-    span = F.struct("first", "after", "h", "g", F.when(own, F.col("keep.first")).alias("kept_first"), F.when(own, F.col("keep.after")).alias("kept_after"))
-    return later.groupBy("doc_id").agg(F.sort_array(F.collect_set(span)).alias("spans"))
 
+def _later(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """``spans`` with their group's copy that stays, of least (doc_id, row, first), as ``keep`` and the group's size."""
+    n_rows = spans.count()
+    keep = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "first", "after")).alias("keep")).where("n > 1")
+    return join_hot(spans, materialize(keep, "keepers"), keys, "n", n_rows)
 
-def _cut_passages(text: str, spans: list[dict]) -> tuple[str, int]:
-    """The text without the spans that hold the lines they were found with, and how many lines went.
+
+def _listed() -> F.Column:
+    """A row's spans in one sorted list: where they lie, whether they go, and the copy that stays if it is in the same row."""
+    same_row = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("row") == F.col("keep.row"))
+    goes = F.col("doc_id").isNotNull() & ~(same_row & (F.col("first") == F.col("keep.first")))
+    kept = [F.when(same_row, F.col(f"keep.{c}")).alias(f"kept_{c}") for c in ("first", "after")]
+    return F.sort_array(F.collect_set(F.struct("first", "after", "h", "g", goes.alias("goes"), *kept))).alias("__spans")
+
+
+def _cut(text: str, spans: list[dict]) -> tuple[str, int]:
+    """The text without the lines of the spans that go, and how many lines those are.
 
     A span that overlaps the copy of its run that stays (a run of like lines) leaves it whole.
     """
     lines = text.split("\n")
-    digests, gone = _line_digests(lines), [False] * len(lines)
+    gone = [False] * len(lines)
     for s in spans:
-        first, after, run = s["first"], s["after"], (s["h"], s["g"])
-        if _digest(digests[first:after]) == run:
-            if s["kept_after"] is not None and s["kept_after"] > first and _digest(digests[s["kept_first"] : s["kept_after"]]) == run:
-                first = s["kept_after"]
-            for k in range(first, after):
+        if s["goes"]:
+            first = s["first"] if s["kept_after"] is None else max(s["first"], s["kept_after"])
+            for k in range(first, s["after"]):
                 gone[k] = True
     return "\n".join(line for line, g in zip(lines, gone, strict=True) if not g), sum(gone)
 
 
+def _deduped(docs: DataFrame, id_col: str, text_col: str, count_col: str | None, runs: bool) -> DataFrame:
+    key = ["doc_id", "row"]
+    spans = materialize(span_hashes(docs, id_col, text_col, runs).distinct(), "spans")
+    asked = _later(spans, ["h", "g"]).groupBy(*key).agg(_listed()).withColumnsRenamed({"doc_id": "__id", "row": "__row"})
+    here = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (_row_key(text_col) == F.col("__row"))
+    joined = materialize(docs.join(asked, here, "left"), "asked")
+
+    # byte for byte: a digest that stands for several texts is dealt with text by text
+    texts = _texts_of(joined.where("__spans is not null").select(F.col("__id").alias("doc_id"), F.col("__row").alias("row"), F.col(text_col).cast("string").alias("text"), F.col("__spans").alias("spans")))
+    several = texts.select("h", "g", "chunk").distinct().groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
+    several = materialize(several, "several")
+    apart = materialize(texts.join(several, ["h", "g"]).distinct(), "apart")
+    again = _later(apart, ["h", "g", "chunk"]).groupBy(*key).agg(_listed().alias("__again"))
+    wrong = apart.groupBy(*key).agg(F.collect_set(F.struct("h", "g")).alias("__wrong"))
+    mended = materialize(wrong.join(again, key, "left").withColumnsRenamed({"doc_id": "__mended_id", "row": "__mended_row"}), "mended")
+    there = F.col("__id").eqNullSafe(F.col("__mended_id")) & (F.col("__row") == F.col("__mended_row"))
+    right = F.filter("__spans", lambda s: ~F.array_contains("__wrong", F.struct(s["h"].alias("h"), s["g"].alias("g"))))
+    final = F.when(F.col("__wrong").isNull(), F.col("__spans")).otherwise(F.concat(right, F.coalesce("__again", F.array().cast(joined.schema["__spans"].dataType))))
+    listed = joined.join(mended, there, "left").select(*docs.columns, final.alias("__spans"))
+
+    at, schema = docs.columns.index(text_col), docs.schema
+    out_schema = T.StructType([*schema.fields, *([T.StructField(count_col, T.IntegerType())] if count_col else [])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns, counts = list(b.columns[:-1]), [0] * b.num_rows
+            texts = columns[at].to_pylist()
+            for k, own in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                if own:
+                    texts[k], counts[k] = _cut(texts[k], own)
+            columns[at] = pa.array(texts, columns[at].type)
+            if count_col:
+                columns.append(pa.array(counts, pa.int32()))
+            yield pa.RecordBatch.from_arrays(columns, names=out_schema.names)
+
+    return listed.mapInArrow(run, out_schema)
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` with later copies of repeated chunks cut from the texts; all columns as they were.
+
+    The copy of least (doc_id, line) stays. ``count_col`` adds a column with the number of
+    lines cut. Null and empty texts, and rows with a null id, stay as they are; a null id
+    counts as least, so its copy is the one that stays. No row goes, even if its whole text
+    is cut. Rows with the same id and text are one document and are cut alike; rows that
+    share an id but not the text are documents of their own. An empty table gives no rows.
+    """
+    return _deduped(docs, id_col, text_col, count_col, runs=False)
+
+
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with later copies of repeated runs of lines cut: all runs of LONG_WORDS words or more, whole, and repeated chunks.
 
-    Each cut line is equal to an earlier one, and the earliest copy of each line stays. Null
-    ids, null texts, repeated ids and ``count_col`` are as in dedup_lines().
+    Each cut line is equal to an earlier one, and the earliest copy of each line stays.
+    Everything else is as in dedup_lines().
     """
-    return _without(docs, repeated_passages(docs, id_col, text_col), _cut_passages, id_col, text_col, count_col)
+    return _deduped(docs, id_col, text_col, count_col, runs=True)

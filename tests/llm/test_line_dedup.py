@@ -117,3 +117,20 @@ def test_stray_rows_of_an_id_keep_no_chunk(spark):
         want = [(1, "" if (None, long) in stray else long), (2, "a"), (3, ""), *stray]
         assert sorted(got, key=str) == sorted(want, key=str)
         assert sorted(map(tuple, line_dedup.dedup_passages(df).collect()), key=str) == sorted(want, key=str)
+
+
+def test_digests_that_stand_for_several_texts(spark, monkeypatch):
+    """With three digests in all, each stands for many texts; the byte comparison tells them apart."""
+    monkeypatch.setattr(line_dedup, "_digest", lambda digests: (len(digests) % 3, 0))
+    passage = lambda name, n: "\n".join(" ".join(f"{name}{r}x{j}" for j in range(21)) for r in range(n))
+    rows = [(k, "\n".join([f"own {k} start", passage(f"p{k % 3}", 4), passage(f"q{k % 2}", 3), f"own {k} end"])) for k in range(8)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_passages(rows)
+
+
+def test_many_copies_of_one_chunk(spark):
+    """A chunk that most rows hold is a hot key; it goes by broadcast, and the result is the same."""
+    shared = " ".join(f"s{j}" for j in range(50))
+    rows = [(k, f"{shared}\nown line {k}") for k in range(3000)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1] and all(got[k] == f"own line {k}" for k in range(1, 3000))
