@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_hot, materialize
 from .components import connected_components
 
 MAX_BITS = 4
@@ -64,16 +64,17 @@ def simhash(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): each row's fingerprint as a signed long. Null text counts as no words."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42, also: list[str] | None = None) -> DataFrame:
+    """(doc_id, fp): each row's fingerprint as a signed long, and the long columns ``also``. Null text counts as no words."""
+    more = also or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((simhash(t, shingle, seed) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *more])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *more)
+    return picked.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *more)))
 
 
 def _byte(fp: Column, position: int) -> Column:
@@ -99,14 +100,18 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return pairs.where(shared >= LEAST_BYTES).where(F.bit_count(differ) <= MAX_BITS)
 
 
-def forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join what verified pairs of ``fps`` connect: fewer than there are fingerprints."""
-    differ = fps[:, None] ^ fps[None, :]
+def forest(some: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join what verified pairs of ``some`` with ``every`` connect: fewer than there are fingerprints."""
+    fps = np.unique(np.concatenate([some, every]))
+    differ = some[:, None] ^ every[None, :]
     shared = (differ.view(np.uint8).reshape(*differ.shape, 8) == 0).sum(axis=2)
-    near = (shared >= LEAST_BYTES) & (np.bitwise_count(differ) <= MAX_BITS)
+    i, j = np.nonzero((shared >= LEAST_BYTES) & (np.bitwise_count(differ) <= MAX_BITS))
+    a, b = np.searchsorted(fps, some[i]), np.searchsorted(fps, every[j])
     label = np.arange(len(fps))
     while True:
-        least = np.where(near, label[None, :], len(fps)).min(axis=1)
+        least = label.copy()
+        np.minimum.at(least, a, label[b])
+        np.minimum.at(least, b, label[a])
         least = least[least]
         if (least == label).all():
             break
@@ -116,20 +121,17 @@ def forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _group_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (key, bi, bj); each such group of at most two blocks gives its forest."""
-
-    def edges(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cut = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
-        found = [forest(np.unique(g[:, 3]).view(np.uint64)) for g in np.split(rows, cut)]
-        return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+    """Rows (key, bi, bj, far, fp) come sorted by the first three; each such group, a block of the far ones and a block of all, gives its forest."""
 
     def out(rows: np.ndarray) -> pa.RecordBatch:
-        a, b = edges(rows)
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        cut = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+        found = [forest(*(np.unique(g[g[:, 3] == far, 4]).view(np.uint64) for far in (1, 0))) for g in np.split(rows, cut)]
+        a, b = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     rest: list[np.ndarray] = []
     for batch in batches:
-        rows = np.stack([batch.column(i).to_numpy() for i in range(4)], axis=1)
+        rows = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
         if not len(rows):
             continue
         last = int(np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1)).max(initial=-1)) + 1
@@ -144,23 +146,38 @@ def _group_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(fps: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect exactly those within MAX_BITS, transitively.
 
-    A list of two is a pair at once, from the list's least and greatest member. A longer
-    list is cut into blocks of about BLOCK and each pair of blocks goes to a task of its
-    own, which returns a spanning forest rather than all pairs; so no list meets whole in
-    a task and output stays linear in the list.
+    Every list is first contracted: what lies within MAX_BITS of its least fingerprint is
+    linked to that, in a time linear in the list, and of these no pair is looked at again.
+    The others ("far") are compared with the whole list, a block of BLOCK far ones with a
+    block of all at a time, each pair of blocks in a task of its own that returns a spanning
+    forest. A list of near copies costs next to nothing and output stays linear in the list.
     """
-    lists = postings(fps)
+    distinct = materialize(fps.select("fp").distinct(), "distinct")
+    lists = postings(distinct)
+    n_rows = 20 * distinct.count()
     met = materialize(lists.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "lists")
     pairs = _verified(met.where("n = 2").select("a", "b").distinct())
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("n_blocks")).cast("int")
-    dealt = (
-        lists.join(met.where("n > 2").select("key", blocks.alias("n_blocks")), "key")
-        .select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other"))
-        .select("key", F.least("own", "other").cast("long").alias("bi"), F.greatest("own", "other").cast("long").alias("bj"), "fp")
-    )
-    grouped = dealt.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(_group_edges, "a long, b long")
-    return pairs.unionByName(grouped)
+    longer = join_hot(lists, met.where("n > 2").select("key", "a", "n", F.col("n").alias("size")), ["key"], "n", n_rows)
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("a"))) <= MAX_BITS
+    longer = materialize(longer.select("key", "fp", "a", "size", near.alias("near")), "longer")
+    hubs = _verified(longer.where("near and fp != a").select("a", F.col("fp").alias("b")).distinct())
+    far = longer.where("not near").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    far = materialize(far.select("key", F.col("n").alias("n_far"), "n"), "far")
+    left = join_hot(longer, far, ["key"], "n", n_rows)
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("long")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("fp"), blocks(n))
+    every = left.select("key", upto("n_far").alias("bi"), own("size").alias("bj"), F.lit(0).cast("long").alias("far"), "fp")
+    others = left.where("not near").select("key", own("n_far").alias("bi"), upto("size").alias("bj"), F.lit(1).cast("long").alias("far"), "fp")
+    dealt = every.unionByName(others).repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+    return pairs.unionByName(hubs).unionByName(dealt.mapInArrow(_group_edges, "a long, b long"))
+
+
+def _with_root(rows: DataFrame) -> DataFrame:
+    """(doc_id, fp, ..., root): the least fingerprint that links reach from each row's."""
+    roots = connected_components(links(rows)).withColumnsRenamed({"vertex": "fp"})
+    per = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return join_hot(rows, materialize(per, "roots"), ["fp"], "n", rows.count())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,20 +190,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     no other. An empty table gives no rows; other columns of ``docs`` are not read.
     """
     rows = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    roots = connected_components(links(rows)).withColumnsRenamed({"vertex": "fp"})
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("low")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = materialize(least, "roots")
-    ids = least.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = least.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rooted = materialize(_with_root(rows), "rooted")
+    ids = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("component_id"))
+    named = join_hot(rooted, materialize(ids, "ids"), ["root"], "n", rooted.count())
+    return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component, one per id; all columns as they were.
+    """One row of each component of ``docs``, that of least id (a null one last); all columns as they were.
 
-    Rows with a null id are kept, since nothing tells them apart.
+    Rows are told apart by all their columns: of rows that share an id but not the text each
+    goes or stays by its own text, and of equal rows one stays.
     """
-    ids = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(F.col("component_id").alias("__kept_id")).distinct()
-    known = docs.where(F.col(id_col).isNotNull())
-    kept = known.join(ids, known[id_col] == ids["__kept_id"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    own = [F.xxhash64(*docs.columns, F.lit(k)).alias(f"__row{k}") for k in range(2)]
+    keyed = docs.select("*", *own)
+    rows = materialize(fingerprints(keyed, id_col, text_col, also=["__row0", "__row1"]), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row0", "__row1")).alias("kept")
+    chosen = _with_root(rows).groupBy("root").agg(first).select("kept.__row0", "kept.__row1")
+    return keyed.join(chosen, ["__row0", "__row1"], "left_semi").dropDuplicates(["__row0", "__row1"]).select(*docs.columns)

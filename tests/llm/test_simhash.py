@@ -77,3 +77,27 @@ def test_dense_cluster_spans_blocks(spark, monkeypatch):
     edges = simhash.links(df)
     roots = {r.root for r in connected_components(edges).collect()}
     assert len(roots) == 1
+
+
+def test_lists_of_several_clusters_link_exactly(spark, monkeypatch):
+    """Fingerprints that share three bytes and form chains and clusters, against all pairs."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rng = np.random.default_rng(8)
+    fps = {0xABCDEF << 40 | int(rng.integers(1 << 12)) << int(rng.integers(28)) for _ in range(250)}
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    found = {r.vertex % (1 << 64): r.root % (1 << 64) for r in connected_components(simhash.links(df)).collect()}
+    parts = {}
+    for f in fps:
+        parts.setdefault(found.get(f, f), set()).add(f)
+    want = {}
+    for f, low in zip(sorted(fps), plain_components(sorted(fps), list(range(len(fps)))), strict=True):
+        want.setdefault(low, set()).add(f)
+    assert sorted(map(sorted, parts.values())) == sorted(map(sorted, want.values()))
+
+
+def test_keep_one_tells_rows_apart(spark):
+    a, b = "the first text has these words in it", "quite other words stand here instead of those"
+    rows = [(1, a, "en"), (1, b, "en"), (2, a, "en"), (3, b, "de"), (3, b, "de"), (None, a, "en"), (None, "a third text that nothing else is like", "fr"), (5, None, "x"), (4, None, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(map(tuple, simhash.keep_one(df).collect()), key=str)
+    assert got == sorted([(1, a, "en"), (1, b, "en"), (None, "a third text that nothing else is like", "fr"), (4, None, "y")], key=str)
