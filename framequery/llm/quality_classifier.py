@@ -288,41 +288,50 @@ def rarity(features: DataFrame) -> np.ndarray:
     return np.array([np.log((1 + total) / (1 + n.get(k, 0))) + 0.1 for k in range(WORD_BUCKETS)])
 
 
-def surest(features: DataFrame, model: CoTrained, taken: frozenset[int], k: int) -> dict[tuple[str, bool], pa.Table]:
+def _one_each(features: DataFrame, *more: str) -> DataFrame:
+    """One row an id (the least, where an id has several), for the driver's bounded samples."""
+    row = F.struct("words", "counts", "form", "lang", "source", *more)
+    return features.groupBy("doc_id").agg(F.min(row).alias("__row")).select("doc_id", "__row.*")
+
+
+def surest(features: DataFrame, model: CoTrained, taken: frozenset[int], k: int, salts: int = 64) -> dict[tuple[str, bool], pa.Table]:
     """For each view and class the ``k`` documents it is surest of, of all that have neither label nor pseudo-label.
 
-    ``taken`` holds the pseudo-labelled ids, a bounded number. Each task keeps its own ``k`` of each kind, so that at most four times ``k`` rows a task
-    are ranked. Rows with a null id aren't asked for.
+    ``taken`` holds the pseudo-labelled ids, a bounded number. Each task gives the ids of its
+    own ``k`` of each kind, which are ranked within salted parts before they meet; the
+    features of the at most four times ``k`` that are left are then read again. Rows with a
+    null id aren't asked for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, bool], tuple[np.ndarray, pa.Table]] = {}
+        held: dict[tuple[str, bool], tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             b = b.filter(pa.array([i not in taken for i in b.column(0).to_pylist()], pa.bool_()))
             if not b.num_rows:
                 continue
+            ids = b.column(0).to_numpy()
             for view, z in zip(("text", "page"), model.odds(b), strict=True):
                 for good in (True, False):
-                    sure = z if good else -z
-                    table = pa.Table.from_batches([b])
-                    if (view, good) in held:
-                        sure, table = np.append(held[view, good][0], sure), pa.concat_tables([held[view, good][1], table])
-                    best = np.lexsort((table.column(0).to_numpy(), -sure))[:k]
-                    held[view, good] = sure[best], table.take(pa.array(best))
-        for (view, good), (sure, table) in held.items():
-            t = table.append_column("sure", pa.array(sure)).append_column("view", pa.array([view] * len(sure))).append_column("good", pa.array([good] * len(sure)))
-            yield from t.combine_chunks().to_batches()
+                    before = held.get((view, good), (np.zeros(0), np.zeros(0, np.int64)))
+                    sure, own = np.append(before[0], z if good else -z), np.append(before[1], ids)
+                    best = np.lexsort((own, -sure))
+                    best = best[np.sort(np.unique(own[best], return_index=True)[1])][:k]
+                    held[view, good] = sure[best], own[best]
+        for (view, good), (sure, own) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([view] * len(own)), pa.array([good] * len(own)), pa.array(own), pa.array(sure)], names=["view", "good", "doc_id", "sure"])
 
     left = features.where("doc_id is not null AND good is null").select("doc_id", "words", "counts", "form", "lang", "source")
-    found = left.mapInArrow(run, _SCHEMA + ", sure double, view string, good boolean")
-    order = Window.partitionBy("view", "good").orderBy(F.desc("sure"), "doc_id")
-    best = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place").toArrow()
-    out = {}
-    for view in ("text", "page"):
-        for good in (True, False):
-            mask = [v == view and g == good for v, g in zip(best.column("view").to_pylist(), best.column("good").to_pylist(), strict=True)]
-            out[view, good] = best.filter(pa.array(mask, pa.bool_())).sort_by("doc_id")
-    return out
+    found = left.mapInArrow(run, "view string, good boolean, doc_id long, sure double").groupBy("view", "good", "doc_id").agg(F.max("sure").alias("sure"))
+    order = [F.desc("sure"), F.col("doc_id")]
+    part = Window.partitionBy("view", "good", F.pmod(F.xxhash64("doc_id"), F.lit(salts))).orderBy(*order)
+    best = found.withColumn("place", F.row_number().over(part)).where(F.col("place") <= k)
+    best = best.withColumn("place", F.row_number().over(Window.partitionBy("view", "good").orderBy(*order))).where(F.col("place") <= k)
+    chosen = best.select("view", "good", "doc_id").toPandas()
+    ids = features.sparkSession.createDataFrame(chosen[["doc_id"]].drop_duplicates(), "doc_id long") if len(chosen) else left.select("doc_id").limit(0)
+    table = _one_each(left.join(F.broadcast(ids), "doc_id", "left_semi")).toArrow().sort_by("doc_id")
+    at = table.column("doc_id").to_numpy()
+    kinds = {(v, g): set(chosen[(chosen["view"] == v) & (chosen["good"] == g)]["doc_id"]) for v in ("text", "page") for g in (True, False)}
+    return {kind: table.filter(pa.array([i in own for i in at.tolist()], pa.bool_())) for kind, own in kinds.items()}
 
 
 def _rows_of(table: pa.Table) -> pa.RecordBatch:
@@ -346,7 +355,7 @@ def co_train(features: DataFrame, max_labelled: int = MAX_LABELLED, exchange: in
     """
     labelled = features.where("doc_id is not null AND good is not null")
     chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    table = labelled.join(F.broadcast(chosen), "doc_id").select("doc_id", "words", "counts", "form", "lang", "source", "good", "toxic").toArrow().sort_by("doc_id")
+    table = _one_each(labelled.join(F.broadcast(chosen), "doc_id"), "good", "toxic").toArrow().sort_by("doc_id")
     y = np.array(table.column("good").to_pylist(), bool)
     if not len(y) or y.all() or not y.any():
         return float(y.mean()) if len(y) else 0.5

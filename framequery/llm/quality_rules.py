@@ -188,14 +188,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from the documents of at most ``max_labelled`` labelled ids, those of least hash, that pass the base rules.
 
     A label with a null id or quality is ignored; an id labelled twice counts as its lower
-    quality. Without usable labels there are no rules. The bounded id list is broadcast.
+    quality, and of rows that share a labelled id one is learned from, so that the sample is
+    bounded. Without usable labels there are no rules. The bounded id list is broadcast.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("__label_id")).agg(F.min("quality").alias("__quality"))
     chosen = known.orderBy(F.xxhash64("__label_id"), "__label_id").limit(max_labelled)
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text"))
     rows = with_stats(texts.join(F.broadcast(chosen), F.col("__id") == F.col("__label_id")))
     of = features()
-    sample = rows.where(~base_failed()).select("__id", "__quality", *[c.alias(f"f_{n}") for n, c in of.items()]).toPandas()
+    row = F.struct(F.col("__quality"), *[c.alias(f"f_{n}") for n, c in of.items()])
+    sample = rows.where(~base_failed()).groupBy("__id").agg(F.min(row).alias("row")).select("__id", "row.*").toPandas()
     sample = sample.sort_values(list(sample.columns), ignore_index=True)
     x = {n: sample[f"f_{n}"].to_numpy(float) for n in of}
     fold = sample["__id"].to_numpy(np.int64) * 2654435761 % (1 << 32) * 3 >> 32

@@ -134,3 +134,33 @@ def test_many_copies_of_one_chunk(spark):
     rows = [(k, f"{shared}\nown line {k}") for k in range(3000)]
     got = {r.doc_id: r.text for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[0] == rows[0][1] and all(got[k] == f"own line {k}" for k in range(1, 3000))
+
+
+def plain_runs(rows):
+    """Texts of {id: text} rows without later copies of chunks that count and of smallest runs, keyed by the text itself."""
+    first, spans = {}, []
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        n = [len(x.split()) for x in lines]
+        own = {(a, b) for a, b in line_dedup.chunks(t) if line_dedup._counts(lines[a:b])}
+        worded = [k for k, x in enumerate(n) if x]
+        for a in worded:
+            own |= {(a, b + 1) for b in [next((b for b in worded if b >= a and sum(n[a : b + 1]) >= line_dedup.LONG_WORDS), None)] if b is not None}
+        for b in worded:
+            own |= {(a, b + 1) for a in [next((a for a in reversed(worded) if a <= b and sum(n[a : b + 1]) >= line_dedup.LONG_WORDS), None)] if a is not None}
+        for a, b in sorted(own):
+            spans.append((i, a, b, "\n".join(lines[a:b])))
+            first.setdefault(spans[-1][3], (i, a, b))
+    gone = set()
+    for i, a, b, text in spans:
+        j, c, d = first[text]
+        if (i, a) != (j, c):
+            gone |= {(i, k) for k in range(max(a, d) if i == j else a, b)}
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
+
+
+def test_passages_of_whole_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(docs).select("doc_id", "text").collect()}
+    assert got == plain_runs(rows)

@@ -89,3 +89,28 @@ def test_toxic_recall_on_the_table(spark):
     got = {r.doc_id: r.kept for r in q.classify(docs, labels).collect()}
     toxic = [r.doc_id for r in labels.where("toxic = 1").collect() if xxhash.xxh64_intdigest(str(r.doc_id).encode(), 5) % 5 == 0 or r.quality == 1]
     assert np.mean([not got[i] for i in toxic]) > 0.6
+
+
+def test_labels_that_training_never_saw(spark):
+    """A third split: a seventh of the labelled documents takes part in neither fit, calibration nor threshold."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r.kept for r in q.classify(docs, labels.where("doc_id % 7 != 3")).collect()}
+    unseen = labels.where("doc_id % 7 = 3").collect()
+    clean = [got[r.doc_id] for r in unseen if r.quality == 1 and r.toxic == 0]
+    junk = [not got[r.doc_id] for r in unseen if r.quality == 0]
+    toxic = [not got[r.doc_id] for r in unseen if r.toxic == 1]
+    print(f"unseen: clean kept {np.mean(clean):.3f} of {len(clean)}, junk caught {np.mean(junk):.3f} of {len(junk)}, toxic caught {np.mean(toxic):.3f} of {len(toxic)}")
+    assert np.mean(clean) > 0.97 and np.mean(junk) > 0.85 and np.mean(toxic) > 0.6
+
+
+def test_repeated_ids_stay_bounded(spark):
+    """Rows that repeat an id with another text count once in every sample that reaches the driver."""
+    rows = [(i % 20, f"good fine word{i}" if i % 2 else f"bad !!! foul{i}", "en", "a", None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    features = q.labelled_features(docs, labels)
+    model = q.co_train(features, rounds=1)
+    found = q.surest(features, model, frozenset(), 3)
+    assert all(t.num_rows == 3 and len(set(t.column("doc_id").to_pylist())) == 3 for t in found.values())
+    assert q.classify(docs, labels).count() == 400
