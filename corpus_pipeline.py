@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated chunks of lines are cut from the texts; operator 1."""
-    return line_dedup.dedup_lines(docs)
+    """Later copies of repeated chunks and passages are cut from the texts; operator 1."""
+    return line_dedup.dedup_passages(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
