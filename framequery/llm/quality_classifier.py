@@ -4,7 +4,8 @@ The text view sees hashed words; the metadata view sees language, source and the
 form (lengths, lines, shares of kinds of characters) in quantile bins. Both are logistic
 regressions. From a bounded sample of labelled documents they start apart; each round every
 unlabelled document of the corpus is scored, and the documents that one view is surest of
-become pseudo-labelled examples of the other. At the end each view is calibrated on labelled
+become pseudo-labelled examples of the other, as far as it is sure by a calibration on the
+held-out labels. At the end each view is calibrated on labelled
 documents that were held out, the calibrated log-odds are combined, the lower one counting
 extra where that helps (a view may be blind to what the other sees), and all documents scored.
 Toxic words are few and drown in a long text's unit-length row, so documents are also dropped
@@ -29,6 +30,8 @@ from .common import materialize
 MAX_LABELLED = 8000
 EXCHANGE = 300
 ROUNDS = 3
+#: Calibrated probability from which a view is sure enough to teach the other.
+CONFIDENT = 0.95
 WORD_BUCKETS = 1 << 16
 BINS = 16
 NAME_BUCKETS = 128
@@ -40,7 +43,7 @@ TOXIC_BOUND = 3.0
 TOXIC_WORDS = 3
 _MOST_KEPT = 500_000
 _DROPPED = b".,;:"
-_FORM = ("log_chars", "log_lines", "line_length", "word_length", "upper", "symbols", "marks", "digits", "bars", "other")
+_FORM = ("log_chars", "log_lines", "line_length", "word_length", "upper", "symbols", "marks", "digits", "bars", "other", "new_words", "new_pairs", "log_words")
 _SCHEMA = "doc_id long, words binary, counts binary, form array<float>, lang int, source int"
 
 
@@ -63,13 +66,16 @@ def word_counts(text: str) -> tuple[bytes, bytes]:
 
 
 def page_form(text: str, n_chars: int | None) -> list[float]:
-    """The numbers of the metadata view, in the order of ``_FORM``; they read no words."""
+    """The numbers of the metadata view, in the order of ``_FORM``; they see whether words recur, not which."""
     raw, n = text.encode(), max(1, len(text))
     share = lambda signs: len(raw) - len(raw.translate(None, signs))
     lines, words = text.count("\n") + 1, max(1, text.count(" ") + text.count("\n") + 1)
+    own = raw.split()
+    pairs = max(1, len(own) - 1)
     return [
         float(np.log1p(max(0, len(text) if n_chars is None else n_chars))), float(np.log1p(lines)), n / lines, n / words,
         share(bytes(range(65, 91))) / n, share(b"#*$%&<>") / n, share(b"!?") / n, share(b"0123456789") / n, text.count("|") / n, (len(raw) - len(text)) / n,
+        len(set(own)) / max(1, len(own)), len(set(zip(own, own[1:], strict=False))) / pairs, float(np.log1p(len(own))),
     ]
 
 
@@ -294,10 +300,17 @@ def _one_each(features: DataFrame, *more: str) -> DataFrame:
     return features.groupBy("doc_id").agg(F.min(row).alias("__row")).select("doc_id", "__row.*")
 
 
-def surest(features: DataFrame, model: CoTrained, taken: frozenset[int], k: int, salts: int = 64) -> dict[tuple[str, bool], pa.Table]:
+def _floors(scales: tuple[tuple[float, float], tuple[float, float]], confident: float = CONFIDENT) -> dict[tuple[str, bool], float]:
+    """How far a view's odds must lie on a class's side for that probability; a view that tells nothing never gets there."""
+    z = float(np.log(confident / (1 - confident)))
+    return {(view, good): (z + (-c if good else c)) / k if k > 0 else np.inf for view, (k, c) in zip(("text", "page"), scales, strict=True) for good in (True, False)}
+
+
+def surest(features: DataFrame, model: CoTrained, taken: frozenset[int], k: int, floors: dict[tuple[str, bool], float] | None = None, salts: int = 64) -> dict[tuple[str, bool], pa.Table]:
     """For each view and class the ``k`` documents it is surest of, of all that have neither label nor pseudo-label.
 
-    ``taken`` holds the pseudo-labelled ids, a bounded number. Each task gives the ids of its
+    ``taken`` holds the pseudo-labelled ids, a bounded number, and ``floors`` the least odds
+    that count, see _floors(). Each task gives the ids of its
     own ``k`` of each kind, which are ranked within salted parts before they meet; the
     features of the at most four times ``k`` that are left are then read again. Rows with a
     null id aren't asked for.
@@ -313,12 +326,14 @@ def surest(features: DataFrame, model: CoTrained, taken: frozenset[int], k: int,
             for view, z in zip(("text", "page"), model.odds(b), strict=True):
                 for good in (True, False):
                     before = held.get((view, good), (np.zeros(0), np.zeros(0, np.int64)))
-                    sure, own = np.append(before[0], z if good else -z), np.append(before[1], ids)
+                    now = z if good else -z
+                    enough = now >= floors[view, good] if floors else np.ones(len(now), bool)
+                    sure, own = np.append(before[0], now[enough]), np.append(before[1], ids[enough])
                     best = np.lexsort((own, -sure))
                     best = best[np.sort(np.unique(own[best], return_index=True)[1])][:k]
                     held[view, good] = sure[best], own[best]
         for (view, good), (sure, own) in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([view] * len(own)), pa.array([good] * len(own)), pa.array(own), pa.array(sure)], names=["view", "good", "doc_id", "sure"])
+            yield pa.RecordBatch.from_arrays([pa.array([view] * len(own), pa.string()), pa.array([good] * len(own), pa.bool_()), pa.array(own), pa.array(sure)], names=["view", "good", "doc_id", "sure"])
 
     left = features.where("doc_id is not null AND good is null").select("doc_id", "words", "counts", "form", "lang", "source")
     found = left.mapInArrow(run, "view string, good boolean, doc_id long, sure double").groupBy("view", "good", "doc_id").agg(F.max("sure").alias("sure"))
@@ -375,10 +390,13 @@ def co_train(features: DataFrame, max_labelled: int = MAX_LABELLED, exchange: in
     def trained() -> CoTrained:
         return CoTrained(idf, edges, train(_stack(text_set), np.concatenate(text_y), WORD_BUCKETS), train(_stack(page_set), np.concatenate(page_y), PAGE_COLUMNS))
 
+    judge = _rows_of(table.filter(pa.array(held))) if held.any() else seen
+    truth = y[held] if held.any() else y[~held]
     model = trained()
     taken: set[int] = set()
     for _ in range(rounds):
-        for (view, good), picked in surest(features, model, frozenset(taken), exchange).items():
+        floors = _floors(tuple(platt(z, truth) for z in model.odds(judge)))
+        for (view, good), picked in surest(features, model, frozenset(taken), exchange, floors).items():
             b = _rows_of(picked)
             if not b.num_rows:
                 continue
@@ -392,8 +410,6 @@ def co_train(features: DataFrame, max_labelled: int = MAX_LABELLED, exchange: in
                 text_y.append(np.full(b.num_rows, good))
         model = trained()
 
-    judge = _rows_of(table.filter(pa.array(held))) if held.any() else seen
-    truth = y[held] if held.any() else y[~held]
     z_text, z_page = model.odds(judge)
     scales = platt(z_text, truth), platt(z_page, truth)
     mix = combination(*(k * z + c for z, (k, c) in zip((z_text, z_page), scales, strict=True)), truth)
