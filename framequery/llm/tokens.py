@@ -21,8 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Parts kept by a worker before it starts afresh, about 200 bytes each; bytes of text cut at once.
-MOST_KEPT = 900_000
-BATCH_BYTES = 4 << 20
+MOST_KEPT = 600_000
+BATCH_BYTES = 2 << 20
 _CHUNK = 1024
 _CUT = "\0"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -167,4 +167,5 @@ def encoded(path: str, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray,
     while lo < len(texts):
         hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - size[lo] + BATCH_BYTES, side="right")))
         yield lo, hi, *own.batch(texts.slice(lo, hi - lo))
+        pa.default_memory_pool().release_unused()  # else a worker keeps its largest batch's memory
         lo = hi
