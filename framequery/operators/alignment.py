@@ -9,8 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bundle import DIM
-
 AXES = ("x", "y", "z")
 
 
@@ -46,22 +44,6 @@ def similarity(points: DataFrame, by: str) -> DataFrame:
     return grouped.mapInPandas(solve, f"{by} {kind}, n long, " + ", ".join(f"{c} double" for c in out[2:]))
 
 
-def solved_steps(reduced: DataFrame) -> DataFrame:
-    """(j, x0..x5) from each keyframe's own reduced block; blocks are independent, so any number is solved in tasks."""
-    names = [f"x{k}" for k in range(DIM)]
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        upper = [(p, q) for p in range(DIM) for q in range(p, DIM)]
-        for rows in batches:
-            s = np.zeros((len(rows), DIM, DIM))
-            for p, q in upper:
-                s[:, p, q] = s[:, q, p] = rows[f"s{p}{q}"]
-            x = np.linalg.solve(s, rows[[f"b{k}" for k in range(DIM)]].to_numpy()[:, :, None])[:, :, 0] if len(rows) else np.zeros((0, DIM))
-            yield pd.DataFrame(x, columns=names).assign(j=rows["j"].to_numpy())[["j", *names]]
-
-    return reduced.mapInPandas(solve, "j long, " + ", ".join(f"{n} double" for n in names))
-
-
 def greedy_edges(rows: DataFrame, by: str, radius: int, most: int) -> DataFrame:
     """(by, i, j, d) of the nearest edges of each graph, at most ``most``, that keep apart from those taken.
 

@@ -1,19 +1,30 @@
-"""Dense bundle adjustment: grouped normal equations in Spark, a small reduced system on the driver.
+"""Dense bundle adjustment: grouped normal equations, disparities eliminated, one small pose system a graph.
 
 Poses are world to camera. A residual is the flow target less the reprojection of a pixel of
-keyframe i into keyframe j; its Jacobians are columns, so the normal equations are grouped
-sums. Disparities are eliminated pixel by pixel by a join on (i, r, c); what is left has six
-unknowns a keyframe.
+keyframe i into keyframe j; its Jacobians with regard to both poses and to the disparity are
+columns, so the normal equations are grouped sums. A pixel's disparity bears on the poses of
+its own edges alone, as many as the graph's degree; eliminating it adds their products to the
+pose blocks. What is left has six unknowns a keyframe and is solved graph by graph in tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
 
+from .written import written
+
 DIM = 6
+#: Keyframes of one graph, whose system is solved in one task.
+MOST_KEYFRAMES = 1024
+_SIDES = {"i": "b", "j": "a"}
+_ENTRIES = [(p, q) for p in range(DIM) for q in range(DIM)]
 
 
 def residuals(pixels: DataFrame, rel: DataFrame, targets: DataFrame, cam: g.Camera) -> DataFrame:
@@ -21,13 +32,14 @@ def residuals(pixels: DataFrame, rel: DataFrame, targets: DataFrame, cam: g.Came
 
     ``pixels`` has (i, r, c, disp), ``rel`` the pose r_tx..r_qw from i to j of each edge, and
     ``targets`` (i, j, r, c, tu, tv, weight). Jacobian columns are a<axis><k> for a twist of
-    keyframe j's pose (translation, then rotation) and d<axis> for disparity.
+    keyframe j's pose (translation, then rotation), b<axis><k> for one of keyframe i's, and
+    d<axis> for disparity.
     """
     m = g.pose("r_")
     ray = cam.ray(F.col("c").cast("double"), F.col("r").cast("double"))
     moved = g.add(g.rotate(m.q, ray), g.scale(m.t, F.col("disp")))
     met = targets.join(pixels, ["i", "r", "c"]).join(rel, ["i", "j"])
-    at = met.select("i", "j", "r", "c", "disp", "tu", "tv", "weight", "r_tx", "r_ty", "r_tz", *[v.alias(n) for n, v in zip(("x", "y", "z"), moved, strict=True)]).where(F.col("z") > g.NEAR)
+    at = met.select("i", "j", "r", "c", "disp", "tu", "tv", "weight", *[f"r_{n}" for n in g.Pose._fields], *[v.alias(n) for n, v in zip(("x", "y", "z"), moved, strict=True)]).where(F.col("z") > g.NEAR)
     x, y, z, d = (F.col(c) for c in ("x", "y", "z", "disp"))
     u, v, _ = cam.project((x, y, z))
     # a homogeneous point moves with the disparity times the translation and with the rotation's cross product
@@ -36,7 +48,12 @@ def residuals(pixels: DataFrame, rel: DataFrame, targets: DataFrame, cam: g.Came
     d_u = cam.fx * (F.col("r_tx") / z - x * F.col("r_tz") / (z * z))
     d_v = cam.fy * (F.col("r_ty") / z - y * F.col("r_tz") / (z * z))
     columns = {"ru": F.col("tu") - u, "rv": F.col("tv") - v, "du": d_u, "dv": d_v}
-    columns |= {f"au{k}": c for k, c in enumerate(j_u)} | {f"av{k}": c for k, c in enumerate(j_v)}
+    back = (-m.qx, -m.qy, -m.qz, m.qw)
+    for axis, row in (("u", j_u), ("v", j_v)):
+        # a twist of i before the relative pose is minus its adjoint's twist after it
+        shift, turn = tuple(row[:3]), tuple(row[3:])
+        of_i = [*g.rotate(back, shift), *g.rotate(back, g.add(turn, g.cross(shift, m.t)))]
+        columns |= {f"a{axis}{k}": c for k, c in enumerate(row)} | {f"b{axis}{k}": -c for k, c in enumerate(of_i)}
     return at.select("i", "j", "r", "c", "weight", *[c.alias(n) for n, c in columns.items()])
 
 
@@ -45,35 +62,114 @@ def _weighed(a: str, b: str) -> Column:
     return F.col("weight") * (F.col(a.format("u")) * F.col(b.format("u")) + F.col(a.format("v")) * F.col(b.format("v")))
 
 
-def pose_blocks(res: DataFrame) -> DataFrame:
-    """(j, h00..h55, g0..g5): each keyframe's diagonal block and right-hand side, summed over its edges."""
-    h = [F.sum(_weighed(f"a{{}}{p}", f"a{{}}{q}")).alias(f"h{p}{q}") for p in range(DIM) for q in range(p, DIM)]
-    rhs = [F.sum(_weighed(f"a{{}}{p}", "r{}")).alias(f"g{p}") for p in range(DIM)]
-    return res.groupBy("j").agg(*h, *rhs)
-
-
-def depth_blocks(res: DataFrame) -> DataFrame:
-    """(i, r, c, cc, w): the diagonal and right-hand side of every disparity."""
-    return res.groupBy("i", "r", "c").agg(F.sum(_weighed("d{}", "d{}")).alias("cc"), F.sum(_weighed("d{}", "r{}")).alias("w"))
-
+def _block(x: str, y: str) -> list[Column]:
+    return [F.sum(_weighed(f"{x}{{}}{p}", f"{y}{{}}{q}")).alias(f"{x}{y}{p}{q}") for p, q in _ENTRIES]
 
-def cross_blocks(res: DataFrame) -> DataFrame:
-    """(j, i, r, c, e0..e5): how each keyframe's pose and each disparity bear on one another."""
-    return res.groupBy("j", "i", "r", "c").agg(*[F.sum(_weighed(f"a{{}}{p}", "d{}")).alias(f"e{p}") for p in range(DIM)])
 
+def normal_equations(res: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(p, q, h00..h55) for p <= q and (p, g0..g5): the blocks of both poses of every edge, and the right-hand side.
 
-def reduced(res: DataFrame, damping: float = 1e-3, floor: float = 1e-2) -> DataFrame:
-    """(j, s00..s55, b0..b5): each keyframe's own block of the system after disparities are eliminated.
-
-    Its own block is h - sum(e e' / (cc + damping)), with ``floor`` added to the diagonal.
+    Residuals are summed by edge first, so that only one narrow row an edge is dealt to its
+    blocks.
+    """
+    rhs = [F.sum(_weighed(f"{x}{{}}{p}", "r{}")).alias(f"{x}r{p}") for x in "ab" for p in range(DIM)]
+    e = res.groupBy("i", "j").agg(*_block("b", "b"), *_block("b", "a"), *_block("a", "a"), *rhs)
+    named = lambda x, turned=False: [F.col(f"{x}{q if turned else p}{p if turned else q}").alias(f"h{p}{q}") for p, q in _ENTRIES]
+    parts = [e.select(F.col(k).alias("p"), F.col(k).alias("q"), *named(2 * x)) for k, x in _SIDES.items()]
+    parts += [e.where("i < j").select(F.col("i").alias("p"), F.col("j").alias("q"), *named("ba")), e.where("i > j").select(F.col("j").alias("p"), F.col("i").alias("q"), *named("ba", True))]
+    blocks = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    blocks = blocks.groupBy("p", "q").agg(*[F.sum(f"h{p}{q}").alias(f"h{p}{q}") for p, q in _ENTRIES])
+    sides = [e.select(F.col(k).alias("p"), *[F.col(f"{x}r{n}").alias(f"g{n}") for n in range(DIM)]) for k, x in _SIDES.items()]
+    return blocks, sides[0].unionByName(sides[1]).groupBy("p").agg(*[F.sum(f"g{n}").alias(f"g{n}") for n in range(DIM)])
+
+
+def depth_system(res: DataFrame, pixels: DataFrame, damping: float = 0.0, ep: float = 1e-3, sensed: DataFrame | None = None, alpha: float = 0.0) -> DataFrame:
+    """(i, r, c, cinv, w, bears): each disparity's damped inverse diagonal, right-hand side, and (p, e) of the poses it bears on.
+
+    The diagonal is raised by ``damping`` of itself and ``ep``. ``sensed`` (i, r, c, sens)
+    draws the disparities it has towards its own with weight ``alpha``.
+    """
+    e = lambda x: F.array(*[_weighed(f"{x}{{}}{p}", "d{}") for p in range(DIM)])
+    one = res.select("i", "j", "r", "c", _weighed("d{}", "d{}").alias("cc"), _weighed("d{}", "r{}").alias("w"), e("a").alias("ea"), *[_weighed(f"b{{}}{p}", "d{}").alias(f"eb{p}") for p in range(DIM)])
+    own = F.array(*[F.sum(f"eb{p}") for p in range(DIM)])
+    far = F.collect_list(F.struct(F.col("j").alias("p"), F.col("ea").alias("e")))
+    by = one.groupBy("i", "r", "c").agg(F.sum("cc").alias("cc"), F.sum("w").alias("w"), own.alias("own"), far.alias("far"))
+    if sensed is not None:
+        drawn = pixels.join(sensed, ["i", "r", "c"]).select("i", "r", "c", (alpha * (F.col("sens") - F.col("disp"))).alias("more"))
+        by = by.join(drawn, ["i", "r", "c"], "left").withColumn("cc", F.col("cc") + F.when(F.col("more").isNull(), 0.0).otherwise(alpha)).withColumn("w", F.col("w") + F.coalesce("more", F.lit(0.0)))
+    bears = F.concat(F.array(F.struct(F.col("i").alias("p"), F.col("own").alias("e"))), "far")
+    return by.select("i", "r", "c", (1 / (F.col("cc") * (1 + damping) + ep)).alias("cinv"), "w", bears.alias("bears"))
+
+
+def eliminated(blocks: DataFrame, rhs: DataFrame, depths: DataFrame, damping: float = 0.0, ep: float = 1e-2) -> tuple[DataFrame, DataFrame]:
+    """The Schur complement: damped pose blocks and right-hand side without the disparities' part."""
+    pairs = depths.select("cinv", F.explode("bears").alias("x"), "bears").select("cinv", "x", F.explode("bears").alias("y")).where("x.p <= y.p")
+    less = pairs.groupBy(F.col("x.p").alias("p"), F.col("y.p").alias("q")).agg(*[F.sum(-F.col("x.e")[p] * F.col("y.e")[q] * F.col("cinv")).alias(f"h{p}{q}") for p, q in _ENTRIES])
+    damped = blocks.select("p", "q", *[(F.col(f"h{a}{b}") * F.when(F.col("p") == F.col("q"), 1 + damping).otherwise(1.0) + F.when(F.col("p") == F.col("q"), ep).otherwise(0.0) if a == b else F.col(f"h{a}{b}")).alias(f"h{a}{b}") for a, b in _ENTRIES])
+    s = damped.unionByName(less).groupBy("p", "q").agg(*[F.sum(f"h{p}{q}").alias(f"h{p}{q}") for p, q in _ENTRIES])
+    part = depths.select("cinv", "w", F.explode("bears").alias("x")).groupBy(F.col("x.p").alias("p")).agg(*[F.sum(-F.col("x.e")[n] * F.col("cinv") * F.col("w")).alias(f"g{n}") for n in range(DIM)])
+    return s, rhs.unionByName(part).groupBy("p").agg(*[F.sum(f"g{n}").alias(f"g{n}") for n in range(DIM)])
+
+
+def pose_steps(s: DataFrame, rhs: DataFrame, graph: Callable[[Column], Column], fixed: Callable[[Column], Column]) -> DataFrame:
+    """(p, x0..x5): the solution of each graph's system; poses for which ``fixed`` holds stay out.
+
+    ``graph`` gives the graph of a keyframe; edges join keyframes of one graph only. A graph
+    of more than MOST_KEYFRAMES keyframes is an error, as its system doesn't fit a task.
+    """
+    names = [f"x{n}" for n in range(DIM)]
+    g_rows = rhs.select("p", F.lit(None).cast("long").alias("q"), *[(F.col(f"g{b}") if a == 0 else F.lit(0.0)).alias(f"h{a}{b}") for a, b in _ENTRIES])
+    both = s.unionByName(g_rows).where(~fixed(F.col("p")) & (F.col("q").isNull() | ~fixed(F.col("q"))))
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        at = {p: n for n, p in enumerate(sorted(rows["p"].unique()))}
+        if len(at) > MOST_KEYFRAMES:
+            raise ValueError(f"a graph of {len(at)} keyframes; the most is {MOST_KEYFRAMES}")
+        a, b = np.zeros((len(at), DIM, len(at), DIM)), np.zeros((len(at), DIM))
+        values = rows[[f"h{p}{q}" for p, q in _ENTRIES]].to_numpy().reshape(-1, DIM, DIM)
+        for p, q, v in zip(rows["p"], rows["q"], values, strict=True):
+            if pd.isna(q):
+                b[at[p]] = v[0]
+            elif q in at:
+                a[at[p], :, at[q], :] = v
+                a[at[q], :, at[p], :] = v.T
+        x = np.linalg.solve(a.reshape(len(at) * DIM, -1), b.ravel()).reshape(-1, DIM)
+        return pd.DataFrame(x, columns=names).assign(p=list(at))[["p", *names]]
+
+    return both.groupBy(graph(F.col("p")).alias("graph")).applyInPandas(solve, "p long, " + ", ".join(f"{n} double" for n in names))
+
+
+def depth_steps(depths: DataFrame, steps: DataFrame) -> DataFrame:
+    """(i, r, c, step): the disparities' steps once the poses' are known; poses without one stay."""
+    x = steps.select("p", F.array(*[f"x{n}" for n in range(DIM)]).alias("x"))
+    met = depths.select("i", "r", "c", F.explode("bears").alias("b")).select("i", "r", "c", "b.p", "b.e").join(x, "p")
+    dot = sum((F.col("e")[n] * F.col("x")[n] for n in range(DIM)), F.lit(0.0))
+    taken = met.groupBy("i", "r", "c").agg(F.sum(dot).alias("taken"))
+    return depths.join(taken, ["i", "r", "c"], "left").select("i", "r", "c", (F.col("cinv") * (F.col("w") - F.coalesce("taken", F.lit(0.0)))).alias("step"))
+
+
+def relative(cams: DataFrame, edges: DataFrame) -> DataFrame:
+    """(i, j, r_tx..r_qw): the pose from keyframe i to j of every edge, of world-to-camera poses (k, tx..qw)."""
+    named = lambda k: cams.select(F.col("k").alias(k), *[F.col(m).alias(f"{k}_{m}") for m in g.Pose._fields])
+    rel = g.compose(g.pose("j_"), g.inverse(g.pose("i_")))
+    return edges.join(named("i"), "i").join(named("j"), "j").select("i", "j", *[c.alias(f"r_{m}") for m, c in rel.named().items()])
+
+
+def adjusted(cams: DataFrame, pixels: DataFrame, edges: DataFrame, targets: DataFrame, cam: g.Camera, graph: Callable[[Column], Column], fixed: Callable[[Column], Column], pose_damping: tuple[float, float] = (1e-4, 0.1), depth_damping: tuple[float, float] = (0.0, 1e-3), sensed: DataFrame | None = None, alpha: float = 0.0, share: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """World-to-camera poses (k, tx..qw) and disparities (i, r, c, disp) after one damped Gauss-Newton step, ``share`` of it.
+
+    Residuals, disparities' blocks and steps are written, as several sums read each.
     """
-    depth = depth_blocks(res).select("i", "r", "c", (F.col("cc") + damping).alias("cc"), "w")
-    met = cross_blocks(res).join(depth, ["i", "r", "c"])
-    e = lambda p: F.col(f"e{p}")
-    less = met.groupBy("j").agg(*[F.sum(e(p) * e(q) / F.col("cc")).alias(f"m{p}{q}") for p in range(DIM) for q in range(p, DIM)], *[F.sum(e(p) * F.col("w") / F.col("cc")).alias(f"n{p}") for p in range(DIM)])
-    both = pose_blocks(res).join(less, "j")
-    own = [(F.col(f"h{p}{q}") - F.col(f"m{p}{q}") + (floor if p == q else 0.0)).alias(f"s{p}{q}") for p in range(DIM) for q in range(p, DIM)]
-    return both.select("j", *own, *[(F.col(f"g{p}") - F.col(f"n{p}")).alias(f"b{p}") for p in range(DIM)])
+    res = written(residuals(pixels, relative(cams, edges), targets, cam), "residuals")
+    blocks, rhs = normal_equations(res)
+    depths = written(depth_system(res, pixels, *depth_damping, sensed, alpha), "depths")
+    steps = written(pose_steps(*eliminated(blocks, rhs, depths, *pose_damping), graph, fixed), "steps")
+    moved = cams.join(steps.withColumnRenamed("p", "k"), "k", "left").select("k", *g.Pose._fields, *[(share * F.coalesce(f"x{n}", F.lit(0.0))).alias(f"x{n}") for n in range(DIM)])
+    x = [F.col(f"x{n}") for n in range(DIM)]
+    poses = moved.select("k", *[c.alias(m) for m, c in g.compose(g.se3_exp(tuple(x[:3]), tuple(x[3:])), g.pose()).named().items()])
+    shifted = pixels.join(depth_steps(depths, steps), ["i", "r", "c"], "left")
+    new = shifted.select("i", "r", "c", retracted_disparity(F.col("disp"), share * F.coalesce("step", F.lit(0.0))).alias("disp"))
+    return written(poses, "poses"), written(new, "disparities")
 
 
 def retracted_disparity(disp: Column, step: Column, most: float = 10.0, least: float = 1e-3) -> Column:

@@ -140,8 +140,8 @@ CAM = g.Camera(8.0, 8.0, 4.0, 4.0)
 
 def _problem(spark):
     rng = np.random.default_rng(11)
-    px = [(i, r, c, float(rng.uniform(0.8, 1.2))) for i in range(2) for r in range(3) for c in range(3)]
-    rel = {(0, 1): np.r_[0.05, -0.02, 0.03, 0.01, -0.02, 0.015, 1], (1, 0): np.r_[-0.04, 0.03, 0.01, -0.02, 0.01, 0.02, 1]}
+    px = [(i, r, c, float(rng.uniform(0.8, 1.2))) for i in range(3) for r in range(3) for c in range(3)]
+    rel = {e: np.r_[rng.uniform(-0.05, 0.05, 3), rng.uniform(-0.02, 0.02, 3), 1] for e in ((0, 1), (1, 0), (0, 2), (2, 1))}
     for p in rel.values():
         p[3:] /= np.linalg.norm(p[3:])
     targets = [(i, j, r, c, c + float(rng.normal() * 0.2), r + float(rng.normal() * 0.2), float(rng.uniform(0.5, 1))) for i, j in rel for r in range(3) for c in range(3)]
@@ -151,8 +151,10 @@ def _problem(spark):
     return px, rel, targets, pixels, edges, aims
 
 
-def _plain(pose, disp, r, c, twist=np.zeros(6)):
-    x = _quat_matrix(pose[3:]) @ np.array([(c - 4) / 8, (r - 4) / 8, 1]) + disp * pose[:3]
+def _plain(pose, disp, r, c, twist=np.zeros(6), before=np.zeros(6)):
+    x = np.array([(c - 4) / 8, (r - 4) / 8, 1])
+    x = x + disp * before[:3] + np.cross(before[3:], x)
+    x = _quat_matrix(pose[3:]) @ x + disp * pose[:3]
     x = x + disp * twist[:3] + np.cross(twist[3:], x)
     return np.array([8 * x[0] / x[2] + 4, 8 * x[1] / x[2] + 4])
 
@@ -170,29 +172,48 @@ def test_jacobians_against_differences(spark):
         for k in range(6):
             step = np.eye(6)[k] * h
             assert np.allclose([row[f"au{k}"], row[f"av{k}"]], (_plain(pose, d, row.r, row.c, step) - at) / h, atol=1e-4)
+            # a twist of i moves the point, before the relative pose, the other way
+            assert np.allclose([row[f"bu{k}"], row[f"bv{k}"]], (_plain(pose, d, row.r, row.c, before=-step) - at) / h, atol=1e-4)
 
 
-def test_elimination_against_the_dense_system(spark):
-    *_, pixels, edges, aims = _problem(spark)
+def test_solution_of_the_dense_system(spark):
+    """Pose and disparity steps against one dense least-squares system, with damping, a fixed pose and sensed disparities."""
+    _, rel, _, pixels, edges, aims = _problem(spark)
     res = bundle.residuals(pixels, edges, aims, CAM)
     rows = res.collect()
-    for out in bundle.reduced(res, 1e-3, 1e-2).collect():
-        own = [r for r in rows if r.j == out.j]
-        spots = sorted({(r.i, r.r, r.c) for r in own})
-        jac = np.zeros((2 * len(own), 6 + len(spots)))
-        rhs, w = np.zeros(2 * len(own)), np.zeros(2 * len(own))
-        for n, r in enumerate(own):
-            for a, axis in enumerate("uv"):
-                jac[2 * n + a, :6] = [r[f"a{axis}{k}"] for k in range(6)]
-                jac[2 * n + a, 6 + spots.index((r.i, r.r, r.c))] = r[f"d{axis}"]
-                rhs[2 * n + a], w[2 * n + a] = r[f"r{axis}"], r.weight
-        h, b = jac.T @ (w[:, None] * jac), jac.T @ (w * rhs)
-        # every pixel has one edge here, so a keyframe's system holds all that bears on it
-        c = np.diag(1 / (np.diag(h[6:, 6:]) + 1e-3))
-        s = h[:6, :6] - h[:6, 6:] @ c @ h[6:, :6] + 1e-2 * np.eye(6)
-        t = b[:6] - h[:6, 6:] @ c @ b[6:]
-        assert np.allclose([out[f"s{p}{q}"] for p in range(6) for q in range(p, 6)], [s[p, q] for p in range(6) for q in range(p, 6)])
-        assert np.allclose([out[f"b{p}"] for p in range(6)], t)
+    keys = sorted({k for e in rel for k in e})
+    spots = sorted({(r.i, r.r, r.c) for r in rows})
+    disp = {(r.i, r.r, r.c): r.disp for r in pixels.collect()}
+    sensed = {s: disp[s] + 0.1 for n, s in enumerate(spots) if n % 2}
+    jac, rhs, w = np.zeros((2 * len(rows), 6 * len(keys) + len(spots))), np.zeros(2 * len(rows)), np.zeros(2 * len(rows))
+    for n, r in enumerate(rows):
+        for a, axis in enumerate("uv"):
+            for side, x in ((r.i, "b"), (r.j, "a")):
+                at = 6 * keys.index(side)
+                jac[2 * n + a, at : at + 6] += [r[f"{x}{axis}{k}"] for k in range(6)]
+            jac[2 * n + a, 6 * len(keys) + spots.index((r.i, r.r, r.c))] = r[f"d{axis}"]
+            rhs[2 * n + a], w[2 * n + a] = r[f"r{axis}"], r.weight
+    h, b = jac.T @ (w[:, None] * jac), jac.T @ (w * rhs)
+    n_pose = 6 * len(keys)
+    for n, s in enumerate(spots):
+        if s in sensed:
+            h[n_pose + n, n_pose + n] += 0.3
+            b[n_pose + n] += 0.3 * (sensed[s] - disp[s])
+    d = np.diag(h).copy()
+    d[:n_pose], d[n_pose:] = d[:n_pose] * 1e-2 + 0.5, d[n_pose:] * 0.1 + 1e-3
+    h += np.diag(d)
+    x = np.zeros(len(b))
+    x[6:] = np.linalg.solve(h[6:, 6:], b[6:])
+
+    sens = spark.createDataFrame([(*s, v) for s, v in sensed.items()], "i long, r long, c long, sens double")
+    depths = bundle.depth_system(res, pixels, 0.1, 1e-3, sens, 0.3)
+    blocks, g_ = bundle.normal_equations(res)
+    steps = bundle.pose_steps(*bundle.eliminated(blocks, g_, depths, 1e-2, 0.5), lambda p: F.lit(0), lambda p: p == keys[0])
+    got = {r.p: [r[f"x{k}"] for k in range(6)] for r in steps.collect()}
+    assert sorted(got) == keys[1:]
+    assert np.allclose([got[k] for k in keys[1:]], x[6:n_pose].reshape(-1, 6), rtol=1e-8, atol=1e-10)
+    found = {(r.i, r.r, r.c): r.step for r in bundle.depth_steps(depths, steps).collect()}
+    assert np.allclose([found[s] for s in spots], x[n_pose:], rtol=1e-8, atol=1e-10)
 
 
 def test_similarity_is_found(spark):
@@ -232,11 +253,9 @@ def test_bundle_rounds_lower_the_energy(spark, sf):
     targets = px.select("i", "r", "c").join(e, "i").select("i", "j", "r", "c", (F.col("c") + 0.03 * (F.col("j") - F.col("i"))).alias("tu"), (F.col("r") - 0.02 * (F.col("j") - F.col("i"))).alias("tv"), F.lit(0.07).alias("weight"))
 
     def energy():
-        named = lambda k: cams.select(F.col("k").alias(k), *[F.col(m).alias(f"{k}_{m}") for m in g.Pose._fields])
-        pairs = e.join(named("i"), "i").join(named("j"), "j").select("i", "j", *[c.alias(f"r_{m}") for m, c in g.compose(g.pose("j_"), g.inverse(g.pose("i_"))).named().items()])
-        return bundle.residuals(px, pairs, targets, maps.CAM).agg(F.sum(F.col("weight") * (F.col("ru") * F.col("ru") + F.col("rv") * F.col("rv")))).first()[0]
+        return bundle.residuals(px, bundle.relative(cams, e), targets, maps.CAM).agg(F.sum(F.col("weight") * (F.col("ru") * F.col("ru") + F.col("rv") * F.col("rv")))).first()[0]
 
     before = energy()
-    cams, px = (d.cache() for d in maps.bundle_round(cams, px, e, targets))
+    cams, px = (d.cache() for d in bundle.adjusted(cams, px, e, targets, maps.CAM, lambda k: F.lit(0), lambda k: k == 0, (1e-2, 1.0), (0.0, 1.0)))
     after = energy()
     assert after < 0.9 * before
