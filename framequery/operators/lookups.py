@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .written import written
+
 
 def as_of(left: DataFrame, right: DataFrame, by: str, order: list[str], take: str, out: str) -> DataFrame:
     """For each row of ``left`` the ``take`` of the last row of ``right`` at or before it within ``by``; null if none.
@@ -21,41 +23,51 @@ def as_of(left: DataFrame, right: DataFrame, by: str, order: list[str], take: st
     return rows.unionByName(marks).withColumn(out, F.last(value, ignorenulls=True).over(upto)).where(F.col(side) == 1).select(*columns, out)
 
 
-def k_nearest(queries: DataFrame, points: DataFrame, k: int, cell: float, axes: tuple[str, ...] = ("x", "y", "z"), reach: int = 1) -> DataFrame:
-    """(q_id, rank, p_id, d2): up to ``k`` nearest points within ``reach`` cells, ties to smaller ids.
+def _squared(axes: tuple[str, ...]) -> Column:
+    return sum(((F.col(f"q_{a}") - F.col(f"p_{a}")) * (F.col(f"q_{a}") - F.col(f"p_{a}")) for a in axes), F.lit(0.0))
+
+
+def k_nearest(queries: DataFrame, points: DataFrame, k: int, cell: float, axes: tuple[str, ...] = ("x", "y", "z"), by: tuple[str, ...] = (), salts: int = 1) -> DataFrame:
+    """(by, q_id, rank, p_id, d2): up to ``k`` nearest points within ``cell``, of equal ``by``, ties to smaller ids.
 
     Space is cut into cells; a query meets only points of its own and the adjoining cells,
-    by an equi-join on the cell. Exact for neighbours nearer than ``reach * cell``; farther
-    ones are not returned.
+    by an equi-join on the cell. Points may be dealt to ``salts`` parts, each of which finds
+    its own ``k`` first.
     """
     at = lambda p, a: F.floor(F.col(f"{p}{a}") / cell).cast("long")
-    steps = F.array(*[F.lit(d) for d in range(-reach, reach + 1)])
-    near = queries
+    near = queries.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     for a in axes:
-        near = near.withColumn(f"__d{a}", F.explode(steps)).withColumn(f"__c{a}", at("q_", a) + F.col(f"__d{a}"))
-    here = points.select("*", *[at("p_", a).alias(f"__c{a}") for a in axes])
-    d2 = sum(((F.col(f"q_{a}") - F.col(f"p_{a}")) * (F.col(f"q_{a}") - F.col(f"p_{a}")) for a in axes), F.lit(0.0))
-    met = near.join(here, [f"__c{a}" for a in axes]).withColumn("d2", d2).where(F.col("d2") <= (reach * cell) ** 2)
-    best = Window.partitionBy("q_id").orderBy("d2", "p_id")
-    return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("q_id", "rank", "p_id", "d2")
+        near = near.withColumn(f"__c{a}", F.explode(F.array(*[at("q_", a) + d for d in (-1, 0, 1)])))
+    here = points.select("*", F.pmod(F.xxhash64("p_id"), F.lit(salts)).alias("__salt"), *[at("p_", a).alias(f"__c{a}") for a in axes])
+    met = near.join(here, [*by, "__salt", *[f"__c{a}" for a in axes]]).withColumn("d2", _squared(axes)).where(F.col("d2") <= cell**2)
+    ranked = lambda rows, *more: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "q_id", *more).orderBy("d2", "p_id"))).where(F.col("rank") <= k)
+    best = ranked(ranked(met, "__salt")) if salts > 1 else ranked(met)
+    return best.select(*by, "q_id", "rank", "p_id", "d2")
 
 
-def k_nearest_whole(queries: DataFrame, points: DataFrame, k: int, cell: float, axes: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
-    """(q_id, rank, p_id, d2): the ``k`` nearest points at any distance (all, if fewer), ties to smaller ids.
+def k_nearest_whole(queries: DataFrame, points: DataFrame, k: int, cell: float, axes: tuple[str, ...] = ("x", "y", "z"), by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, q_id, rank, p_id, d2): the ``k`` nearest points of equal ``by`` at any distance (all, if fewer), ties to smaller ids.
 
-    Queries that find fewer than ``k`` points through cells go on to cells eight times wider,
-    and those that still do so meet all points, of which each task keeps its best.
+    Queries whose k-th neighbour isn't within a cell go on to cells four times wider, until
+    none is left or a cell is wider than all there is. Only queries far from most points
+    come that far; wide cells hold many points and are dealt to several tasks.
     """
-    found, left = [], queries
-    for wider in (cell, 8 * cell):
-        near = k_nearest(left, points, k, wider, axes)
-        proven = near.where(F.col("rank") == k).select("q_id")
-        found.append(near.join(proven, "q_id", "left_semi"))
-        left = left.join(proven, "q_id", "left_anti")
-    d2 = sum(((F.col(f"q_{a}") - F.col(f"p_{a}")) * (F.col(f"q_{a}") - F.col(f"p_{a}")) for a in axes), F.lit(0.0))
-    best = Window.partitionBy("q_id").orderBy("d2", "p_id")
-    met = left.crossJoin(points).withColumn("d2", d2).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("q_id", "rank", "p_id", "d2")
-    return found[0].unionByName(found[1]).unionByName(met)
+    span = lambda rows, side: rows.agg(*[f(f"{side}_{a}") for a in axes for f in (F.min, F.max)]).first()
+    both = [(x, y) for x, y in zip(span(queries, "q"), span(points, "p"), strict=True) if x is not None and y is not None]
+    reach = sum((max(hi) - min(lo)) ** 2 for lo, hi in zip(both[::2], both[1::2], strict=True)) ** 0.5
+    found, left, wide, salts = None, queries, cell, 1
+    while True:
+        near = written(k_nearest(left, points, k, wide, axes, by, salts), "near")
+        last = wide >= reach
+        proven = near.where(F.col("rank") == k).select(*by, "q_id")
+        done = near if last else near.join(proven, [*by, "q_id"], "left_semi").select(near.columns)
+        found = done if found is None else found.unionByName(done)
+        if last:
+            return found
+        left = written(left.join(proven, [*by, "q_id"], "left_anti").select(queries.columns), "left")
+        if left.isEmpty():
+            return found
+        wide, salts = 4 * wide, min(64, 2 * salts)
 
 
 def in_range(rows: DataFrame, low: Column, high: Column, out: str) -> DataFrame:

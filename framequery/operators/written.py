@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
+_made: dict[str, SparkSession] = {}
+
+
+def _forget(folder: str) -> None:
+    """Delete the application's folder when the driver ends in good order."""
+    sc = _made.pop(folder).sparkContext
+    if sc._jsc is not None:
+        where = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _folder(spark: SparkSession) -> str:
@@ -22,9 +32,17 @@ def _folder(spark: SparkSession) -> str:
     return _own_dir[0]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in a folder of this application, deleted when it ends."""
+    folder = f"{_folder(spark)}/written-{spark.sparkContext.applicationId}"
+    if folder not in _made:
+        _made[folder] = spark
+        atexit.register(_forget, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet and read back; its rows outlive the executors that made them."""
-    spark = df.sparkSession
-    path = f"{_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -66,24 +66,29 @@ def edges_neighborhood(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KNN = "pts AS (SELECT frame_idx, tx, ty, tz FROM poses)"
 
 
-@query(sql("poses", "SELECT q_id, rank, p_id, round(d2, 6) + 0.0 AS d2 FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d2, p_id)::BIGINT AS rank FROM (SELECT a.frame_idx AS q_id, b.frame_idx AS p_id, (a.tx - b.tx) * (a.tx - b.tx) + (a.ty - b.ty) * (a.ty - b.ty) + (a.tz - b.tz) * (a.tz - b.tz) AS d2 FROM pts a, pts b WHERE a.frame_idx % 10 = 0) WHERE d2 <= 0.01::DOUBLE * 0.01) WHERE rank <= 4", _KNN))
+_NEAREST = sql(
+    "poses",
+    "SELECT q_id, rank, p_id, round(d2, 6) + 0.0 AS d2 FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d2, p_id)::BIGINT AS rank FROM ("
+    "SELECT a.frame_idx AS q_id, b.frame_idx AS p_id, (a.tx - b.tx) * (a.tx - b.tx) + (a.ty - b.ty) * (a.ty - b.ty) + (a.tz - b.tz) * (a.tz - b.tz) AS d2 "
+    "FROM pts a, pts b WHERE a.frame_idx % 10 = 0)) WHERE rank <= 4",
+    _KNN,
+)
+
+
+@query(_NEAREST)
 def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four camera centres nearest to every tenth one, within a radius, met through a grid of cells."""
+    """The four camera centres nearest to every tenth one, at any distance, met through grids of growing cells."""
     p = poses(spark, sf_dir)
     q = p.where(F.col("frame_idx") % 10 == 0).select(F.col("frame_idx").alias("q_id"), F.col("tx").alias("q_x"), F.col("ty").alias("q_y"), F.col("tz").alias("q_z"))
     pts = p.select(F.col("frame_idx").alias("p_id"), F.col("tx").alias("p_x"), F.col("ty").alias("p_y"), F.col("tz").alias("p_z"))
-    near = lookups.k_nearest(q, pts, 4, 0.01)
+    near = lookups.k_nearest_whole(q, pts, 4, 0.01)
     return near.select("q_id", F.col("rank").cast("long").alias("rank"), "p_id", g.r6(F.col("d2")).alias("d2"))
 
 
-@query(sql("poses", "SELECT q_id, rank, p_id, round(d2, 6) + 0.0 AS d2 FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d2, p_id)::BIGINT AS rank FROM (SELECT a.frame_idx AS q_id, b.frame_idx AS p_id, (a.tx - b.tx) * (a.tx - b.tx) + (a.ty - b.ty) * (a.ty - b.ty) + (a.tz - b.tz) * (a.tz - b.tz) AS d2 FROM pts a, pts b WHERE a.frame_idx % 10 = 0)) WHERE rank <= 4", _KNN))
+@query(_NEAREST)
 def knn_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four camera centres nearest to every tenth one, at any distance."""
-    p = poses(spark, sf_dir)
-    q = p.where(F.col("frame_idx") % 10 == 0).select(F.col("frame_idx").alias("q_id"), F.col("tx").alias("q_x"), F.col("ty").alias("q_y"), F.col("tz").alias("q_z"))
-    pts = p.select(F.col("frame_idx").alias("p_id"), F.col("tx").alias("p_x"), F.col("ty").alias("p_y"), F.col("tz").alias("p_z"))
-    near = lookups.k_nearest_whole(q, pts, 4, 0.01)
-    return near.select("q_id", F.col("rank").cast("long").alias("rank"), "p_id", g.r6(F.col("d2")).alias("d2"))
+    """The same as knn_exact, which once kept a radius."""
+    return knn_exact(spark, sf_dir)
 
 
 @query(sql("tracks", "SELECT a.view_idx, a.kp_id, a.frame_idx, count(*) AS n, round(avg(b.u - a.u), 6) + 0.0 AS du FROM tracks a JOIN tracks b ON a.view_idx = b.view_idx AND a.kp_id = b.kp_id AND b.frame_idx = a.frame_idx + 1 GROUP BY ALL"))

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
 from framequery.operators import alignment, bundle, lookups
 from framequery.operators import neighbourhood as n
-from framequery.sources.frames import edges, grid, poses, sql
+from framequery.sources.frames import SIDE, edges, grid, poses, sql
 
 from .joins import _ROT, CAM
-from .catalog import query
+from .catalog import ORACLE_SQL, query
 
 _ROTS = "rot AS (SELECT frame_idx, tx, ty, tz, " + ", ".join(f"{e} AS m{k}" for k, e in _ROT.items()) + " FROM poses)"
-_SPAN = "span AS (SELECT f.frame_idx AS t, k.frame_idx AS s FROM poses f JOIN poses k ON k.frame_idx % 5 = 0 AND k.frame_idx // 5 BETWEEN f.frame_idx // 5 - 2 AND f.frame_idx // 5 WHERE f.frame_idx % 8 = 3)"
+_SPAN = (
+    "span AS (SELECT t, 5 * kf AS s FROM (SELECT frame_idx AS t, least(ceil(frame_idx / 5.0)::BIGINT + 3, (SELECT max(frame_idx) // 5 FROM poses)) AS hi FROM poses), "
+    "LATERAL (SELECT unnest(range(greatest(hi - 6, 0), hi + 1)) AS kf))"
+)
 _PTS = [
     "w AS (SELECT span.t, " + ", ".join(f"(a.m{k}0 * (p.c - 4) / 8.0::DOUBLE + a.m{k}1 * (p.r - 4) / 8.0::DOUBLE + a.m{k}2) * p.depth + a.t{x} - b.t{x} AS w{x}" for k, x in enumerate("xyz")) + ", b.* EXCLUDE (frame_idx, tx, ty, tz) FROM span JOIN rot a ON a.frame_idx = s JOIN rot b ON b.frame_idx = t JOIN grid p ON p.frame_idx = s AND p.mask)",
     "seen AS (SELECT t, floor(8 * y / z + 4.5)::BIGINT AS r, floor(8 * x / z + 4.5)::BIGINT AS c, z FROM (SELECT t, " + ", ".join(f"m0{k} * wx + m1{k} * wy + m2{k} * wz AS {x}" for k, x in enumerate("xyz")) + " FROM w) WHERE z > 0.1)",
@@ -22,12 +25,17 @@ _PTS = [
 ]
 
 
-def _canvas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(t, r, c, z): depth of the nearest map point on each (nearest) pixel, from the keyframes up to two before a frame."""
+def _canvas(spark: SparkSession, sf_dir: str, around: int = 3) -> DataFrame:
+    """(t, r, c, z): depth of the nearest map point on each (nearest) pixel.
+
+    A frame meets the keyframes from 2 x ``around`` before the last to it, which is
+    ``around`` after the first keyframe at or after the frame, or the last of all.
+    """
     p = poses(spark, sf_dir)
-    k = F.floor(F.col("t") / 5)
-    frames = p.where(F.col("frame_idx") % 8 == 3).select(F.col("frame_idx").alias("t"), *[c.alias(f"b_{m}") for m, c in g.pose().named().items()])
-    met = lookups.in_range(frames, F.greatest(F.lit(0).cast("long"), k - 2), k, "kf")
+    frames = p.select(F.col("frame_idx").alias("t"), *[c.alias(f"b_{m}") for m, c in g.pose().named().items()])
+    last = p.agg(F.floor(F.max("frame_idx") / 5).alias("__last"))  # one row
+    hi = F.least(F.ceil(F.col("t") / 5) + around, F.col("__last"))
+    met = lookups.in_range(frames.crossJoin(F.broadcast(last)), F.greatest(F.lit(0).cast("long"), hi - 2 * around), hi, "kf")
     keys = p.where(F.col("frame_idx") % 5 == 0).select(F.floor(F.col("frame_idx") / 5).alias("kf"), *[c.alias(f"a_{m}") for m, c in g.pose().named().items()])
     rel = g.compose(g.inverse(g.pose("b_")), g.pose("a_"))
     pairs = met.join(keys, "kf").select("t", "kf", *[c.alias(m) for m, c in rel.named().items()])
@@ -43,23 +51,45 @@ def map_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _canvas(spark, sf_dir).select("t", "r", "c", (F.round("z", 5) + F.lit(0.0)).alias("z"))
 
 
-@query(sql("grid", "SELECT e.frame_idx, e.r, e.c, round(arg_min(f.depth, ((e.r - f.r) * (e.r - f.r) + (e.c - f.c) * (e.c - f.c), f.r, f.c)), 6) + 0.0 AS depth FROM grid e JOIN grid f ON e.frame_idx = f.frame_idx AND NOT e.mask AND f.mask AND abs(e.r - f.r) <= 2 AND abs(e.c - f.c) <= 2 GROUP BY ALL"))
+def _neighbours(queries: DataFrame, masked: DataFrame, k: int) -> DataFrame:
+    """(frame_idx, q_id, rank, p_id, d2): the ``k`` masked pixels of a frame nearest to each pixel asked for, by number r * SIDE + c."""
+    number = (F.col("r") * SIDE + F.col("c")).cast("long")
+    q = queries.select("frame_idx", number.alias("q_id"), F.col("r").alias("q_r"), F.col("c").alias("q_c"))
+    p = masked.select("frame_idx", number.alias("p_id"), F.col("r").alias("p_r"), F.col("c").alias("p_c"))
+    return lookups.k_nearest_whole(q, p, k, 2.0, ("r", "c"), ("frame_idx",))
+
+
+def _pixel() -> list[Column]:
+    return [F.floor(F.col("q_id") / SIDE).alias("r"), (F.col("q_id") % SIDE).alias("c")]
+
+
+@query(sql("grid", "SELECT e.frame_idx, e.r, e.c, round(arg_min(f.depth, ((e.r - f.r) * (e.r - f.r) + (e.c - f.c) * (e.c - f.c), f.r, f.c)), 6) + 0.0 AS depth FROM grid e JOIN grid f ON e.frame_idx = f.frame_idx AND NOT e.mask AND f.mask GROUP BY ALL"))
 def map_infill_nn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unmasked pixels filled from the nearest masked one within two rows and columns."""
+    """Unmasked pixels filled from the nearest masked one of their frame, at any distance."""
     px = grid(spark, sf_dir)
-    sent = px.where("mask").select("frame_idx", F.col("r").alias("fr"), F.col("c").alias("fc"), "depth", F.explode(n.offsets(2)).alias("o"))
-    sent = sent.select("frame_idx", "depth", (F.col("fr") + F.col("o.dr")).alias("r"), (F.col("fc") + F.col("o.dc")).alias("c"), F.struct((F.col("o.dr") * F.col("o.dr") + F.col("o.dc") * F.col("o.dc")).alias("d2"), "fr", "fc").alias("at"))
-    filled = px.where(~F.col("mask")).select(*n.KEY).join(sent, n.KEY)
-    return filled.groupBy(*n.KEY).agg(g.r6(F.min_by("depth", "at")).alias("depth"))
+    near = _neighbours(px.where(~F.col("mask")), px.where("mask"), 1)
+    depth = px.select("frame_idx", (F.col("r") * SIDE + F.col("c")).alias("p_id"), "depth")
+    return near.join(depth, ["frame_idx", "p_id"]).select("frame_idx", *_pixel(), g.r6(F.col("depth")).alias("depth"))
+
 
+_FIT = (
+    "SELECT frame_idx, r, c, round(sum(w * x * y) / (sum(w * x * x) + 1e-6), 6) + 0.0 AS scale FROM ("
+    "SELECT frame_idx, r, c, 1.0::DOUBLE / (1 + d2) AS w, x, y FROM ("
+    "SELECT a.frame_idx, a.r, a.c, (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) AS d2, b.depth AS x, 1 / (1 + 0.1 * b.v) AS y, "
+    "row_number() OVER (PARTITION BY a.frame_idx, a.r, a.c ORDER BY (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c), b.r, b.c) AS n "
+    "FROM grid a JOIN grid b ON a.frame_idx = b.frame_idx AND b.mask) WHERE n <= 5) GROUP BY ALL"
+)
 
-@query(sql("grid", "SELECT e.frame_idx, e.r, e.c, round(sum(w * x * y) / (sum(w * x * x) + 1e-6), 6) + 0.0 AS scale FROM (SELECT a.frame_idx, a.r, a.c, 1.0::DOUBLE / (1 + (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c)) AS w, b.depth AS x, 1 / (1 + 0.1 * b.v) AS y FROM grid a JOIN grid b ON a.frame_idx = b.frame_idx AND b.mask AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1) e GROUP BY ALL"))
+
+@query(sql("grid", _FIT))
 def knn_weighted_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Local scale between two depths, masked neighbours weighed by inverse distance."""
-    sent = grid(spark, sf_dir).where("mask").select("frame_idx", F.col("r").alias("fr"), F.col("c").alias("fc"), F.col("depth").alias("x"), (1 / (1 + 0.1 * F.col("v"))).alias("y"), F.explode(n.offsets(1)).alias("o"))
-    w = F.lit(1.0) / (1 + F.col("o.dr") * F.col("o.dr") + F.col("o.dc") * F.col("o.dc"))
-    met = sent.select("frame_idx", (F.col("fr") + F.col("o.dr")).alias("r"), (F.col("fc") + F.col("o.dc")).alias("c"), "x", "y", w.alias("w")).where(F.col("r").between(0, 7) & F.col("c").between(0, 7))
-    return met.groupBy(*n.KEY).agg(g.r6(F.sum(F.col("w") * F.col("x") * F.col("y")) / (F.sum(F.col("w") * F.col("x") * F.col("x")) + 1e-6)).alias("scale"))
+    """Local scale between two depths from each pixel's five nearest masked ones, weighed by inverse distance."""
+    px = grid(spark, sf_dir)
+    near = _neighbours(px, px.where("mask"), 5).withColumn("w", F.lit(1.0) / (1 + F.col("d2")))
+    pair = px.select("frame_idx", (F.col("r") * SIDE + F.col("c")).alias("p_id"), F.col("depth").alias("x"), (1 / (1 + 0.1 * F.col("v"))).alias("y"))
+    met = near.join(pair, ["frame_idx", "p_id"]).groupBy("frame_idx", "q_id")
+    fit = met.agg((F.sum(F.col("w") * F.col("x") * F.col("y")) / (F.sum(F.col("w") * F.col("x") * F.col("x")) + 1e-6)).alias("scale"))
+    return fit.select("frame_idx", *_pixel(), g.r6(F.col("scale")).alias("scale"))
 
 
 @query(sql("grid", "SELECT a.frame_idx, a.instance, count(*) AS area, sum(CASE WHEN b.instance > 0 THEN 1 ELSE 0 END)::BIGINT AS overlap, 10 * sum(CASE WHEN b.instance > 0 THEN 1 ELSE 0 END) < 5 * count(*) AS is_new FROM grid a JOIN grid b ON b.frame_idx = a.frame_idx - 1 AND a.r = b.r AND a.c = b.c WHERE a.instance > 0 GROUP BY ALL"))
@@ -71,22 +101,19 @@ def new_object_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.withColumn("is_new", 10 * F.col("overlap") < 5 * F.col("area"))
 
 
-@query(sql("poses", "SELECT frame_idx, r, c, round(atan2(x, z) / (2 * pi()) + 0.5, 5) + 0.0 AS u, round(acos(-y / sqrt(x * x + y * y + z * z)) / pi(), 5) + 0.0 AS w FROM (SELECT frame_idx, r, c, " + ", ".join(f"m{k}0 * (c - 4) / 8.0::DOUBLE + m{k}1 * (r - 4) / 8.0::DOUBLE + m{k}2 AS {x}" for k, x in enumerate("xyz")) + " FROM rot, range(8) a(r), range(8) b(c) WHERE frame_idx % 10 = 0)", _ROTS))
+@query(sql("poses", "SELECT frame_idx, r, c, round(atan2(x, z) / (2 * pi()) + 0.5, 5) + 0.0 AS u, round(acos(-y / sqrt(x * x + y * y + z * z)) / pi(), 5) + 0.0 AS w FROM (SELECT frame_idx, r, c, " + ", ".join(f"m{k}0 * (c - 4) / 8.0::DOUBLE + m{k}1 * (r - 4) / 8.0::DOUBLE + m{k}2 AS {x}" for k, x in enumerate("xyz")) + " FROM rot, range(8) a(r), range(8) b(c))", _ROTS))
 def equirect_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each pixel of a posed perspective view falls on the panorama."""
     eight = F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))
-    px = poses(spark, sf_dir).where(F.col("frame_idx") % 10 == 0).withColumn("r", F.explode(eight)).withColumn("c", F.explode(eight))
+    px = poses(spark, sf_dir).withColumn("r", F.explode(eight)).withColumn("c", F.explode(eight))
     u, w = g.panorama_project(g.rotate(g.pose().q, CAM.ray(F.col("c").cast("double"), F.col("r").cast("double"))))
     return px.select("frame_idx", "r", "c", (F.round(u, 5) + F.lit(0.0)).alias("u"), (F.round(w, 5) + F.lit(0.0)).alias("w"))
 
 
-@query(sql("poses", "SELECT frame_idx, r, c, round(atan2(x, z) / (2 * pi()) + 0.5, 5) + 0.0 AS u, round(acos(-y / sqrt(x * x + y * y + z * z)) / pi(), 5) + 0.0 AS w FROM (SELECT frame_idx, r, c, " + ", ".join(f"m{k}0 * (c - 4) / 8.0::DOUBLE + m{k}1 * (r - 4) / 8.0::DOUBLE + m{k}2 AS {x}" for k, x in enumerate("xyz")) + " FROM rot, range(8) a(r), range(8) b(c))", _ROTS))
+@query(ORACLE_SQL["equirect_uv"])
 def equirect_uv_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each pixel of a posed perspective view falls on the panorama, for every frame."""
-    eight = F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))
-    px = poses(spark, sf_dir).withColumn("r", F.explode(eight)).withColumn("c", F.explode(eight))
-    u, w = g.panorama_project(g.rotate(g.pose().q, CAM.ray(F.col("c").cast("double"), F.col("r").cast("double"))))
-    return px.select("frame_idx", "r", "c", (F.round(u, 5) + F.lit(0.0)).alias("u"), (F.round(w, 5) + F.lit(0.0)).alias("w"))
+    """The same as equirect_uv, which once computed every tenth frame."""
+    return equirect_uv(spark, sf_dir)
 
 
 @query(sql("grid", "SELECT frame_idx, r, c, round(8 * x / (1 + k * sqrt(x * x + y * y + 1)) + 4, 6) + 0.0 AS u, round(8 * y / (1 + k * sqrt(x * x + y * y + 1)) + 4, 6) + 0.0 AS w FROM (SELECT frame_idx, r, c, 0.1 + 0.01 * view_idx AS k, (c - 4) / 8.0::DOUBLE AS x, (r - 4) / 8.0::DOUBLE AS y FROM grid)"))
