@@ -204,3 +204,44 @@ def truncated_gnc(r2: Column, c2: float, mu: float) -> Column:
     """Graduated truncated least squares: one, then falling, then nought."""
     low, high = mu / (mu + 1) * c2, (mu + 1) / mu * c2
     return F.when(r2 <= low, 1.0).when(r2 >= high, 0.0).otherwise(F.sqrt(F.lit(c2 * mu * (mu + 1)) / r2) - mu)
+
+
+def adjoint(p: Pose, tau: Vec, phi: Vec) -> tuple[Vec, Vec]:
+    """The twist that, after the pose, moves as (tau, phi) does before it."""
+    turned = rotate(p.q, phi)
+    return add(rotate(p.q, tau), cross(p.t, turned)), turned
+
+
+def adjoint_transposed(p: Pose, tau: Vec, phi: Vec) -> tuple[Vec, Vec]:
+    """A co-twist after the pose, taken to before it."""
+    back = (-p.qx, -p.qy, -p.qz, p.qw)
+    return rotate(back, tau), rotate(back, add(phi, cross(tau, p.t)))
+
+
+class Similarity(NamedTuple):
+    """A rotation and translation with a positive scale: x goes to scale * rotated x + t."""
+
+    pose: Pose
+    scale: Column
+
+
+def sim3_act(s: Similarity, x: Vec) -> Vec:
+    return add(scale(rotate(s.pose.q, x), s.scale), s.pose.t)
+
+
+def sim3_compose(a: Similarity, b: Similarity) -> Similarity:
+    """First ``b``, then ``a``."""
+    return Similarity(Pose(*sim3_act(a, b.pose.t), *quat_mul(a.pose.q, b.pose.q)), a.scale * b.scale)
+
+
+def sim3_inverse(s: Similarity) -> Similarity:
+    back = (-s.pose.qx, -s.pose.qy, -s.pose.qz, s.pose.qw)
+    return Similarity(Pose(*scale(rotate(back, s.pose.t), -1 / s.scale), *back), 1 / s.scale)
+
+
+def yaw_pitch(yaw: Column, pitch: Column) -> tuple[Column, Column, Column, Column]:
+    """The rotation that first pitches about x, then yaws about y, with a scalar part that isn't negative."""
+    sy, cy, sp, cp = F.sin(yaw / 2), F.cos(yaw / 2), F.sin(pitch / 2), F.cos(pitch / 2)
+    q = (cy * sp, sy * cp, -sy * sp, cy * cp)
+    sign = F.when(q[3] < 0, -1.0).otherwise(1.0)
+    return tuple(sign * v for v in q)

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 AXES = ("x", "y", "z")
 
 
-def similarity(points: DataFrame, by: str) -> DataFrame:
-    """(by, n, scale, r00..r22, tx, ty, tz): the similarity that takes a to b with least squared error.
+def similarity(points: DataFrame, by: str, rigid: bool = False) -> DataFrame:
+    """(by, n, scale, r00..r22, tx, ty, tz): the similarity that takes a to b with least squared error; of scale 1 if ``rigid``.
 
     ``points`` has a_x..a_z and b_x..b_z. A group's rows enter through seventeen sums; only
     these meet the singular value decomposition, one 3x3 a group. A group without extent
@@ -36,7 +36,7 @@ def similarity(points: DataFrame, by: str) -> DataFrame:
                 flip = np.diag([1.0, 1.0, np.sign(np.linalg.det(u) * np.linalg.det(vt)) or 1.0])
                 rotation = u @ flip @ vt
                 spread = r["aa"] / n - a @ a
-                scale = float((d * np.diag(flip)).sum() / spread) if spread > 1e-12 else 1.0
+                scale = float((d * np.diag(flip)).sum() / spread) if spread > 1e-12 and not rigid else 1.0
                 found.append((r[by], n, scale, *rotation.ravel(), *(b - scale * rotation @ a)))
             yield pd.DataFrame(found, columns=out)
 
@@ -67,3 +67,26 @@ def greedy_edges(rows: DataFrame, by: str, radius: int, most: int) -> DataFrame:
 
     picked = rows.select(by, "i", "j", "d")
     return picked.repartition(by).sortWithinPartitions(by, "d", "i", "j").mapInPandas(walk, picked.schema)
+
+
+def mean_poses(rows: DataFrame, by: str) -> DataFrame:
+    """(by, n, tx..qw): the mean translation, and the rotation of least summed squared chordal distance.
+
+    A group's quaternions enter through the ten sums of their outer products; the rotation is
+    the eigenvector of the greatest eigenvalue, its scalar part not negative.
+    """
+    q = ("qx", "qy", "qz", "qw")
+    upper = [(a, b) for k, a in enumerate(q) for b in q[k:]]
+    sums = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"t{x}").alias(f"t{x}") for x in AXES], *[F.sum(F.col(a) * F.col(b)).alias(f"{a}{b}") for a, b in upper])
+    kind = rows.schema[by].dataType.simpleString()
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            m = np.zeros((len(b), 4, 4))
+            for x, y in upper:
+                m[:, q.index(x), q.index(y)] = m[:, q.index(y), q.index(x)] = b[x + y]
+            v = np.linalg.eigh(m)[1][:, :, -1] if len(b) else np.zeros((0, 4))
+            v = v * np.where(v[:, 3:] < 0, -1.0, 1.0)
+            yield b[[by, "n", "tx", "ty", "tz"]].assign(**{name: v[:, k] for k, name in enumerate(q)})
+
+    return sums.mapInPandas(solve, f"{by} {kind}, n long, tx double, ty double, tz double, " + ", ".join(f"{x} double" for x in q))

@@ -13,18 +13,21 @@ from framequery.sources.frames import edges, grid, sql, streams, table
 
 from .catalog import query
 from .depth_maps import _TAPS
-from .joins import _FLOW, FLOW_VIEWS, depth_filter, reprojected
+from .joins import _FLOW, _MET, FLOW_VIEWS, depth_filter, reprojected
 
-_AGREE = "agree AS (SELECT f.i, f.r, f.c, sum(CASE WHEN abs(g.disp - f.disp) < 0.1 THEN 1 ELSE 0 END) AS agree FROM flow f LEFT JOIN grid g ON g.frame_idx = 5 * f.j AND g.r = floor(f.w)::BIGINT AND g.c = floor(f.u)::BIGINT AND f.seen GROUP BY ALL)"
+_KEPT = (
+    "SELECT a.i, a.r, a.c FROM (SELECT i, r, c, sum(hit) AS agree FROM hits GROUP BY ALL) a JOIN grid g ON g.frame_idx = 5 * a.i AND g.r = a.r AND g.c = a.c "
+    "JOIN (SELECT frame_idx, avg(disp) AS mean FROM grid GROUP BY ALL) m USING (frame_idx) WHERE agree >= 2 AND mask AND disp > 0.5 * mean"
+)
 
 
-@query(sql(FLOW_VIEWS, "SELECT a.i, a.r, a.c FROM agree a JOIN grid g ON g.frame_idx = 5 * a.i AND g.r = a.r AND g.c = a.c JOIN (SELECT frame_idx, avg(disp) AS mean FROM grid GROUP BY ALL) m USING (frame_idx) WHERE agree >= 2 AND mask AND disp > 0.97 * mean", *_FLOW, _AGREE))
-def map_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyframe pixels that two neighbours confirm, unmasked and not far behind their frame's mean disparity."""
+@query(sql(FLOW_VIEWS, _KEPT, *_FLOW, _MET))
+def map_extract(spark: SparkSession, sf_dir: str, share: float = 0.5, least: int = 2) -> DataFrame:
+    """Keyframe pixels that ``least`` neighbours confirm, unmasked and of more than ``share`` of their frame's mean disparity."""
     px = grid(spark, sf_dir).where(F.col("frame_idx") % 5 == 0).withColumn("i", F.floor(F.col("frame_idx") / 5))
     mean = px.groupBy("i").agg(F.avg("disp").alias("mean"))
-    kept = px.where("mask").join(mean, "i").where("disp > 0.97 * mean").select("i", "r", "c")
-    return kept.join(depth_filter(spark, sf_dir).where("agree >= 2"), ["i", "r", "c"], "left_semi")
+    kept = px.where("mask").join(mean, "i").where(F.col("disp") > share * F.col("mean")).select("i", "r", "c")
+    return kept.join(depth_filter(spark, sf_dir).where(F.col("agree") >= least), ["i", "r", "c"], "left_semi")
 
 
 @query(sql("grid", "SELECT row_number() OVER (ORDER BY frame_idx, r, c) AS point_id, frame_idx, r, c FROM grid WHERE frame_idx % 5 = 0 AND mask"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framequery.functions import geometry as g
-from framequery.operators import lookups
-from framequery.sources.frames import edges, grid, keyframes, poses, sql, streams, tracks
+from framequery.operators import frame_graph, lookups
+from framequery.sources.frames import SIDE, edges, grid, keyframes, poses, sql, streams, tracks
 
 from .catalog import query
 
@@ -154,22 +154,42 @@ def reproject_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reprojected(spark, sf_dir).select("i", "j", "r", "c", (F.round("u", 5) + F.lit(0.0)).alias("u"), (F.round("w", 5) + F.lit(0.0)).alias("w"), "seen")
 
 
-@query(sql(FLOW_VIEWS, "SELECT i, j, round(CASE WHEN avg(CASE WHEN seen AND u BETWEEN 0 AND 8 AND w BETWEEN 0 AND 8 THEN 1.0 ELSE 0.0 END) < 0.5 THEN 1000 ELSE avg(CASE WHEN seen AND u BETWEEN 0 AND 8 AND w BETWEEN 0 AND 8 THEN sqrt((u - c) * (u - c) + (w - r) * (w - r)) END) END, 5) + 0.0 AS distance FROM flow GROUP BY ALL", *_FLOW))
+def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The keyframes' pixels (i, r, c, disp) and the edges' relative poses."""
+    p = poses(spark, sf_dir).where(F.col("frame_idx") % 5 == 0)
+    named = lambda k: p.select(F.floor(F.col("frame_idx") / 5).cast("long").alias(k), *[c.alias(f"{k}_{n}") for n, c in g.pose().named().items()])
+    rel = edges(spark, sf_dir).join(named("i"), "i").join(named("j"), "j")
+    px = grid(spark, sf_dir).where(F.col("frame_idx") % 5 == 0).select(F.floor(F.col("frame_idx") / 5).cast("long").alias("i"), "r", "c", "disp")
+    return px, rel.select("i", "j", *[c.alias(f"r_{n}") for n, c in _relative("i_", "j_").named().items()])
+
+
+_SHIFT = "shift AS (SELECT e.i, e.j, " + ", ".join(f"b.m0{k} * (a.tx - b.tx) + b.m1{k} * (a.ty - b.ty) + b.m2{k} * (a.tz - b.tz) AS s{k}" for k in range(3)) + " FROM edges e JOIN rot a ON a.frame_idx = 5 * e.i JOIN rot b ON b.frame_idx = 5 * e.j)"
+_BOTH = "parts AS (SELECT i, j, r, c, x, y, z, 0.3::DOUBLE AS w FROM cam UNION ALL SELECT i, j, r, c, (c - 4) / 8.0::DOUBLE + disp * s0, (r - 4) / 8.0::DOUBLE + disp * s1, 1 + disp * s2, 0.7::DOUBLE FROM cam JOIN shift USING (i, j))"
+_WAYS = (
+    "ways AS (SELECT i, j, CASE WHEN sum(CASE WHEN z > 0.25 THEN w ELSE 0 END) / (sum(w) + 1e-8) < 0.75 THEN 1000 "
+    "ELSE sum(CASE WHEN z > 0.25 THEN w * sqrt((8 * x / z + 4 - c) * (8 * x / z + 4 - c) + (8 * y / z + 4 - r) * (8 * y / z + 4 - r)) ELSE 0 END) "
+    "/ sum(CASE WHEN z > 0.25 THEN w ELSE 0 END) END AS d FROM parts GROUP BY i, j)"
+)
+
+
+@query(sql(FLOW_VIEWS, "SELECT a.i, a.j, round((a.d + b.d) / 2, 5) + 0.0 AS distance FROM ways a JOIN ways b ON a.i = b.j AND a.j = b.i", *_FLOW, _SHIFT, _BOTH, _WAYS))
 def frame_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean flow of an edge's pixels that stay in the frame; 1000 if fewer than half do."""
-    inside = F.col("seen") & F.col("u").between(0, 8) & F.col("w").between(0, 8)
-    step = F.sqrt((F.col("u") - F.col("c")) * (F.col("u") - F.col("c")) + (F.col("w") - F.col("r")) * (F.col("w") - F.col("r")))
-    d = F.when(F.avg(F.when(inside, 1.0).otherwise(0.0)) < 0.5, 1000.0).otherwise(F.avg(F.when(inside, step)))
-    return reprojected(spark, sf_dir).groupBy("i", "j").agg((F.round(d, 5) + F.lit(0.0)).alias("distance"))
+    """Mean flow of every edge and its reverse, 0.3 of it by the whole motion, the rest by translation alone."""
+    d = frame_graph.frame_distance(*_graph(spark, sf_dir), CAM)
+    return d.select("i", "j", (F.round("distance", 5) + F.lit(0.0)).alias("distance"))
+
+
+_MET = (
+    "hits AS (SELECT p.i, p.j, p.r, p.c, max(CASE WHEN abs(p.z / p.disp - 1 / g.disp) < 0.1 THEN 1 ELSE 0 END) AS hit FROM "
+    "(SELECT *, floor(8 * x / z + 4)::BIGINT AS u0, floor(8 * y / z + 4)::BIGINT AS v0 FROM cam) p "
+    "JOIN grid g ON g.frame_idx = 5 * p.j AND g.r BETWEEN p.v0 AND p.v0 + 1 AND g.c BETWEEN p.u0 AND p.u0 + 1 WHERE p.u0 BETWEEN 0 AND 6 AND p.v0 BETWEEN 0 AND 6 GROUP BY ALL)"
+)
 
 
-@query(sql(FLOW_VIEWS, "SELECT f.i, f.r, f.c, sum(CASE WHEN abs(g.disp - f.disp) < 0.1 THEN 1 ELSE 0 END)::BIGINT AS agree, count(g.disp) AS met FROM flow f LEFT JOIN grid g ON g.frame_idx = 5 * f.j AND g.r = floor(f.w)::BIGINT AND g.c = floor(f.u)::BIGINT AND f.seen GROUP BY ALL", *_FLOW))
+@query(sql(FLOW_VIEWS, "SELECT k.frame_idx // 5 AS i, k.r, k.c, coalesce(sum(hit), 0)::BIGINT AS agree, count(hit) AS met FROM grid k LEFT JOIN hits h ON h.i = k.frame_idx // 5 AND h.r = k.r AND h.c = k.c WHERE k.frame_idx % 5 = 0 GROUP BY ALL", *_FLOW, _MET))
 def depth_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In how many neighbouring keyframes the pixel that a pixel falls on has much the same disparity."""
-    f = reprojected(spark, sf_dir).select("i", "j", "r", "c", "disp", F.when(F.col("seen"), F.floor("w").cast("long")).alias("tr"), F.when(F.col("seen"), F.floor("u").cast("long")).alias("tc"))
-    px = grid(spark, sf_dir).where(F.col("frame_idx") % 5 == 0).select(F.floor(F.col("frame_idx") / 5).cast("long").alias("j"), F.col("r").alias("tr"), F.col("c").alias("tc"), F.col("disp").alias("there"))
-    met = f.join(px, ["j", "tr", "tc"], "left")
-    return met.groupBy("i", "r", "c").agg(F.sum(F.when(F.abs(F.col("there") - F.col("disp")) < 0.1, 1).otherwise(0)).alias("agree"), F.count("there").alias("met"))
+    """In how many neighbouring keyframes one of the four pixels around a pixel's place has much the same depth."""
+    return frame_graph.agreements(*_graph(spark, sf_dir), CAM, SIDE, SIDE, 0.1)
 
 
 @query(sql("keyframes edges", "SELECT i, j FROM edges e WHERE NOT EXISTS (SELECT 1 FROM edges a WHERE a.i = e.i AND a.j = e.j AND (a.i + a.j) % 3 = 0)"))

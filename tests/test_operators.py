@@ -259,3 +259,56 @@ def test_bundle_rounds_lower_the_energy(spark, sf):
     cams, px = (d.cache() for d in bundle.adjusted(cams, px, e, targets, maps.CAM, lambda k: F.lit(0), lambda k: k == 0, (1e-2, 1.0), (0.0, 1.0)))
     after = energy()
     assert after < 0.9 * before
+
+
+def test_similarities_undo_and_compose(spark):
+    rng = np.random.default_rng(21)
+    n = lambda v: v / np.linalg.norm(v)
+    a, b = (np.r_[rng.normal(size=3), n(rng.normal(size=4))] for _ in range(2))
+    x = rng.normal(size=3)
+    df = spark.createDataFrame([(*map(float, a), *map(float, b), *map(float, x))], ", ".join(f"{p}{c} double" for p in "ab" for c in g.Pose._fields) + ", x double, y double, z double")
+    sa, sb = g.Similarity(g.pose("a"), F.lit(1.7)), g.Similarity(g.pose("b"), F.lit(0.4))
+    p = tuple(F.col(c) for c in "xyz")
+    out = [g.sim3_act(g.sim3_compose(sa, sb), p), g.sim3_act(sa, g.sim3_act(sb, p)), g.sim3_act(g.sim3_inverse(sa), g.sim3_act(sa, p))]
+    r = df.select(*[v.alias(f"o{k}{j}") for k, o in enumerate(out) for j, v in enumerate(o)]).first()
+    got = np.array(r).reshape(3, 3)
+    want = 1.7 * _quat_matrix(a[3:]) @ (0.4 * _quat_matrix(b[3:]) @ x + b[:3]) + a[:3]
+    assert np.allclose(got, [want, want, x])
+
+
+def test_adjoints(spark):
+    """The adjoint turns a twist before a pose into one after it; its transpose keeps products."""
+    rng = np.random.default_rng(22)
+    q = rng.normal(size=4)
+    p = np.r_[rng.normal(size=3), q / np.linalg.norm(q)]
+    v, w = rng.normal(size=6), rng.normal(size=6)
+    df = spark.createDataFrame([tuple(map(float, (*p, *v, *w)))], ", ".join(f"{c} double" for c in (*g.Pose._fields, *(f"v{k}" for k in range(6)), *(f"w{k}" for k in range(6)))))
+    col = lambda n: (tuple(F.col(f"{n}{k}") for k in range(3)), tuple(F.col(f"{n}{k}") for k in range(3, 6)))
+    out = [x for pair in (g.adjoint(g.pose(), *col("v")), g.adjoint_transposed(g.pose(), *col("w"))) for part in pair for x in part]
+    r = np.array(df.select(*[c.alias(f"c{k}") for k, c in enumerate(out)]).first())
+    rot, t = _quat_matrix(p[3:]), p[:3]
+    skew = np.array([[0, -t[2], t[1]], [t[2], 0, -t[0]], [-t[1], t[0], 0]])
+    adj = np.block([[rot, skew @ rot], [np.zeros((3, 3)), rot]])
+    assert np.allclose(r[:6], adj @ v) and np.allclose(r[6:], adj.T @ w)
+
+
+def test_mean_pose_is_the_eigenvector(spark):
+    rng = np.random.default_rng(23)
+    rows = [(k // 10, *map(float, rng.normal(size=3)), *map(float, (lambda q: q / np.linalg.norm(q))(np.r_[0.3 * rng.normal(size=3), 1.0]) * rng.choice([-1, 1]))) for k in range(30)]
+    df = spark.createDataFrame(rows, "k long, " + ", ".join(f"{c} double" for c in g.Pose._fields))
+    for r in alignment.mean_poses(df, "k").collect():
+        own = np.array([x[1:] for x in rows if x[0] == r.k])
+        v = np.linalg.eigh(own[:, 3:].T @ own[:, 3:])[1][:, -1]
+        assert np.allclose([r.tx, r.ty, r.tz], own[:, :3].mean(axis=0)) and np.allclose([r.qx, r.qy, r.qz, r.qw], v * np.sign(v[3]))
+
+
+def test_rigid_alignment(spark):
+    rng = np.random.default_rng(24)
+    a = rng.normal(size=(30, 3))
+    q = rng.normal(size=4)
+    rot = _quat_matrix(q / np.linalg.norm(q))
+    b = 1.3 * a @ rot.T + [1, 2, 3]
+    df = spark.createDataFrame([(0, *map(float, x), *map(float, y)) for x, y in zip(a, b, strict=True)], "k long, " + ", ".join(f"{s}_{x} double" for s in "ab" for x in "xyz"))
+    r = alignment.similarity(df, "k", rigid=True).first()
+    assert r.scale == 1.0 and np.allclose([[r[f"r{p}{c}"] for c in range(3)] for p in range(3)], rot)
+    assert np.allclose([r.tx, r.ty, r.tz], b.mean(axis=0) - rot @ a.mean(axis=0))
