@@ -52,3 +52,18 @@ def dense_number(ids: DataFrame, column: str, out: str, width: int = 1024) -> Da
     starts = cut.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     within = F.row_number().over(Window.partitionBy("__range").orderBy(column)) - 1
     return cut.withColumn("__k", within).join(starts, "__range").select(column, (F.col("__start") + F.col("__k")).cast("long").alias(out))
+
+
+def numbered(rows: DataFrame, by: str, part: Column, order: list[Column], out: str) -> DataFrame:
+    """``rows`` numbered from 0 within ``by`` in ``order``, of which ``part`` is a coarser form: days of times, prefixes of names.
+
+    Rows are numbered within their part, after the counts of the parts before, so that one
+    row a part passes through the step over all of ``by``. Null keys form one group.
+    """
+    cut = rows.withColumn("__part", part)
+    before = Window.partitionBy(by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy(by, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    starts = starts.select(F.col(by).alias("__by"), F.col("__part").alias("__at"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    within = F.row_number().over(Window.partitionBy(by, "__part").orderBy(*order)) - 1
+    same = F.col(by).eqNullSafe(F.col("__by")) & F.col("__part").eqNullSafe(F.col("__at"))
+    return cut.withColumn("__k", within).join(starts, same).withColumn(out, (F.col("__start") + F.col("__k")).cast("long")).drop("__part", "__k", "__by", "__at", "__start")

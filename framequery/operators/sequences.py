@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, log
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,23 +11,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def smoothed(rows: DataFrame, by: str, order: str, value: Column, decay: float, out: str, block: int = 256) -> DataFrame:
+def smoothed(rows: DataFrame, by: str, order: str, value: Column, decay: float, out: str, block: int = 256, position: Column | None = None) -> DataFrame:
     """Exponential moving average along ``order``: the first value, then decay * before + (1 - decay) * value.
 
     A stream is cut into blocks of positions, each of which folds on its own from nought;
-    what comes before a block enters with the decay of its distance. Only one row a block
-    passes through the stream-wide step, so that a very long stream doesn't fold in one task.
+    what comes before a block enters with the decay of its distance, from as many blocks back
+    as a double can tell. ``position`` numbers a stream's rows from 0 without gaps; where it
+    isn't given they are numbered here, which sorts each stream in one task.
     """
-    at = Window.partitionBy(by).orderBy(order)
+    number = position if position is not None else F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1
     first = F.col("__n") == 0
     # each value weighed by its power of the decay inside its block; the first stands for all before it
-    rows = rows.withColumn("__n", F.row_number().over(at) - 1).withColumn("__x", value)
+    rows = rows.withColumn("__n", number).withColumn("__x", value)
     rows = rows.withColumn("__b", F.floor(F.col("__n") / block)).withColumn("__k", F.col("__n") % block)
     gain = F.when(first, F.col("__x")).otherwise((1 - decay) * F.col("__x"))
     inside = Window.partitionBy(by, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("__own", F.sum(gain * F.pow(F.lit(decay), -F.col("__k"))).over(inside) * F.pow(F.lit(decay), F.col("__k")))
     ends = rows.groupBy(by, "__b").agg(F.max_by("__own", "__k").alias("__end"), F.max("__k").alias("__last"))
-    held = F.sort_array(F.collect_list(F.struct("__b", "__end", "__last")).over(Window.partitionBy(by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)))
+    back = max(1, ceil(18 * log(10) / (-log(decay) * block)))
+    held = F.sort_array(F.collect_list(F.struct("__b", "__end", "__last")).over(Window.partitionBy(by).orderBy("__b").rowsBetween(-back, -1)))
     carried = ends.select(by, "__b", F.aggregate(held, F.lit(0.0), lambda a, x: a * F.pow(F.lit(decay), x["__last"] + 1) + x["__end"]).alias("__in"))
     joined = rows.join(carried, [by, "__b"])
     return joined.withColumn(out, F.col("__own") + F.col("__in") * F.pow(F.lit(decay), F.col("__k") + 1)).drop("__n", "__x", "__b", "__k", "__own", "__in")

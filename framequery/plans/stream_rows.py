@@ -77,11 +77,12 @@ def attributes_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams(spark, sf_dir).select("stream_id", "frame_idx", F.array_join(F.array_compact(F.array(*has)), ",").alias("present"))
 
 
-@query(sql("streams", "SELECT stream_id, string_agg(kp_id::VARCHAR, ',' ORDER BY frame_idx) AS kp_ids, count(*) AS n FROM streams GROUP BY ALL"))
+@query(sql("streams", "SELECT stream_id, frame_idx // 256 AS block, string_agg(kp_id::VARCHAR, ',' ORDER BY frame_idx) AS kp_ids, count(*) AS n FROM streams GROUP BY ALL"))
 def stream_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One attribute of a stream as a list in frame order."""
+    """One attribute of a stream as lists in frame order, 256 frames each, so that no list grows with its stream."""
     in_order = F.sort_array(F.collect_list(F.struct("frame_idx", "kp_id")))
-    return streams(spark, sf_dir).groupBy("stream_id").agg(F.array_join(F.transform(in_order, lambda x: x["kp_id"].cast("string")), ",").alias("kp_ids"), F.count(F.lit(1)).alias("n"))
+    blocks = streams(spark, sf_dir).groupBy("stream_id", F.floor(F.col("frame_idx") / 256).alias("block"))
+    return blocks.agg(F.array_join(F.transform(in_order, lambda x: x["kp_id"].cast("string")), ",").alias("kp_ids"), F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT vec_id AS frame_idx, round(8 * (4 + label) / 8.0::DOUBLE, 6) + 0.0 AS fx, round(8 * (5 + label) / 8.0::DOUBLE, 6) + 0.0 AS fy, round(4 * (4 + label) / 8.0::DOUBLE, 6) + 0.0 AS cx, round(4 * (5 + label) / 8.0::DOUBLE, 6) + 0.0 AS cy, 1.0::DOUBLE AS fx_eighth FROM embeddings")

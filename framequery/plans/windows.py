@@ -13,11 +13,17 @@ from framequery.sources.frames import grid, poses, sql, streams, table
 from .catalog import query
 
 
-@query(sql("streams", "SELECT stream_id, frame_idx, round(pow(0.9::DOUBLE, frame_idx) * (first_value(ln(1 + score)) OVER w + sum(CASE WHEN frame_idx > 0 THEN 0.1::DOUBLE * ln(1 + score) * pow(0.9::DOUBLE, -frame_idx) ELSE 0 END) OVER w), 4) + 0.0 AS ema FROM streams WHERE frame_idx < 200 WINDOW w AS (PARTITION BY stream_id ORDER BY frame_idx)"))
+_EMA = (
+    "ema AS (SELECT stream_id, frame_idx, ln(1 + score) AS m FROM streams WHERE frame_idx = 0 UNION ALL "
+    "SELECT s.stream_id, s.frame_idx, 0.9::DOUBLE * m + 0.1::DOUBLE * ln(1 + s.score) FROM ema e JOIN streams s ON s.stream_id = e.stream_id AND s.frame_idx = e.frame_idx + 1)"
+)
+
+
+@query(sql("streams", "SELECT stream_id, frame_idx, round(m, 4) + 0.0 AS ema FROM ema", _EMA).replace("WITH ", "WITH RECURSIVE ", 1))
 def ema_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running average of the logarithm of each stream's scores, over all frames; the SQL stops at the 200th, as its powers grow too large."""
+    """Running average of the logarithm of each stream's scores, over all frames."""
     s = streams(spark, sf_dir).select("stream_id", "frame_idx", "score")
-    return sequences.smoothed(s, "stream_id", "frame_idx", F.ln(1 + F.col("score")), 0.9, "ema", block=64).select("stream_id", "frame_idx", (F.round("ema", 4) + F.lit(0.0)).alias("ema"))
+    return sequences.smoothed(s, "stream_id", "frame_idx", F.ln(1 + F.col("score")), 0.9, "ema", block=64, position=F.col("frame_idx")).select("stream_id", "frame_idx", (F.round("ema", 4) + F.lit(0.0)).alias("ema"))
 
 
 @query(sql("streams", "SELECT stream_id, frame_idx, w FROM streams, range(2000) t(w) WHERE frame_idx >= w * 7 AND frame_idx < w * 7 + 10"))

@@ -15,9 +15,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framequery.functions import geometry as g
+from framequery.operators.scatter import numbered
 
 IMAGES = ("jpg", "jpeg", "png", "bmp")
 _POSE = list(g.Pose._fields)
@@ -40,11 +40,8 @@ def frame_folder(files: DataFrame, extensions: tuple[str, ...] = IMAGES) -> Data
     task. Files with other extensions are left out; an empty folder gives no rows.
     """
     kept = files.where(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*extensions)).select(folder(F.col("path")).alias("stream"), "path")
-    sized = kept.withColumn("__part", F.substring(stem(F.col("path")), 1, 6))
-    before = Window.partitionBy("stream").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sized.groupBy("stream", "__part").agg(F.count(F.lit(1)).alias("__n")).withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    within = F.row_number().over(Window.partitionBy("stream", "__part").orderBy("path")) - 1
-    return sized.withColumn("__k", within).join(starts, ["stream", "__part"]).select("stream", (F.col("__start") + F.col("__k")).cast("long").alias("frame_idx"), "path")
+    found = numbered(kept, "stream", F.substring(stem(F.col("path")), 1, 6), [F.col("path")], "frame_idx")
+    return found.select("stream", "frame_idx", "path")
 
 
 def read_frame_folders(spark: SparkSession, path: str) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from framequery.operators.scatter import numbered
 
 #: Side of the square grid that an embedding is.
 SIDE = 8
@@ -46,9 +47,10 @@ def edges(spark: SparkSession, sf_dir: str, radius: int = 3) -> DataFrame:
 
 def streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(stream_id, frame_idx, raw_frame_idx, ts, phrase, score, kp_id): one row a frame, numbered from 0."""
-    by_time = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("stream_id"), (F.row_number().over(by_time) - 1).cast("long").alias("frame_idx"), F.col("event_id").alias("raw_frame_idx"), "ts",
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value", "props")
+    e = numbered(e, "user_id", F.date_trunc("day", "ts"), [F.col("ts"), F.col("event_id")], "frame_idx")
+    return e.select(
+        F.col("user_id").alias("stream_id"), "frame_idx", F.col("event_id").alias("raw_frame_idx"), "ts",
         F.col("event_type").alias("phrase"), F.col("value").alias("score"), F.get_json_object("props", "$.k").cast("long").alias("kp_id"),
     )
 
