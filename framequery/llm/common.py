@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import math
 import tempfile
 import uuid
@@ -14,7 +13,7 @@ from pyspark.sql.window import Window
 #: A word is a run of bytes that are neither a space nor one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_made: dict[str, SparkSession] = {}
+_made: set[str] = set()
 _own_dir: list[str] = []
 
 
@@ -22,7 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     """A folder that the driver and every executor see, for this application only.
 
     It lies in ``spark.checkpoint.dir``; where that is unset a new temporary folder serves
-    a local master, and a cluster gets an error.
+    a local master, and a cluster gets an error. The driver's JVM deletes it when it ends in
+    good order, whether or not the session was stopped before.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -33,20 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
         base = _own_dir[0]
     path = f"{base.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
     if path not in _made:
-        _made[path] = spark
-        atexit.register(_forget, path)
+        _made.add(path)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
     return path
 
 
-def _forget(path: str) -> None:
-    """Delete the application's scratch folder when the driver ends in good order."""
-    sc = _made.pop(path).sparkContext
-    if sc._jsc is not None:
-        jvm = sc._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -119,3 +113,23 @@ def salted_rank(df: DataFrame, keys: list[str], order: list[Column], salt_on: li
         same = same & F.col(k).eqNullSafe(F.col(f"{out}_k{i}"))
     drop = [salt, f"{out}_s", f"{out}_start", f"{out}_rn", *[f"{out}_k{i}" for i in range(len(keys))]]
     return ranked.join(starts, same).withColumn(out, (F.col(f"{out}_rn") + F.col(f"{out}_start")).cast("long")).drop(*drop)
+
+
+def numbered(df: DataFrame, order: list[Column], out: str, name: str) -> DataFrame:
+    """The rows of ``df`` with ``out``, their place from 0 in ``order`` over the whole table.
+
+    ``df`` is read twice and should be written. It is sorted by ranges into files of the
+    shared folder, whose numbers follow the order; a row's place is its row in the file after
+    the rows of the files before, of which one small row each is summed and broadcast. Rows
+    that tie in all of ``order`` stay in one range: end it with a column that tells repeated
+    rows apart. No column of ``df`` may be called part or row.
+    """
+    path = scratch(df.sparkSession, name)
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", 0).parquet(path)
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).select("*", part.alias("part"), F.col("_metadata.row_index").alias("row"))
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(F.col("part").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    starts = counts.select("p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    placed = rows.join(F.broadcast(starts), F.col("part") == F.col("p"))
+    return placed.select(*df.columns, (F.col("start") + F.col("row")).cast("long").alias(out))
