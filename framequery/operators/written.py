@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
-_made: dict[str, SparkSession] = {}
-
-
-def _forget(folder: str) -> None:
-    """Delete the application's folder when the driver ends in good order."""
-    sc = _made.pop(folder).sparkContext
-    if sc._jsc is not None:
-        where = sc._jvm.org.apache.hadoop.fs.Path(folder)
-        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+_made: set[str] = set()
 
 
 def _folder(spark: SparkSession) -> str:
@@ -33,11 +24,14 @@ def _folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new path in a folder of this application, deleted when it ends."""
+    """A new path in a folder of this application; the driver's JVM deletes it when it ends in good order."""
     folder = f"{_folder(spark)}/written-{spark.sparkContext.applicationId}"
     if folder not in _made:
-        _made[folder] = spark
-        atexit.register(_forget, folder)
+        _made.add(folder)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
