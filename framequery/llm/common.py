@@ -57,6 +57,14 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names with a prefix such that no column of ``taken`` has any of them, in any case."""
+    prefix, known = "_", {c.lower() for c in taken}
+    while any(prefix + n in known for n in names):
+        prefix += "_"
+    return [prefix + n for n in names]
+
+
 def join_hot(left: DataFrame, counted: DataFrame, keys: list[str], n: str, n_rows: int, how: str = "inner") -> DataFrame:
     """``left`` joined on ``keys`` (null-safe) to ``counted``, which has one row a key; no key's rows meet in one task.
 

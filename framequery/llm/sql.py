@@ -11,7 +11,7 @@ crc_table AS MATERIALIZED (
 
 def _crc(text: str) -> str:
     """The unsigned CRC-32 of a text's UTF-8 bytes; needs crc_table beside it."""
-    steps = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || hex(encode({text}))[2 * i + 1 : 2 * i + 2])::BIGINT)"
+    steps = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
     return f"xor(list_reduce({steps}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"
 
 
@@ -49,3 +49,27 @@ SELECT f.doc_id, f.n_features::BIGINT AS n_features, f.weight::BIGINT AS weight,
   CASE WHEN r.r <= 25 * r.n // 100 THEN r.r END::BIGINT AS rank
 FROM final f LEFT JOIN ranked r USING (doc_id)
 """
+
+
+def shards_sql() -> str:
+    """Operator 12: bytes below each group of equal texts and each row in key order, and the shard of the middle byte."""
+    return f"""
+WITH {_CRC_TABLE.strip()},
+keyed AS (
+  SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    md5(coalesce(text, ''))[1:15] AS a, md5(coalesce(doc_id::VARCHAR, ''))[1:15] AS b
+  FROM documents
+),
+summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY a)::BIGINT AS group_size, max(size) OVER () AS largest, sum(size) OVER ()::BIGINT AS total,
+    sum(size) OVER (ORDER BY a, b ROWS UNBOUNDED PRECEDING)::BIGINT - size AS below
+  FROM keyed
+),
+units AS (
+  SELECT *, CASE WHEN group_size <= largest THEN 2 * min(below) OVER (PARTITION BY a) + group_size ELSE 2 * below + size END AS middle FROM summed
+),
+placed AS (SELECT *, (middle * 40 - 1) // (2 * total) AS shard FROM units)
+SELECT doc_id, size::BIGINT AS size, {_crc("text")}::BIGINT AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY a, b) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM placed, crc_table
+"""
