@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, importance, line_dedup, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, sql, token_counts, token_files
+from . import ann, importance, line_dedup, merkle, mixing, packing, pii, quality_classifier, quality_rules, sharding, simhash, sql, token_counts, token_files
 from .common import scratch
 
 
@@ -73,6 +73,10 @@ def op12_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(_table(spark, sf_dir, "documents"), merkle.tampered())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -86,9 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_histogram_shards": op12_histogram_shards,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_importance_resampling": sql.importance_sql(),
     "op12_histogram_shards": sql.shards_sql(),
+    "op13_merkle_manifest": sql.manifest_sql(),
 }

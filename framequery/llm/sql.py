@@ -73,3 +73,50 @@ SELECT doc_id, size::BIGINT AS size, {_crc("text")}::BIGINT AS text_crc32, 'byte
   row_number() OVER (PARTITION BY shard ORDER BY a, b) - 1 AS slot, NULL::INTEGER AS grown_shard
 FROM placed, crc_table
 """
+
+
+def manifest_sql() -> str:
+    """Operator 13: trees level by level, proofs as joins of levels, and every document's claim folded up again."""
+
+    def leaf(n_chars: str) -> str:
+        values = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+    def tree(name: str, start: str) -> str:
+        return f"""
+{name}(level, lang, pos, n, h) AS (
+  SELECT 0, {start}
+  UNION ALL
+  SELECT level + 1, lang, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY level, lang, pos // 2, n
+)"""
+
+    def folded(name: str, nodes: str, start: str) -> str:
+        return f"""
+{name}(doc_id, level, lang, pos, n, h, proof) AS (
+  {start}
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, f.lang, f.pos // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN f.pos % 2 = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END), f.proof || coalesce(s.h, '')
+  FROM {name} f LEFT JOIN {nodes} s ON s.level = f.level AND s.lang IS NOT DISTINCT FROM f.lang AND s.pos = xor(f.pos, 1)
+  WHERE f.n > 1
+)"""
+
+    return f"""
+WITH RECURSIVE {_CRC_TABLE.strip()},
+leaves AS MATERIALIZED (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n, {leaf("n_chars")} AS h,
+    CASE WHEN {_crc("doc_id::VARCHAR")} % 7 = 0 THEN {leaf("n_chars + 1")} END AS claim
+  FROM documents, crc_table
+),
+{tree("nodes", "lang, pos, n, h FROM leaves").strip()},
+subroots AS MATERIALIZED (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+),
+{tree("upper_nodes", "NULL::VARCHAR, pos, n, h FROM subroots").strip()},
+whole AS (SELECT h AS root FROM upper_nodes WHERE n = 1),
+{folded("folds", "nodes", "SELECT doc_id, 0, lang, pos, n, coalesce(claim, h), '' FROM leaves").strip()},
+{folded("upper_folds", "upper_nodes", "SELECT f.doc_id, 0, NULL::VARCHAR, s.pos, s.n, f.h, f.proof FROM folds f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1").strip()}
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM upper_folds f JOIN leaves l USING (doc_id) JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang, whole
+WHERE f.n = 1
+"""
