@@ -1,28 +1,25 @@
-"""Dense bundle adjustment: grouped normal equations, disparities eliminated, one small pose system a graph.
+"""Dense bundle adjustment: grouped normal equations, disparities eliminated, a sparse pose system a graph.
 
 Poses are world to camera. A residual is the flow target less the reprojection of a pixel of
 keyframe i into keyframe j; its Jacobians with regard to both poses and to the disparity are
 columns, so the normal equations are grouped sums. A pixel's disparity bears on the poses of
 its own edges alone, as many as the graph's degree; eliminating it adds their products to the
-pose blocks. What is left has six unknowns a keyframe and is solved graph by graph in tasks.
+pose blocks. What is left has six unknowns a keyframe and is solved by nested elimination.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
 
+from . import elimination
 from .written import written
 
 DIM = 6
-#: Keyframes of one graph, whose system is solved in one task.
-MOST_KEYFRAMES = 1024
 _SIDES = {"i": "b", "j": "a"}
 _ENTRIES = [(p, q) for p in range(DIM) for q in range(DIM)]
 
@@ -114,29 +111,12 @@ def eliminated(blocks: DataFrame, rhs: DataFrame, depths: DataFrame, damping: fl
 def pose_steps(s: DataFrame, rhs: DataFrame, graph: Callable[[Column], Column], fixed: Callable[[Column], Column]) -> DataFrame:
     """(p, x0..x5): the solution of each graph's system; poses for which ``fixed`` holds stay out.
 
-    ``graph`` gives the graph of a keyframe; edges join keyframes of one graph only. A graph
-    of more than MOST_KEYFRAMES keyframes is an error, as its system doesn't fit a task.
+    ``graph`` gives the graph of a keyframe; blocks across graphs are left out.
     """
-    names = [f"x{n}" for n in range(DIM)]
-    g_rows = rhs.select("p", F.lit(None).cast("long").alias("q"), *[(F.col(f"g{b}") if a == 0 else F.lit(0.0)).alias(f"h{a}{b}") for a, b in _ENTRIES])
-    both = s.unionByName(g_rows).where(~fixed(F.col("p")) & (F.col("q").isNull() | ~fixed(F.col("q"))))
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        at = {p: n for n, p in enumerate(sorted(rows["p"].unique()))}
-        if len(at) > MOST_KEYFRAMES:
-            raise ValueError(f"a graph of {len(at)} keyframes; the most is {MOST_KEYFRAMES}")
-        a, b = np.zeros((len(at), DIM, len(at), DIM)), np.zeros((len(at), DIM))
-        values = rows[[f"h{p}{q}" for p, q in _ENTRIES]].to_numpy().reshape(-1, DIM, DIM)
-        for p, q, v in zip(rows["p"], rows["q"], values, strict=True):
-            if pd.isna(q):
-                b[at[p]] = v[0]
-            elif q in at:
-                a[at[p], :, at[q], :] = v
-                a[at[q], :, at[p], :] = v.T
-        x = np.linalg.solve(a.reshape(len(at) * DIM, -1), b.ravel()).reshape(-1, DIM)
-        return pd.DataFrame(x, columns=names).assign(p=list(at))[["p", *names]]
-
-    return both.groupBy(graph(F.col("p")).alias("graph")).applyInPandas(solve, "p long, " + ", ".join(f"{n} double" for n in names))
+    both = s.where(~fixed(F.col("p")) & ~fixed(F.col("q")) & (graph(F.col("p")) == graph(F.col("q"))))
+    blocks = both.select(graph(F.col("p")).cast("long").alias("graph"), "p", "q", *elimination.H)
+    sides = rhs.where(~fixed(F.col("p"))).select(graph(F.col("p")).cast("long").alias("graph"), "p", *elimination.G)
+    return elimination.solve(blocks, sides).drop("graph")
 
 
 def depth_steps(depths: DataFrame, steps: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
-from framequery.operators import levenberg
-from framequery.sources.frames import grid, poses
+from framequery.operators import levenberg, rig_bundle, robust
+from framequery.sources.frames import edges, grid, poses, sql
 
 from .catalog import query
 
@@ -39,3 +39,71 @@ def lm_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("params")
     values = {"roll": p[0], "pitch": p[1], "focal": F.exp(p[2])}
     return found.select("frame_idx", *[(F.round(v, 3) + F.lit(0.0)).alias(c) for c, v in values.items()], g.r6(F.col("cost")).alias("cost"), "converged")
+
+
+_ANNEALED = """
+odd AS (SELECT frame_idx, v + CASE WHEN r = frame_idx % 8 THEN 1.0 ELSE 0.0 END AS x FROM grid),
+fit(frame_idx, n, mean, mu, kept) AS (
+  SELECT frame_idx, 0, avg(x), 1.0::DOUBLE, 0.0::DOUBLE FROM odd GROUP BY frame_idx
+  UNION ALL
+  SELECT frame_idx, n + 1, CASE WHEN sum(w) > 0 THEN sum(w * x) / sum(w) ELSE mean END, CASE WHEN n % 2 = 1 THEN least(3 * mu, 1e6) ELSE mu END, sum(w)
+  FROM (
+    SELECT f.*, x, CASE WHEN r2 < mu / (mu + 1) * 0.09 THEN 1.0
+      WHEN r2 <= (mu + 1) / mu * 0.09 THEN greatest(sqrt(0.09 * mu * (mu + 1) / greatest(r2, 1e-12)) - mu, 0.0) ELSE 0.0 END AS w
+    FROM fit f JOIN odd USING (frame_idx), LATERAL (SELECT (x - mean) * (x - mean) AS r2) WHERE n < 8
+  )
+  GROUP BY frame_idx, n, mean, mu
+)"""
+
+
+@query(sql("grid", "SELECT frame_idx, round(mean, 6) + 0.0 AS mean, mu, round(kept, 4) + 0.0 AS kept FROM fit WHERE n = 8", _ANNEALED.strip()).replace("WITH ", "WITH RECURSIVE ", 1))
+def gnc_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each frame's mean value under annealed truncated least squares, one of its rows being off by one."""
+    off = F.when(F.col("r") == F.col("frame_idx") % 8, 1.0).otherwise(0.0)
+    rows = grid(spark, sf_dir).select("frame_idx", (F.col("v") + off).alias("x"))
+    found = robust.annealed_mean(rows, "frame_idx", "x", 0.3)
+    return found.select("frame_idx", g.r6(F.col("mean")).alias("mean"), "mu", (F.round("kept", 4) + F.lit(0.0)).alias("kept"))
+
+
+def _scene(spark: SparkSession, sf_dir: str) -> tuple[rig_bundle.Scene, DataFrame, DataFrame]:
+    """All keyframes as one graph of a rig of two views, whose second sees what the frame after the keyframe does."""
+    cams = poses(spark, sf_dir).where(F.col("frame_idx") % 5 == 0)
+    frames = cams.select(F.lit(0).cast("long").alias("graph"), F.floor(F.col("frame_idx") / 5).cast("long").alias("k"), (F.col("frame_idx") == 0).alias("fixed"), *[c.alias(m) for m, c in g.inverse(g.pose()).named().items()])
+    rig = spark.createDataFrame([(0, 0, *[0.0] * 6, 1.0), (0, 1, 0.02, 0.0, 0.01, 0.0, 0.0, 0.0, 1.0)], "graph long, v long, " + ", ".join(f"{m} double" for m in g.Pose._fields))
+    lens = spark.createDataFrame([(0, v, 64.0, 64.0, 28.0, 28.0) for v in (0, 1)], "graph long, v long, fx double, fy double, cx double, cy double")
+    px = grid(spark, sf_dir).where(F.col("frame_idx") % 5 < 2)
+    sensed = F.when(F.col("mask"), F.col("disp") * 1.01)
+    pixels = px.select(F.lit(0).cast("long").alias("graph"), F.floor(F.col("frame_idx") / 5).cast("long").alias("i"), (F.col("frame_idx") % 5).alias("v"), "r", "c", "disp", F.lit(0.05).alias("eta"), sensed.alias("sens"), F.lit(False).alias("held"))
+    along = edges(spark, sf_dir).select(F.lit(0).cast("long").alias("graph"), "i", F.explode(F.array(*[F.lit(v).cast("long") for v in (0, 1)])).alias("vi"), "j")
+    pairs = along.select("*", F.col("vi").alias("vj")).unionByName(frames.select("graph", F.col("k").alias("i"), F.lit(0).cast("long").alias("vi"), F.col("k").alias("j"), F.lit(1).cast("long").alias("vj")))
+    apart = F.col("j") - F.col("i")
+    targets = pairs.join(pixels.select("graph", "i", F.col("v").alias("vi"), "r", "c"), ["graph", "i", "vi"])
+    weight = 0.2 + 0.03 * (F.col("r") + F.col("c"))
+    targets = targets.select("graph", "i", "vi", "j", "vj", "r", "c", (F.col("c") + 0.03 * apart).alias("tu"), (F.col("r") - 0.02 * apart).alias("tv"), weight.alias("wu"), weight.alias("wv"))
+    return rig_bundle.Scene(frames, rig, lens, pixels), pairs, targets
+
+
+@query()
+def rig_bundle_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every variable but the disparities after two steps: poses (kind 0), rig turns (1) and focal lengths (2)."""
+    scene, pairs, targets = _scene(spark, sf_dir)
+    s = rig_bundle.Settings(pose=(1e-2, 1.0), alpha=0.05, factor=8.0, rig=True, focal=True, lens=(1e-2, 1.0))
+    for _ in range(2):
+        scene, _ = rig_bundle.adjusted(scene, pairs, targets, s)
+    seven = [(F.round(m, 4) + F.lit(0.0)).alias(m) for m in g.Pose._fields]
+    poses_ = scene.frames.select(F.lit(0).alias("kind"), F.col("k").alias("id"), *seven, F.lit(None).cast("double").alias("focal"))
+    turns = scene.rig.select(F.lit(1).alias("kind"), F.col("v").alias("id"), *seven, F.lit(None).cast("double").alias("focal"))
+    lens = scene.cams.select(F.lit(2).alias("kind"), F.col("v").alias("id"), *[F.lit(None).cast("double").alias(m) for m in g.Pose._fields], (F.round("fx", 3) + F.lit(0.0)).alias("focal"))
+    return poses_.unionByName(turns).unionByName(lens)
+
+
+@query()
+def gnc_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The energy before each step of an annealed adjustment of poses, one target in nine being far off."""
+    scene, pairs, targets = _scene(spark, sf_dir)
+    off = F.when((F.col("r") * 8 + F.col("c") + F.col("i")) % 9 == 0, 3.0).otherwise(0.0)
+    targets = targets.withColumns({"tu": F.col("tu") + off, "tv": F.col("tv") - off})
+    s = rig_bundle.Settings(pose=(1e-2, 1.0), factor=8.0, motion_only=True, threshold=0.5)
+    mu = pairs.select("graph").distinct().withColumn("mu", F.lit(1.0))
+    _, energy, _ = rig_bundle.annealed(scene, pairs, targets, s, mu, 3, 1)
+    return energy.select("graph", "step", (F.round("energy", 2) + F.lit(0.0)).alias("energy"))

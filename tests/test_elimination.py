@@ -62,3 +62,27 @@ def test_no_rows(spark):
     names = lambda c: ", ".join(f"{x} double" for x in c)
     blocks, sides = spark.createDataFrame([], "graph long, p long, q long, " + names(e.H)), spark.createDataFrame([], "graph long, p long, " + names(e.G))
     assert e.solve(blocks, sides).count() == 0
+
+
+def test_five_thousand_keyframes(spark):
+    rng = np.random.default_rng(2)
+    n, blocks = 5000, {}
+    for p in range(n):
+        for q in [p + 1, p + 2, p + 3, *([4000] if p == 17 else [])]:
+            if q < n:
+                j = rng.normal(size=(6, 12))
+                h = j.T @ j
+                for a, b, v in ((p, p, h[:6, :6]), (p, q, h[:6, 6:]), (q, q, h[6:, 6:])):
+                    blocks[a, b] = blocks.get((a, b), 0.1 * np.eye(6) if a == b else np.zeros((6, 6))) + v
+    side = rng.normal(size=(n, 6))
+    names = lambda c: ", ".join(f"{x} double" for x in c)
+    rows = spark.createDataFrame([(0, p, q, *map(float, h.ravel())) for (p, q), h in blocks.items()], "graph long, p long, q long, " + names(e.H))
+    found = e.solve(rows, spark.createDataFrame([(0, p, *map(float, s)) for p, s in enumerate(side)], "graph long, p long, " + names(e.G))).collect()
+    x = np.zeros((n, 6))
+    x[[r.p for r in found]] = [r[2:] for r in found]
+    left = side.copy()
+    for (p, q), h in blocks.items():
+        left[p] -= h @ x[q]
+        if p != q:
+            left[q] -= h.T @ x[p]
+    assert len(found) == n and np.abs(left).max() < 1e-8 * max(1, np.abs(x).max())
