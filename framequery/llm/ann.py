@@ -41,9 +41,19 @@ _TOGETHER = 64
 _PAIRS_HELD = 1_000_000
 
 
+def _reduced(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows divided by a power of two each, so that the greatest component is between a half and one, and its exponents."""
+    exponent = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -exponent[:, None]), exponent
+
+
 @dataclass(frozen=True)
 class Index:
-    """Projections a[table][hash], offsets, slot width and range, and how a neighbour's projection lies to a query's."""
+    """Projections a[table][hash], offsets, slot width and range, and how a neighbour's projection lies to a query's.
+
+    Indexed vectors are hashed after division by two to the ``exponent``, so that no norm
+    overflows; queries are brought to the ``length`` that these have in the mean.
+    """
 
     a: np.ndarray
     b: np.ndarray
@@ -53,6 +63,13 @@ class Index:
     norm2: float
     slope: float
     spread: float
+    exponent: int
+    length: float
+
+    def directed(self, q: np.ndarray) -> np.ndarray:
+        """Queries brought to one length, which changes no query's order of neighbours."""
+        q = _reduced(q)[0]
+        return q * (self.length / np.linalg.norm(q, axis=1))[:, None]
 
     def projected(self, x: np.ndarray, indexed: bool) -> np.ndarray:
         """(rows, tables, hashes)"""
@@ -61,6 +78,7 @@ class Index:
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         """(rows, tables): the bucket of each indexed vector."""
+        x = np.ldexp(x, -self.exponent)
         slots = np.clip(np.floor((self.projected(x, indexed=True) + self.b) / self.width), self.low, self.high) - self.low
         code = np.zeros(slots.shape[:2], np.int64)
         for k in range(slots.shape[2]):
@@ -69,7 +87,7 @@ class Index:
 
     def probes(self, q: np.ndarray, aim: float = AIM) -> list[list[int]]:
         """For one query and each table the buckets to visit, most promising first."""
-        at = self.projected(q[None, :], indexed=False)[0] * self.slope
+        at = self.projected(self.directed(q[None, :]), indexed=False)[0] * self.slope
         enough = 1 - (1 - aim) ** (1 / len(self.a))
         visits = []
         for t in range(len(self.a)):
@@ -115,8 +133,8 @@ def _likeliest(odds: list[list[tuple[float, int]]], base: list[int], enough: flo
     return codes
 
 
-def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, tables: int = TABLES, bucket: int = BUCKET, seed: int = 17) -> Index:
-    """An index for ``n_rows`` vectors from a bounded sample of them.
+def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, tables: int = TABLES, bucket: int = BUCKET, seed: int = 17, exponent: int = 0) -> Index:
+    """An index for ``n_rows`` vectors from a bounded sample of them; ``norm2`` is the greatest squared norm after division by two to the ``exponent``.
 
     The number of hashes grows with the logarithm of the rows, so that buckets stay about
     ``bucket`` large, and is never below LEAST_HASHES. Slope and spread describe where the
@@ -124,6 +142,7 @@ def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, tables: int = TAB
     that is farther if anything.
     """
     rng = np.random.default_rng(seed)
+    original, sample = sample, np.ldexp(sample, -exponent)
     d = sample.shape[1] + 1
     rest = np.sqrt(np.maximum(0.0, norm2 - (sample * sample).sum(axis=1)))
     x = np.column_stack([sample, rest])
@@ -132,7 +151,9 @@ def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, tables: int = TAB
     a = rng.normal(size=(tables, hashes, d))
     b = rng.uniform(0, width, size=(tables, hashes))
     slots = np.floor((np.einsum("rd,thd->rth", x, a) + b) / width)
-    q = sample[:SAMPLE_QUERIES]
+    length = float(np.sqrt((sample * sample).sum(axis=1).mean())) or float(np.sqrt(norm2))
+    q = _reduced(original[:SAMPLE_QUERIES])[0]
+    q = q * (length / np.linalg.norm(q, axis=1))[:, None]
     scores = q @ sample.T
     scores[np.arange(len(q)), np.arange(len(q))] = -np.inf
     rank = min(len(sample) - 1, max(1, round(k * len(sample) / max(1, n_rows))))
@@ -143,7 +164,7 @@ def fit(sample: np.ndarray, n_rows: int, norm2: float, k: int, tables: int = TAB
         s = scores[np.arange(len(q)), near] / own
         slope = float(s.mean())
         spread = float(np.sqrt(np.maximum(1e-12, norm2 - 2 * slope * scores[np.arange(len(q)), near] + slope * slope * own).mean()))
-    return Index(a, b, width, slots.min(axis=0), slots.max(axis=0), norm2, slope, spread)
+    return Index(a, b, width, slots.min(axis=0), slots.max(axis=0), norm2, slope, spread, exponent, length)
 
 
 def _usable(v: Column) -> Column:
@@ -223,13 +244,17 @@ def _pairs(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, vis
     A matrix product preselects; the score itself is a sum in a fixed order, so that equal
     vectors score equally on whatever shelf they lie.
     """
-    rough = q @ x.T
-    rough[~visits | (q_ids[:, None] == ids[None, :])] = -np.inf
-    least = -np.finfo(float).max
-    kth = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), least)
-    slack = 1e-10 * np.sqrt((q * q).sum(axis=1) * (x * x).sum(axis=1).max())
-    i, j = np.nonzero(rough >= np.maximum(kth - slack, least)[:, None])
-    return q_ids[i], ids[j], (q[i] * x[j]).sum(axis=1)
+    (q, q_exponent), (x, x_exponent) = _reduced(q), _reduced(x)
+    means = visits & (q_ids[:, None] != ids[None, :])
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        rough = np.ldexp(q @ x.T, q_exponent[:, None] + x_exponent[None, :])
+        rough[~means] = -np.inf
+        kth = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
+        slack = np.ldexp(1e-10 * q.shape[1], q_exponent + x_exponent.max())
+        least = np.where(np.isinf(kth), kth, kth - slack)
+        i, j = np.nonzero(means & (rough >= least[:, None]))
+        # powers of two are exact: this is the sum of the original products, without an overflow between
+        return q_ids[i], ids[j], np.ldexp((q[i] * x[j]).sum(axis=1), q_exponent[i] + x_exponent[j])
 
 
 class _Shelf:
@@ -290,7 +315,9 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     part, nor do rows with a null id or vectors of another length than most. Rows that
     repeat an id with the same vector count once. A query with no candidate, or an empty
     table, gives no rows. The search is approximate, though every query finds k rows or all
-    there are; see the tests for its recall and for the share of rows that it scores.
+    there are; see the tests for its recall and for the share of rows that it scores. Scores
+    are right for all finite vectors, whatever their norms; only a product beyond what a double
+    holds becomes infinite, or 0 below.
     """
     picked = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     picked = picked.where(F.col("id").isNotNull() & _usable(F.col("v")))
@@ -299,9 +326,12 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     if size is None:
         return rows.sparkSession.createDataFrame([], out)
     even = materialize(picked.where(F.size("v") == size["n"]), "vectors")
-    n_rows, norm2 = even.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
+    n_rows, greatest = even.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    exponent = int(np.frexp(greatest)[1])
+    half = [2.0 ** -(exponent // 2), 2.0 ** -(exponent - exponent // 2)]
+    norm2 = even.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * half[0] * half[1] * (x * half[0] * half[1])))).first()[0]
     sample = np.array([r["v"] for r in even.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("v").collect()])
-    index = fit(sample, n_rows, norm2, k, tables)
+    index = fit(sample, n_rows, norm2, k, tables, exponent=exponent)
 
     shelf_rows = max(1024, SHELF_BYTES // (8 * size["n"]))
     shelves = ceil(n_rows / shelf_rows)

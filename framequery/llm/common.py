@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
 import math
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +68,31 @@ def fresh(taken: list[str], *names: str) -> list[str]:
     return [prefix + n for n in names]
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that returns its first table's columns, made safe from columns named as its own helpers are.
+
+    It sees the columns that its ``*_col`` arguments name; the others travel in one struct and come
+    back as they were, in the table's order, before any column that the operator adds.
+    """
+    known = inspect.signature(operator)
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:  # noqa: ANN002, ANN003
+        bound = known.bind(docs, *args, **kwargs)
+        bound.apply_defaults()
+        used = {v for k, v in bound.arguments.items() if k.endswith("_col") and k != "count_col" and v in docs.columns}
+        rest = [c for c in docs.columns if c not in used]
+        if not rest:
+            return operator(docs, *args, **kwargs)
+        quoted = lambda c: F.col(f"`{c}`")
+        packed = docs.select(*[quoted(c) for c in docs.columns if c in used], F.struct(*[quoted(c) for c in rest]).alias("__rest"))
+        out = operator(packed, *args, **kwargs)
+        added = [quoted(c) for c in out.columns if c not in packed.columns]
+        return out.select(*[quoted(c) if c in used else F.col("__rest").getField(c).alias(c) for c in docs.columns], *added)
+
+    return run
+
+
 def join_hot(left: DataFrame, counted: DataFrame, keys: list[str], n: str, n_rows: int, how: str = "inner") -> DataFrame:
     """``left`` joined on ``keys`` (null-safe) to ``counted``, which has one row a key; no key's rows meet in one task.
 

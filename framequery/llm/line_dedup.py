@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import join_hot, materialize
+from .common import join_hot, materialize, shielded
 
 #: Lines in the rolling window; one in DIVISOR windows ends a chunk.
 WINDOW = 2
@@ -231,6 +231,7 @@ def _deduped(docs: DataFrame, id_col: str, text_col: str, count_col: str | None,
     return listed.mapInArrow(run, out_schema)
 
 
+@shielded
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with later copies of repeated chunks cut from the texts; all columns as they were.
 
@@ -243,6 +244,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _deduped(docs, id_col, text_col, count_col, runs=False)
 
 
+@shielded
 def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with later copies of repeated runs of lines cut: all runs of LONG_WORDS words or more, whole, and repeated chunks.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, salted_rank, salts_for, word_count
+from .common import materialize, salted_rank, salts_for, shielded, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -140,6 +140,7 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     )
 
 
+@shielded
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = SHARE, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as mixture() takes it, all columns as they were."""
     sized = docs.withColumn("__mix_source", F.col(source_col).cast("string")).withColumn("__mix_size", word_count(F.col(text_col)))

@@ -16,8 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shielded
+
 ROUNDS = 10
 
+#: The country codes of two digits; 1 and 7 have one and all others three.
+TWO_DIGIT_CODES = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
 _BEFORE = r"(?<![0-9A-Za-z_])(?<![0-9][.])"
 _AFTER = r"(?![0-9A-Za-z_])(?![.][0-9])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -113,10 +118,24 @@ def card(value: Column, key: str) -> Column:
     return _let(permuted_digits(_body(_digits(value)), "card", key), lambda body: _refill(value, F.concat(body, luhn_digit(body))))
 
 
+def _code_length(digits: Column) -> Column:
+    """How many of an international number's digits are its country code; codes are no prefixes of one another."""
+    return F.when(F.left(digits, F.lit(1)).isin("1", "7"), 1).when(F.left(digits, F.lit(2)).isin(*TWO_DIGIT_CODES), 2).otherwise(3)
+
+
+def valid_phone(value: Column) -> Column:
+    """Whether an international number has 7 to 15 digits, as the numbering plan allows; numbers without a code always pass."""
+    return ~value.startswith("+") | F.length(_digits(value)).between(7, 15)
+
+
 def phone(value: Column, key: str) -> Column:
-    """The country code stays; the other digits are permuted."""
-    code = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-    return _let(F.substr(value, F.length(code) + 1), lambda rest: F.concat(code, _refill(rest, permuted_digits(_digits(rest), "phone", key))))
+    """The country code stays; the other digits are permuted, whatever stands between them."""
+
+    def new(digits: Column) -> Column:
+        n = F.when(value.startswith("+"), _code_length(digits)).otherwise(0)
+        return _refill(value, F.concat(F.left(digits, n), permuted_digits(F.substr(digits, n + 1), "phone", key)))
+
+    return _let(_digits(value), new)
 
 
 def social(value: Column, key: str) -> Column:
@@ -241,10 +260,11 @@ def pseudonym(value: Column, key: str) -> Column:
         .when(full(f"{YEAR_FIRST}|{YEAR_LAST}"), F.when(valid_date(value), date(value, key)))
         .when(full(SOCIAL), social(value, key))
         .when(full(CARD), F.when(valid_card(value), card(value, key)))
-        .when(full(PHONE), phone(value, key))
+        .when(full(PHONE), F.when(valid_phone(value), phone(value, key)))
     )
 
 
+@shielded
 def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with every validated value in the texts replaced by its pseudonym; all else as it was.
 

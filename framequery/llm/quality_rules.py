@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from .common import shielded
 from pyspark.sql import types as T
 
 SYMBOLS = "#*$%&|<>"
@@ -228,6 +230,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
 
 
+@shielded
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = 20_000) -> DataFrame:
     """The rows of ``docs`` that judge() keeps, all columns as they were; nothing is shuffled."""
     rule = verdict(fit(docs, labels, id_col, text_col, max_labelled))

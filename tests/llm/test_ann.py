@@ -127,3 +127,23 @@ def test_probes_come_in_falling_order():
     assert sorted(codes) == sorted(p) and [p[c] for c in codes] == pytest.approx(sorted(p.values(), reverse=True))
     some = ann._likeliest(odds, [3, 2, 3], 0.81)
     assert sum(p[c] for c in some) >= 0.81 > sum(p[c] for c in some[:-1])
+
+
+@pytest.mark.parametrize("kind", ["huge", "tiny", "mixed", "far apart"])
+def test_any_finite_norms(spark, kind):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(600, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "huge":
+        x *= 1e150
+    elif kind == "tiny":
+        x *= 1e-150
+    elif kind == "mixed":
+        x *= 10.0 ** rng.uniform(-2, 2, size=(600, 1))
+    else:
+        x = np.array([[1e200 * (n + 1), 1e200] if n % 2 else [1e-170 * (n + 1), 1e-170] for n in range(60)])
+    rows = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.nearest(rows, F.col("vec_id") % 20 == 0).collect()
+    ids, queries = np.arange(len(x)), np.arange(0, len(x), 20)
+    with np.errstate(over="ignore"):
+        held(got, ids, x, queries, 0.8 if kind == "far apart" else 0.9)

@@ -122,3 +122,19 @@ def test_account_numbers_keep_their_check(spark):
     assert got[2][4:8].isupper() and got[2][4:8].isalpha() and got[2][8:].isdigit()
     wrong = ["DE88370400440532013000 AB12 word"]
     assert run(spark, wrong) == wrong
+
+
+def test_every_form_of_a_phone_number_is_one_pseudonym(spark):
+    forms = {
+        "1": ["+1 521-555-6210", "+15215556210", "+1 (521) 555-6210", "+1.521.555.6210", "+1 521 555 6210", "+1-521-555-6210"],
+        "44": ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (20) 7946 0958"],
+        "353": ["+353 1 555 0199".replace(" 1 ", " 15 "), "+353155550199", "+353-15-555-0199"],
+    }
+    for code, own in forms.items():
+        new = [t[2:-2] for t in run(spark, [f"x {v} y"[:-1] + " " for v in own])]
+        digits = {re.sub("[^0-9]", "", n) for n in new}
+        assert len(digits) == 1, new
+        (d,) = digits
+        assert d.startswith(code) and d != re.sub("[^0-9]", "", own[0])
+        assert [re.sub("[0-9]", "9", n) for n in new] == [re.sub("[0-9]", "9", v) for v in own]
+    assert run(spark, ["+1234567890123456789 z", "+12 345 z"]) == ["+1234567890123456789 z", "+12 345 z"]
