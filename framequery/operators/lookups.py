@@ -6,21 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import ranges
 from .written import written
 
 
 def as_of(left: DataFrame, right: DataFrame, by: str, order: list[str], take: str, out: str) -> DataFrame:
     """For each row of ``left`` the ``take`` of the last row of ``right`` at or before it within ``by``; null if none.
 
-    Both sides are stacked and a running last value carries the match: one shuffle by key and
-    no pairing of rows. At equal times rows of ``right`` come first.
+    Both sides are stacked and sorted by ranges, and the last value is carried along: no pairing
+    of rows and no key in one task. At equal times rows of ``right`` come first.
     """
     columns = left.columns
     side, value = "__side", "__value"
     rows = left.select(*columns, F.lit(1).alias(side), F.lit(None).cast(right.schema[take].dataType).alias(value))
     marks = right.select(*[F.col(c) if c in (by, *order) else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in columns], F.lit(0).alias(side), F.col(take).alias(value))
-    upto = Window.partitionBy(by).orderBy(*order, side).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.unionByName(marks).withColumn(out, F.last(value, ignorenulls=True).over(upto)).where(F.col(side) == 1).select(*columns, out)
+    found = ranges.last_value(rows.unionByName(marks), [by], [*map(F.col, order), F.col(side)], value, out)
+    return found.where(F.col(side) == 1).select(*columns, out)
 
 
 def _squared(axes: tuple[str, ...]) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from framequery.functions import geometry as g
 from framequery.operators import neighbourhood as n
+from framequery.operators import ranges
 from framequery.sources.frames import grid, poses, sql
 
 from .catalog import query
@@ -175,5 +176,7 @@ def depth_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql("grid", "SELECT view_idx, round(quantile_cont(depth, 0.02), 6) + 0.0 AS lo, round(quantile_cont(depth, 0.98), 6) + 0.0 AS hi FROM grid WHERE mask GROUP BY ALL"))
 def depth_range_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid(spark, sf_dir).where("mask").groupBy("view_idx").agg(g.r6(F.percentile("depth", F.lit(0.02))).alias("lo"), g.r6(F.percentile("depth", F.lit(0.98))).alias("hi"))
+    found = ranges.quantiles(grid(spark, sf_dir).where("mask"), "view_idx", "depth", [0.02, 0.98])
+    at = lambda share: g.r6(F.max(F.when(F.col("share") == share, F.col("value"))))
+    return found.groupBy("view_idx").agg(at(0.02).alias("lo"), at(0.98).alias("hi"))
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framequery.functions import geometry as g
 from framequery.operators import neighbourhood as n
-from framequery.operators import sequences
+from framequery.operators import ranges, sequences
 from framequery.sources.frames import edges, grid, sql, streams, table
 
 from .catalog import query
@@ -32,12 +31,10 @@ def map_extract(spark: SparkSession, sf_dir: str, share: float = 0.5, least: int
 
 @query(sql("grid", "SELECT row_number() OVER (ORDER BY frame_idx, r, c) AS point_id, frame_idx, r, c FROM grid WHERE frame_idx % 5 = 0 AND mask"))
 def colmap_points_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Map points numbered from 1 over all keyframes: counts a keyframe are summed first, then ranks added."""
+    """Map points numbered from 1 over all keyframes, by ranges of (frame, row, column)."""
     px = grid(spark, sf_dir).where((F.col("frame_idx") % 5 == 0) & F.col("mask")).select("frame_idx", "r", "c")
-    before = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
-    starts = px.groupBy(F.col("frame_idx").alias("f")).agg(F.count(F.lit(1)).alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("frame_idx").orderBy("r", "c"))
-    return px.withColumn("k", rank).join(starts, F.col("frame_idx") == F.col("f")).select((F.col("start") + F.col("k")).alias("point_id"), "frame_idx", "r", "c")
+    found = ranges.numbered(px, [], [F.col("frame_idx"), F.col("r"), F.col("c")], "n")
+    return found.select((F.col("n") + 1).alias("point_id"), "frame_idx", "r", "c")
 
 
 @query("SELECT label AS view, format('{:d} PINHOLE 8 8 {:.1f} {:.1f} 4 4', label + 1, 8 + label / 10.0::DOUBLE, 8 + (arg_min(vec_id, vec_id) % 10) / 10.0::DOUBLE) AS line FROM embeddings GROUP BY label")

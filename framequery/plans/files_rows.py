@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
 from framequery.operators.written import new_path
-from framequery.sources import files
+from framequery.sources import archives, files
 from framequery.sources.frames import edges, grid, poses, sql, table
 
 from .catalog import query
@@ -60,7 +60,7 @@ def depth_corrupt_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("frame_idx", "r", "c", depth.alias("depth"))
 
 
-@query("SELECT user_id::VARCHAR AS stream, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS frame_idx, '/data/' || user_id || '/' || lpad(event_id::VARCHAR, 12, '0') || '.png' AS path FROM events WHERE event_type <> 'click'")
+@query("SELECT '/data/' || user_id AS stream, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS frame_idx, '/data/' || user_id || '/' || lpad(event_id::VARCHAR, 12, '0') || '.png' AS path FROM events WHERE event_type <> 'click'")
 def frame_dir_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image files of each folder numbered in order of name; files of other kinds are left out."""
     e = table(spark, sf_dir, "events")
@@ -79,3 +79,20 @@ def map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = e.groupBy(F.col("i").alias("kf_idx")).agg(F.count(F.lit(1)).alias("edges"))
     got = points.groupBy("kf_idx").agg(F.count(F.lit(1)).alias("points"), (F.round(F.sum("depth"), 4) + F.lit(0.0)).alias("depth"))
     return got.join(n, "kf_idx", "left").select("kf_idx", "points", "depth", F.coalesce("edges", F.lit(0).cast("long")).alias("edges"))
+
+
+@query(sql("grid", "SELECT view_idx::VARCHAR AS stream, frame_idx, r, c, round(depth::FLOAT::DOUBLE, 4) + 0.0 AS depth FROM grid"))
+def depth_archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depths of every frame, a stream a view, stored as archives and read back from storage."""
+    path = new_path(spark, "depth-archives").removeprefix("file://")
+    archives.write_archives(grid(spark, sf_dir).select(F.col("view_idx").alias("stream"), "frame_idx", "r", "c", F.col("depth").alias("value")), path)
+    return archives.read_archives(spark, path).select("stream", "frame_idx", "r", "c", (F.round("value", 4) + F.lit(0.0)).alias("depth"))
+
+
+@query(sql("grid", "SELECT frame_idx, instance, count(*) AS area FROM grid WHERE instance > 0 GROUP BY ALL"))
+def mask_archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels of each instance of every frame, from masks stored as bytes and read back."""
+    path = new_path(spark, "mask-archives").removeprefix("file://")
+    archives.write_archives(grid(spark, sf_dir).select(F.lit("s").alias("stream"), "frame_idx", "r", "c", F.col("instance").alias("value")), path, dtype="uint8")
+    read = archives.read_archives(spark, path).where("value > 0")
+    return read.groupBy("frame_idx", F.col("value").cast("long").alias("instance")).agg(F.count(F.lit(1)).alias("area"))

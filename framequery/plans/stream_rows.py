@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framequery.functions import geometry as g
+from framequery.operators import ranges
 from framequery.sources.frames import grid, poses, sql, streams, table
 
 from .catalog import query
@@ -181,9 +182,8 @@ def intrinsics_default_camera(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql("grid poses", "SELECT kf, view_idx, n, sum(n) OVER (PARTITION BY view_idx ORDER BY kf) - n AS start FROM (SELECT frame_idx // 5 AS kf, view_idx, count(*) FILTER (WHERE mask) AS n FROM grid WHERE frame_idx % 5 = 0 GROUP BY ALL)"))
 def map_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked points of each keyframe, and how many come before them in its view."""
-    before = Window.partitionBy("view_idx").orderBy("kf").rowsBetween(Window.unboundedPreceding, 0)
     n = grid(spark, sf_dir).where(F.col("frame_idx") % 5 == 0).groupBy(F.floor(F.col("frame_idx") / 5).alias("kf"), "view_idx").agg(F.sum(F.col("mask").cast("long")).alias("n"))
-    return n.withColumn("start", F.sum("n").over(before) - F.col("n"))
+    return ranges.running_sum(n, ["view_idx"], [F.col("kf")], "n", "start")
 
 
 @query(sql("poses", "SELECT round(sum(d), 5) + 0.0 AS length, count(*) AS steps, track FROM (SELECT frame_idx // 50 AS track, sqrt((tx - ax) * (tx - ax) + (ty - ay) * (ty - ay) + (tz - az) * (tz - az)) AS d FROM (SELECT *, lag(tx) OVER w AS ax, lag(ty) OVER w AS ay, lag(tz) OVER w AS az FROM poses WINDOW w AS (PARTITION BY frame_idx // 50 ORDER BY frame_idx))) WHERE d IS NOT NULL GROUP BY track"))

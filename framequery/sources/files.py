@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
-from framequery.operators.scatter import numbered
+from framequery.operators import ranges
 
-IMAGES = ("jpg", "jpeg", "png", "bmp")
+IMAGES = ("jpg", "jpeg", "png", "bmp", "tif", "tiff")
 _POSE = list(g.Pose._fields)
 
 
@@ -29,19 +29,24 @@ def stem(path: Column) -> Column:
 
 
 def folder(path: Column) -> Column:
-    """The name of the folder that a file lies in."""
-    return F.element_at(F.split(path, "/"), -2)
+    """The whole path of the folder that a file lies in; folders of one name under two parents are two."""
+    return F.regexp_replace(path, "/[^/]*$", "")
 
 
-def frame_folder(files: DataFrame, extensions: tuple[str, ...] = IMAGES) -> DataFrame:
-    """(stream, frame_idx, path): the image files of (path, ...) in order of name, numbered from 0 in each folder.
+def frame_folder(files: DataFrame, extensions: tuple[str, ...] = IMAGES, seek: range | None = None) -> DataFrame:
+    """(stream, frame_idx, path): the image files of (path, ...) in order of path, numbered from 0 in each folder.
 
-    Names are numbered by their first characters' ranges, so that no folder is sorted in one
-    task. Files with other extensions are left out; an empty folder gives no rows.
+    A folder is sorted by ranges of its paths, over as many tasks as it needs. Files with other
+    extensions, in any case, are left out; an empty folder gives no rows. ``seek`` picks
+    frames by start, stop (-1: the end) and step and numbers them anew.
     """
-    kept = files.where(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*extensions)).select(folder(F.col("path")).alias("stream"), "path")
-    found = numbered(kept, "stream", F.substring(stem(F.col("path")), 1, 6), [F.col("path")], "frame_idx")
-    return found.select("stream", "frame_idx", "path")
+    kept = files.where(F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1)).isin(*extensions)).select(folder(F.col("path")).alias("stream"), "path")
+    found = ranges.numbered(kept, ["stream"], [F.col("path")], "frame_idx").select("stream", "frame_idx", "path")
+    if seek is None:
+        return found
+    picked = found.where((F.col("frame_idx") >= seek.start) & ((F.col("frame_idx") - seek.start) % seek.step == 0))
+    picked = picked if seek.stop == -1 else picked.where(F.col("frame_idx") < seek.stop)
+    return picked.withColumn("frame_idx", ((F.col("frame_idx") - seek.start) / seek.step).cast("long"))
 
 
 def read_frame_folders(spark: SparkSession, path: str) -> DataFrame:

@@ -17,8 +17,19 @@ def test_image_folders(spark, tmp_path):
             (tmp_path / name / f"frame{n:04d}.PNG").write_bytes(b"x")
         (tmp_path / name / "notes.txt").write_bytes(b"x")
     (tmp_path / "empty").mkdir()
-    got = sorted((r.stream, r.frame_idx, r.path.rsplit("/", 1)[1]) for r in files.read_frame_folders(spark, str(tmp_path)).collect())
-    assert got == [("a", 0, "frame0001.PNG"), ("a", 1, "frame0003.PNG"), ("a", 2, "frame0021.PNG"), ("b", 0, "frame0001.PNG"), ("b", 1, "frame0003.PNG"), ("b", 2, "frame0020.PNG")]
+    (tmp_path / "a" / "frame0002.tif").write_bytes(b"x")
+    (tmp_path / "under" / "a").mkdir(parents=True)
+    for name in ("x.png", "x!.png", "x.jpeg.txt"):
+        (tmp_path / "under" / "a" / name).write_bytes(b"x")
+    found = files.read_frame_folders(spark, str(tmp_path))
+    got = sorted((r.stream.split(str(tmp_path))[1], r.frame_idx, r.path.rsplit("/", 1)[1]) for r in found.collect())
+    assert got == [
+        ("/a", 0, "frame0001.PNG"), ("/a", 1, "frame0002.tif"), ("/a", 2, "frame0003.PNG"), ("/a", 3, "frame0021.PNG"),
+        ("/b", 0, "frame0001.PNG"), ("/b", 1, "frame0003.PNG"), ("/b", 2, "frame0020.PNG"), ("/under/a", 0, "x!.png"), ("/under/a", 1, "x.png"),
+    ]
+    every = spark.createDataFrame([(f"/d/{k:04d}.png",) for k in range(50)], "path string")
+    seek = files.frame_folder(every, seek=range(3, 20, 5)).orderBy("frame_idx").collect()
+    assert [(r.frame_idx, r.path) for r in seek] == [(n, f"/d/{k:04d}.png") for n, k in enumerate(range(3, 20, 5))]
 
 
 def archive(frames):
