@@ -64,7 +64,8 @@ class Scene:
     """What is adjusted: frames (graph, k, tx..qw, fixed), rig (graph, v, tx..qw), cams (graph, v, fx, fy, cx, cy) and pixels.
 
     pixels has (graph, i, v, r, c, disp, eta, sens, held): eta is added to the disparity's
-    diagonal, sens is a sensed disparity or null, and a held one isn't adjusted.
+    diagonal, sens is a sensed disparity or null, and a held one isn't adjusted. with_tracks()
+    adds points off the grid.
     """
 
     frames: DataFrame
@@ -73,6 +74,32 @@ class Scene:
     pixels: DataFrame
 
 
+def _track_place(track: Column) -> list[Column]:
+    """The row, below 0, and column under which a track goes: 512 tracks a row."""
+    return [(-1 - F.floor(track / 512)).cast("long").alias("r"), track.cast("long").alias("c")]
+
+
+def _placed(pixels: DataFrame, s: Settings) -> DataFrame:
+    """Pixels with the point x, y that each is and the image's size over that of its coordinates."""
+    if "x" in pixels.columns:
+        return pixels.withColumns({"x": F.coalesce("x", F.col("c").cast("double")), "y": F.coalesce("y", F.col("r").cast("double")), "factor": F.coalesce("factor", F.lit(s.factor))})
+    return pixels.withColumns({"x": F.col("c").cast("double"), "y": F.col("r").cast("double"), "factor": F.lit(s.factor)})
+
+
+def with_tracks(scene: Scene, targets: DataFrame, tracks: DataFrame, seen: DataFrame) -> tuple[Scene, DataFrame]:
+    """The scene and targets with tracked points beside the pixels, each with a disparity of its own.
+
+    ``tracks`` has (graph, i, v, track, x, y, disp, eta): where a point lies in the image of the keyframe and view that it
+    starts from, in full size. ``seen`` has (graph, i, vi, j, vj, track, tu, tv, wu, wv), also in full size: one row for each
+    view that sees it, of which a track may have any number. A track's disparity is eliminated with those
+    of its band and kept from 0.001 to 10. Edges that only tracks use belong among the edges too.
+    """
+    add = tracks.select("graph", "i", "v", *_track_place(F.col("track")), "disp", "eta", F.lit(None).cast("double").alias("sens"), F.lit(False).alias("held"), "x", "y", F.lit(1.0).alias("factor"))
+    pixels = scene.pixels.unionByName(add, allowMissingColumns=True)
+    more = seen.select("graph", "i", "vi", "j", "vj", *_track_place(F.col("track")), "tu", "tv", "wu", "wv")
+    return Scene(scene.frames, scene.rig, scene.cams, pixels), targets.unionByName(more)
+
+
 def _edges(scene: Scene, edges: DataFrame, mu: DataFrame) -> DataFrame:
     """Each edge with the whole way t_, the way g_ between keyframes, the way n_ into the far view, both cameras and mu."""
     frame = lambda k: scene.frames.select("graph", F.col("k").alias(k), F.col("fixed").alias(f"{k}_fixed"), *[F.col(m).alias(f"{k}_{m}") for m in _POSE])
@@ -107,10 +134,11 @@ def truncated(r2: np.ndarray, c: float, mu: np.ndarray, most: float) -> np.ndarr
 def _linearised(t: pd.DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Residuals to the targets (n, 2), weights (n, 2), and Jacobians by disparity (n, 2) and by the six slots (n, 2, 6, 6)."""
     part = lambda p: t[[f"{p}_{m}" for m in _POSE]].to_numpy()
-    cam = lambda v: (t[[f"{v}_{m}" for m in _CAM]].to_numpy() / s.factor).T
+    factor = t["factor"].to_numpy()
+    cam = lambda v: (t[[f"{v}_{m}" for m in _CAM]].to_numpy() / factor[:, None]).T
     (fx, fy, cx, cy), (gx, gy, dx, dy) = cam("vi"), cam("vj")
     way, disp = part("t"), t["disp"].to_numpy()
-    x0, y0 = (t["c"].to_numpy() - cx) / fx, (t["r"].to_numpy() - cy) / fy
+    x0, y0 = (t["x"].to_numpy() - cx) / fx, (t["y"].to_numpy() - cy) / fy
     at = _rotated(way[:, 3:], np.stack([x0, y0, np.ones_like(x0)], 1)) + way[:, :3] * disp[:, None]
     seen = at[:, 2] > g.NEAR
     x, y, z = at[:, 0], at[:, 1], np.where(seen, at[:, 2], 1.0)
@@ -122,8 +150,8 @@ def _linearised(t: pd.DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray, n
     of_i = -_carried(of_j, part("g"))
     lens = np.zeros((2, len(t), 2, DIM))
     widened = _rotated(way[:, 3:], np.stack([-x0 / fx, -y0 / fy, nought], 1))
-    lens[0, :, :, 0] = np.einsum("nak,nk->na", by_point, widened) / s.factor
-    lens[1, :, :, 0] = np.stack([x / z, y / z], 1) / s.factor
+    lens[0, :, :, 0] = np.einsum("nak,nk->na", by_point, widened) / factor[:, None]
+    lens[1, :, :, 0] = np.stack([x / z, y / z], 1) / factor[:, None]
     r = t[["tu", "tv"]].to_numpy() - np.stack([gx * x / z + dx, gy * y / z + dy], 1)
     w = t[["wu", "wv"]].to_numpy() * seen[:, None]
     if s.threshold is not None:
@@ -237,7 +265,7 @@ def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu
     out and they are kept at 0.001 or more; variables that no residual touches stay.
     """
     mu = edges.select("graph").distinct().withColumn("mu", F.lit(1.0)) if mu is None else mu
-    px = scene.pixels.withColumnRenamed("v", "vi")
+    px = _placed(scene.pixels, s).withColumnRenamed("v", "vi")
     rows = targets.join(_edges(scene, edges, mu), _EDGE).join(px, ["graph", "i", "vi", "r", "c"])
     rows = rows.withColumn("band", F.floor(F.col("r") / s.band))
     made = written(rows.groupBy("graph", "i", "vi", "band").applyInPandas(lambda t: _band(t, s), _OUT), "bands")
@@ -257,8 +285,9 @@ def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu
         found = _disparity_steps(made.where(F.col("kind") == _FACTOR).select("graph", "i", "v", "border", "r", "c", "free", "taken"), steps)
         moved = pixels.join(found, ["graph", "i", "v", "r", "c"], "left")
         step = F.coalesce("step", F.lit(0.0))
-        disp = F.greatest(F.lit(1e-3), F.col("disp") + F.when(step > 10, 0.0).otherwise(step))
-        pixels = written(moved.select("graph", "i", "v", "r", "c", disp.alias("disp"), "eta", "sens", "held"), "pixels")
+        dense = F.greatest(F.lit(1e-3), F.col("disp") + F.when(step > 10, 0.0).otherwise(step))
+        disp = F.when(F.col("r") >= 0, dense).otherwise(F.least(F.lit(10.0), F.greatest(F.lit(1e-3), F.col("disp") + step)))
+        pixels = written(moved.select(*[disp.alias(c) if c == "disp" else F.col(c) for c in pixels.columns]), "pixels")
     energy = made.where(F.col("kind") == _FACTOR).groupBy("graph").agg(F.sum("energy").alias("energy"))
     return Scene(frames, rig, cams, pixels), energy
 

@@ -107,3 +107,18 @@ def gnc_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     mu = pairs.select("graph").distinct().withColumn("mu", F.lit(1.0))
     _, energy, _ = rig_bundle.annealed(scene, pairs, targets, s, mu, 3, 1)
     return energy.select("graph", "step", (F.round("energy", 2) + F.lit(0.0)).alias("energy"))
+
+
+@query()
+def track_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Poses after one step with two tracked points of every keyframe beside its pixels, each seen by all its neighbours."""
+    scene, pairs, targets = _scene(spark, sf_dir)
+    from_ = pairs.where("vi = 0 and vj = 0")
+    spots = F.explode(F.array(*[F.struct(F.lit(n).cast("long").alias("n"), F.lit(x).alias("x"), F.lit(y).alias("y")) for n, x, y in ((0, 20.5, 12.25), (1, 41.0, 44.75))]))
+    tracks = from_.select("graph", "i").distinct().withColumn("s", spots)
+    tracks = tracks.select("graph", "i", F.lit(0).cast("long").alias("v"), (2 * F.col("i") + F.col("s.n")).alias("track"), "s.x", "s.y", F.lit(1.0).alias("disp"), F.lit(0.05).alias("eta"))
+    apart = F.col("j") - F.col("i")
+    seen = tracks.join(from_, ["graph", "i"]).select("graph", "i", "vi", "j", "vj", "track", (F.col("x") + 0.2 * apart).alias("tu"), (F.col("y") - 0.1 * apart).alias("tv"), F.lit(0.05).alias("wu"), F.lit(0.05).alias("wv"))
+    scene, targets = rig_bundle.with_tracks(scene, targets, tracks, seen)
+    scene, _ = rig_bundle.adjusted(scene, pairs, targets, rig_bundle.Settings(pose=(1e-2, 1.0), alpha=0.05, factor=8.0))
+    return scene.frames.select("k", *[(F.round(m, 4) + F.lit(0.0)).alias(m) for m in g.Pose._fields])

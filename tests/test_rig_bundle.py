@@ -39,11 +39,12 @@ class Plain:
         self.g = {k: matrix(p) for k, p in frames.items()}
         self.rig = {v: matrix(p) for v, p in rig.items()}
         self.cams, self.pixels, self.targets, self.s = {v: np.array(c, float) for v, c in cams.items()}, dict(pixels), targets, s
+        self.points = {}  # x, y and factor of what lies off the grid
 
     def copy(self):
         out = object.__new__(Plain)
         out.g, out.rig, out.cams, out.pixels = dict(self.g), dict(self.rig), {v: c.copy() for v, c in self.cams.items()}, dict(self.pixels)
-        out.targets, out.s = self.targets, self.s
+        out.targets, out.s, out.points = self.targets, self.s, self.points
         return out
 
     def moved(self, names, x):
@@ -65,10 +66,11 @@ class Plain:
     def residuals(self):
         out, seen = [], []
         for (i, vi, j, vj, r, c), (tu, tv, _, _) in self.targets.items():
-            fx, fy, cx, cy = self.cams[vi] / self.s.factor
-            gx, gy, dx, dy = self.cams[vj] / self.s.factor
+            px, py, factor = self.points.get((i, vi, r, c), (c, r, self.s.factor))
+            fx, fy, cx, cy = self.cams[vi] / factor
+            gx, gy, dx, dy = self.cams[vj] / factor
             t = np.linalg.inv(self.rig[vj]) @ self.g[j] @ np.linalg.inv(self.g[i]) @ self.rig[vi]
-            x = t @ [(c - cx) / fx, (r - cy) / fy, 1, self.pixels[i, vi, r, c][0]]
+            x = t @ [(px - cx) / fx, (py - cy) / fy, 1, self.pixels[i, vi, r, c][0]]
             ok = x[2] > 0.1
             z = x[2] if ok else 1.0
             out += [gx * x[0] / z + dx - tu, gy * x[1] / z + dy - tv]
@@ -158,7 +160,7 @@ def test_five_frames(spark, focal):
     frames, rig, plain = five_frames(s)
     scene, edges, targets = tables(spark, plain, frames, rig, {0})
     names = [("pose", k) for k in range(1, 5)] + [("lens", -1)] * focal + [("disp", k) for k in plain.pixels]
-    for _ in range(2):
+    for _ in range(1 + focal):
         scene, energy = adjusted(scene, edges, targets, s)
         plain, want = plain.step(names)
         compare(scene, plain)
@@ -211,9 +213,9 @@ def test_annealed_weights_reject_outliers(spark):
     frames, moved, rig, plain = two_views(s, outliers=6)
     scene, edges, targets = tables(spark, plain, moved, rig, {0})
     mu = edges.select("graph").distinct().selectExpr("graph", "0.5D as mu")
-    scene, energy, last = annealed(scene, edges, targets, s, mu, 3, 2)
+    scene, energy, last = annealed(scene, edges, targets, s, mu, 2, 2)
     names, m, told = [("pose", k) for k in (1, 2, 3)], 0.5, []
-    for _ in range(3):
+    for _ in range(2):
         for _ in range(2):
             plain, e = plain.step(names, m)
             told.append(e)
@@ -224,3 +226,32 @@ def test_annealed_weights_reject_outliers(spark):
     # the truth is near although one target in six is two pixels off
     for k in range(4):
         assert np.allclose(plain.g[k], matrix(np.array(frames[k])), atol=0.02)
+
+
+def test_tracks_beside_pixels(spark):
+    s = Settings(factor=8.0, focal=True, lens=(1e-3, 1e-2))
+    _, moved, rig, plain = two_views(s)
+    scene, edges, targets = tables(spark, plain, moved, rig, {0})
+    rng = np.random.default_rng(7)
+    tracks, seen, used = [], [], sorted({k[:4] for k in plain.targets})
+    for track in range(12):
+        i, vi = used[track % len(used)][:2]
+        x, y, r = float(rng.uniform(4, 36)), float(rng.uniform(4, 28)), -1 - 600 * (track == 11) // 512
+        number = track + 600 * (track == 11)
+        key = (i, vi, r, number)
+        plain.points[key], plain.pixels[key] = (x, y, 1.0), (0.8, 0.01, None, False)
+        tracks.append((0, i, vi, number, x, y, 0.8, 0.01))
+        for e in used:
+            if e[:2] == (i, vi):
+                own = (x + float(rng.normal()), y + float(rng.normal()), 0.05, 0.07)
+                plain.targets[(*e, r, number)] = own
+                seen.append((0, *e, number, *own))
+    assert len({sum(t[5] == n for t in seen) for n in range(12)} - {0}) > 1  # tracks of several lengths
+    scene, targets = rig_bundle.with_tracks(
+        scene, targets,
+        spark.createDataFrame(tracks, "graph long, i long, v long, track long, x double, y double, disp double, eta double"),
+        spark.createDataFrame(seen, "graph long, i long, vi long, j long, vj long, track long, tu double, tv double, wu double, wv double"),
+    )
+    names = [("pose", k) for k in (1, 2, 3)] + [("lens", -1)] + [("disp", k) for k in plain.pixels]
+    scene, _ = adjusted(scene, edges, targets, s)
+    compare(scene, plain.step(names)[0])
