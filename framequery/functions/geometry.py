@@ -245,3 +245,58 @@ def yaw_pitch(yaw: Column, pitch: Column) -> tuple[Column, Column, Column, Colum
     q = (cy * sp, sy * cp, -sy * sp, cy * cp)
     sign = F.when(q[3] < 0, -1.0).otherwise(1.0)
     return tuple(sign * v for v in q)
+
+
+def so3_jinv(phi: Vec, x: Vec) -> Vec:
+    """The inverse left Jacobian of the rotation vector ``phi`` applied to ``x``: how a rotation's logarithm turns a small rotation before it."""
+    angle2 = dot(phi, phi)
+    angle = F.sqrt(angle2)
+    k = F.when(angle < SMALL, 1.0 / 12).otherwise(1 / angle2 - (1 + F.cos(angle)) / (2 * angle * F.sin(angle)))
+    c = cross(phi, x)
+    return add(add(x, scale(c, -0.5)), scale(cross(phi, c), k))
+
+
+def rxso3_exp(phi: Vec, sigma: Column) -> tuple[tuple[Column, Column, Column, Column], Column]:
+    """(rotation, scale) of a rotation vector and the logarithm of a scale."""
+    return so3_exp(phi), F.exp(sigma)
+
+
+def rxso3_log(q: tuple[Column, ...], s: Column) -> tuple[Vec, Column]:
+    """The rotation vector and the logarithm of the scale; the inverse of rxso3_exp."""
+    return so3_log(q), F.log(s)
+
+
+def _similar_weights(phi: Vec, sigma: Column) -> tuple[Column, Column, Column]:
+    """a, b, c of a phi^ + b phi^2 + c, the integral of exp(t (phi^ + sigma)) over t from 0 to 1; series where an angle or sigma is small."""
+    angle2, s = dot(phi, phi), F.exp(sigma)
+    angle = F.sqrt(angle2)
+    still, flat = angle < 1e-4, F.abs(sigma) < 1e-4
+    c = F.when(flat, 1 + sigma / 2 + sigma * sigma / 6).otherwise((s - 1) / sigma)
+    a_still = F.when(flat, 0.5 + sigma / 3).otherwise((1 + (sigma - 1) * s) / (sigma * sigma))
+    b_still = F.when(flat, 1.0 / 6 + sigma / 8).otherwise((s * (sigma * sigma / 2 - sigma + 1) - 1) / (sigma * sigma * sigma))
+    sin, cos, both = s * F.sin(angle), s * F.cos(angle), angle2 + sigma * sigma
+    a_turned = (sin * sigma + (1 - cos) * angle) / (angle * both)
+    b_turned = (c - ((cos - 1) * sigma + sin * angle) / both) / angle2
+    return F.when(still, a_still).otherwise(a_turned), F.when(still, b_still).otherwise(b_turned), c
+
+
+def sim3_exp(tau: Vec, phi: Vec, sigma: Column) -> Similarity:
+    """The similarity of a translation part, a rotation vector and the logarithm of a scale."""
+    a, b, c = _similar_weights(phi, sigma)
+    turned = cross(phi, tau)
+    t = add(add(scale(tau, c), scale(turned, a)), scale(cross(phi, turned), b))
+    return Similarity(Pose(*t, *so3_exp(phi)), F.exp(sigma))
+
+
+def sim3_log(s: Similarity) -> tuple[Vec, Vec, Column]:
+    """(tau, phi, sigma); the inverse of sim3_exp."""
+    phi, sigma = rxso3_log(s.pose.q, s.scale)
+    a, b, c = _similar_weights(phi, sigma)
+    angle2 = dot(phi, phi)
+    # along the axis c alone acts; across it the plane's complex number p + i q
+    p, q2 = c - b * angle2, a * a * angle2
+    turned = cross(phi, s.pose.t)
+    back = -a / (p * p + q2)
+    # t - (part along phi) = -phi x (phi x t) / angle^2
+    whole = F.when(angle2 < 1e-16, 0.0).otherwise((1 / c - p / (p * p + q2)) / F.when(angle2 < 1e-16, 1.0).otherwise(angle2))
+    return add(add(scale(s.pose.t, 1 / c), scale(turned, back)), scale(cross(phi, turned), whole)), phi, sigma

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
-from framequery.operators import alignment
+from framequery.operators import alignment, resampling
 from framequery.operators import neighbourhood as n
 from framequery.sources.frames import SIDE, grid, poses, sql
 
@@ -87,3 +87,44 @@ def bilinear_splat_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     px = grid(spark, sf_dir).select("frame_idx", "disp", (F.col("c") + 0.8 * F.col("v")).alias("u"), (F.col("r") - 0.6 * F.col("v")).alias("v"))
     out = n.splatted_whole(px, ["disp"], SIDE, SIDE)
     return out.select("frame_idx", "r", "c", g.r6(F.col("disp")).alias("disp"), g.r6(F.col("weight")).alias("weight"))
+
+
+@query(sql("poses", "SELECT frame_idx, " + ", ".join(f"round(t{a} - 0.5 * d{a} + k * e{a}, 6) + 0.0 AS {a}" for a in "xyz") + " FROM ("
+    "SELECT *, 1 / n2 - (1 + cos(sqrt(n2))) / (2 * sqrt(n2) * sin(sqrt(n2))) AS k, py * dz - pz * dy AS ex, pz * dx - px * dz AS ey, px * dy - py * dx AS ez FROM ("
+    "SELECT *, px * px + py * py + pz * pz AS n2, py * tz - pz * ty AS dx, pz * tx - px * tz AS dy, px * ty - py * tx AS dz FROM ("
+    "SELECT frame_idx, tx, ty, tz, 10 * qx AS px, 10 * qy AS py, 10 * qz AS pz FROM poses)))"))
+def so3_inverse_jacobian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inverse left Jacobian of a rotation vector of ten times each pose's, applied to its translation."""
+    p = poses(spark, sf_dir)
+    x = g.so3_jinv(tuple(10 * F.col(f"q{a}") for a in "xyz"), tuple(F.col(f"t{a}") for a in "xyz"))
+    return p.select("frame_idx", *[g.r6(v).alias(a) for a, v in zip("xyz", x, strict=True)])
+
+
+@query(sql("poses", "SELECT frame_idx, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in g.Pose._fields) + ", round(exp(5 * tx), 6) + 0.0 AS scale FROM poses"))
+def sim3_exp_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exponential of the logarithm gives each similarity back."""
+    tau, phi, sigma = g.sim3_log(g.Similarity(g.pose(), F.exp(5 * F.col("tx"))))
+    twist = poses(spark, sf_dir).select("frame_idx", *[c.alias(f"x{k}") for k, c in enumerate((*tau, *phi, sigma))])
+    x = [F.col(f"x{k}") for k in range(7)]
+    s = g.sim3_exp(tuple(x[:3]), tuple(x[3:6]), x[6])
+    return twist.select("frame_idx", *[g.r6(c).alias(n) for n, c in s.pose.named().items()], g.r6(s.scale).alias("scale"))
+
+
+_PANORAMA = (
+    "spot AS (SELECT frame_idx, r, c, 8 * (atan2(x, z) / (2 * pi()) + 0.5) - 0.5 AS u, 8 * acos(-y / sqrt(x * x + y * y + z * z)) / pi() - 0.5 AS w FROM ("
+    "SELECT frame_idx, r, c, " + ", ".join(f"m{k}0 * (c - 4) / 2.0::DOUBLE + m{k}1 * (r - 4) / 2.0::DOUBLE + m{k}2 AS {x}" for k, x in enumerate("xyz")) + " FROM rot, range(8) a(r), range(8) b(c))), "
+    "taps AS (SELECT spot.*, (((floor(u)::BIGINT + ox) % 8) + 8) % 8 AS pc, greatest(0, least(7, floor(w)::BIGINT + oy)) AS pr, "
+    "(CASE WHEN ox = 1 THEN u - floor(u) ELSE 1 - u + floor(u) END) * (CASE WHEN oy = 1 THEN w - floor(w) ELSE 1 - w + floor(w) END) AS share FROM spot, range(2) a(ox), range(2) b(oy))"
+)
+
+
+@query(sql("grid poses", "SELECT t.frame_idx, t.r, t.c, round(sum(share * v), 5) + 0.0 AS v FROM taps t JOIN grid p ON p.frame_idx = t.frame_idx AND p.r = pr AND p.c = pc GROUP BY ALL", _ROWS, _PANORAMA))
+def panorama_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A perspective view, as each pose turns it, of every frame's grid taken as a panorama that closes on itself."""
+    eight = F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))
+    px = poses(spark, sf_dir).withColumn("r", F.explode(eight)).withColumn("c", F.explode(eight))
+    ray = ((F.col("c") - 4) / 2, (F.col("r") - 4) / 2, F.lit(1.0))
+    u, w = g.panorama_project(g.rotate(g.pose().q, ray))
+    asked = px.select("frame_idx", "r", "c", u.alias("u"), w.alias("w"))
+    found = resampling.panorama_sampled(asked, grid(spark, sf_dir).select("frame_idx", F.col("r").alias("pr"), F.col("c").alias("pc"), "v"), "frame_idx", "v", 8, 8)
+    return found.select("frame_idx", "r", "c", (F.round("v", 5) + F.lit(0.0)).alias("v"))
