@@ -94,6 +94,9 @@ def balance(counts: DataFrame, goals: DataFrame, tolerance: float = 1e-7, most_r
             s.select("source", "target", "scale", F.when(done, F.col("multiplier")).otherwise(step).alias("multiplier"), F.when(done, F.col("lo")).otherwise(F.col("lo2")).alias("lo"), F.when(done, F.col("hi")).otherwise(F.col("hi2")).alias("hi"), done.alias("done")),
             "dual",
         )
+    else:
+        if not state.where(~F.col("done")).isEmpty():
+            raise RuntimeError(f"the dual of a source isn't solved to {tolerance} after {most_rounds} rounds")
     return state.select("source", "multiplier", "scale")
 
 
