@@ -430,10 +430,14 @@ def good_label(labels: DataFrame) -> DataFrame:
 def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Both views of every row with its label (null: none), written once; the rounds then shuffle nothing.
 
-    The join is a sort-merge join at every size, as labels may be as many as documents.
+    The join is a sort-merge join at every size, as labels may be as many as documents. Rows
+    with a null id meet no label and are dealt by their words, not to one task.
     """
     known = good_label(labels).where("doc_id is not null and good is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("good").alias("good"), F.max("toxic").alias("toxic"))
-    return materialize(view_features(docs, id_col, text_col).join(known.hint("merge"), "doc_id", "left"), "views")
+    salt = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("words"), F.lit(4096)) + 1).otherwise(0).alias("salt")
+    features = view_features(docs, id_col, text_col).select("*", salt)
+    met = features.join(known.withColumn("salt", F.lit(0).cast("long")).hint("merge"), ["doc_id", "salt"], "left")
+    return materialize(met.drop("salt"), "views")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> DataFrame:
