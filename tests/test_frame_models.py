@@ -105,3 +105,20 @@ def test_correlation_lookup(spark):
                     a, b = x - x0, y - y0
                     want.append((1 - a) * (1 - b) * at(x0, y0) + a * (1 - b) * at(x0 + 1, y0) + (1 - a) * b * at(x0, y0 + 1) + a * b * at(x0 + 1, y0 + 1))
         assert np.allclose(got[i, j, r, c], want, atol=2e-4, rtol=1e-4)
+
+
+def test_long_lever_arms_of_small_turns(spark):
+    """An arm far longer than the path, under turns of a hundredth: alternation stands still long before it is found."""
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for track in range(6):
+        want[track] = np.array([2.0 + 20 * track, -0.2, 0.05])
+        for _ in range(50):
+            p, q = 0.0125 * rng.normal(size=3), np.append(0.0125 * rng.normal(size=3), 1.0)
+            q /= np.linalg.norm(q)
+            x = rotation(q) @ want[track] + p
+            rows.append((track, *map(float, p), *map(float, q), 2 * x[1] + 1, -2 * x[0], 2 * x[2] - 3))
+    df = spark.createDataFrame([tuple(map(float, r[1:])) + (r[0],) for r in rows], "tx double, ty double, tz double, qx double, qy double, qz double, qw double, b0 double, b1 double, b2 double, track long")
+    for r in trajectories.lever_arms(df, "track").collect():
+        assert [r.arm_x, r.arm_y, r.arm_z] == pytest.approx(want[r.track].tolist(), abs=1e-5) and r.scale == pytest.approx(2, abs=1e-6) and r.error < 1e-4
+        assert [r.tx, r.ty, r.tz] == pytest.approx([1, 0, -3], abs=1e-4)
