@@ -7,8 +7,10 @@ import inspect
 import math
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -113,6 +115,20 @@ def join_hot(left: DataFrame, counted: DataFrame, keys: list[str], n: str, n_row
     return found.unionByName(rest)
 
 
+def slices(batch: pa.RecordBatch, at: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text in column ``at``, a longer text alone.
+
+    A task turns a slice at a time into Python objects, which take several times its bytes.
+    """
+    size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype("int64")
+    upto, lo = size.cumsum(), 0
+    while lo < len(size):
+        hi = max(lo + 1, int(upto.searchsorted(upto[lo] - size[lo] + most, side="right")))
+        yield batch.slice(lo, hi - lo)
+        pa.default_memory_pool().release_unused()  # else a worker keeps its largest slice's memory
+        lo = hi
+
+
 def word_count(text: Column) -> Column:
     """Words of a text (null: 0), counted in the JVM."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

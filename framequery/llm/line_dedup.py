@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import join_hot, materialize, shielded
+from .common import join_hot, materialize, shielded, slices
 
 #: Lines in the rolling window; one in DIVISOR windows ends a chunk.
 WINDOW = 2
@@ -128,7 +128,7 @@ def span_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 2)):
             out: list[list] = [[] for _ in range(6)]
             for doc_id, row, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if not text:
@@ -150,7 +150,7 @@ def _texts_of(rows: DataFrame) -> DataFrame:
     schema = _SPAN + ", chunk string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 2)):
             out: list[list] = [[] for _ in range(7)]
             for doc_id, row, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 lines = text.split("\n")
@@ -217,7 +217,7 @@ def _deduped(docs: DataFrame, id_col: str, text_col: str, count_col: str | None,
     out_schema = T.StructType([*schema.fields, *([T.StructField(count_col, T.IntegerType())] if count_col else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, at)):
             columns, counts = list(b.columns[:-1]), [0] * b.num_rows
             texts = columns[at].to_pylist()
             for k, own in enumerate(b.column(b.num_columns - 1).to_pylist()):

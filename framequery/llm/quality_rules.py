@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shielded
+from .common import shielded, slices
 from pyspark.sql import types as T
 
 SYMBOLS = "#*$%&|<>"
@@ -65,7 +65,7 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, at)):
             stats = np.array([text_stats(t) for t in b.column(at).to_pylist()], np.int64).reshape(-1, len(_FIELDS))
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(stats[:, i]) for i in range(len(_FIELDS)))], names=[*b.schema.names, *names])
 

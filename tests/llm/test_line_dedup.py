@@ -1,6 +1,7 @@
 """Line dedup against a plain single-machine version, and the chunker's resistance to shifts."""
 
-from framequery.llm import line_dedup
+import pyarrow as pa
+from framequery.llm import common, line_dedup
 
 
 def plain(rows):
@@ -164,3 +165,12 @@ def test_passages_of_whole_table(spark, sf):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     got = {r.doc_id: r.text for r in line_dedup.dedup_passages(docs).select("doc_id", "text").collect()}
     assert got == plain_runs(rows)
+
+
+def test_batches_are_read_in_slices():
+    texts = ["a" * 700_000, None, "b" * 500_000, "", "c" * 3_000_000, "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["k", "text"])
+    parts = list(common.slices(batch, 1))
+    assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(6))
+    assert len(parts) > 3 and all(p.num_rows == 1 or p.nbytes < (1 << 20) + 1000 for p in parts)
+    assert not list(common.slices(batch.slice(0, 0), 1))
