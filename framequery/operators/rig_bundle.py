@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ _CAM = ("fx", "fy", "cx", "cy")
 _NONE = -(1 << 62)
 D = [f"d{n}" for n in range(DIM)]
 _OUT = "graph long, i long, v long, kind int, p long, q long, energy double, " + ", ".join(f"{c} double" for c in [*H, *D]) + ", border array<long>, r array<long>, c array<long>, free binary, taken binary"
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
+_KINDS = pa.schema([(n, _ARROW[kind]) for n, kind in (x.split() for x in _OUT.split(", "))])
 _BLOCK, _SIDE, _FACTOR = 0, 1, 2
 
 
@@ -172,51 +175,96 @@ def _variables(t: pd.DataFrame, s: Settings) -> np.ndarray:
     return out
 
 
-def _band(t: pd.DataFrame, s: Settings) -> pd.DataFrame:
-    """The sums of a band of grid rows, its disparities eliminated, and how these follow from the other variables."""
-    r, w, by_disp, slots = _linearised(t, s)
-    variables = _variables(t, s)
+def _band(t: pd.DataFrame, lin: tuple[np.ndarray, ...], variables: np.ndarray, s: Settings) -> tuple[list[tuple], np.ndarray, dict]:
+    """A band of grid rows, its disparities eliminated: (kind, p, q) and numbers of each sum, and how the disparities follow."""
+    r, w, by_disp, slots = lin
     border = [int(v) for v in np.unique(variables) if v != _NONE]
-    at = {v: k for k, v in enumerate(border)} | {_NONE: len(border)}
     m = len(border) + 1  # the last takes what isn't adjusted
+    at = np.where(variables == _NONE, m - 1, np.searchsorted(border, variables)) if border else np.zeros_like(variables)
     places, first, number = np.unique(t["r"].to_numpy() << 31 | t["c"].to_numpy(), return_index=True, return_inverse=True)
-    a, b, e = np.zeros((m, DIM, m, DIM)), np.zeros((m, DIM)), np.zeros((len(places), m, DIM))
-    for rows in t.groupby(["j", "vj"]).indices.values():
-        own = [at[int(v)] for v in variables[rows[0]]]
+    a, b, e = np.zeros((m, m, DIM, DIM)), np.zeros((m, DIM)), np.zeros((len(places), m, DIM))
+    far = t["edge"].to_numpy()
+    order = np.argsort(far, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(far[order])) + 1):
+        own = at[rows[0]]
         j = slots[rows].reshape(len(rows) * 2, 6 * DIM)
         wj = j * w[rows].reshape(-1, 1)
-        block = (j.T @ wj).reshape(6, DIM, 6, DIM)
-        side = (wj.T @ r[rows].ravel()).reshape(6, DIM)
+        np.add.at(a, (own[:, None], own[None, :]), (j.T @ wj).reshape(6, DIM, 6, DIM).transpose(0, 2, 1, 3))
+        np.add.at(b, own, (wj.T @ r[rows].ravel()).reshape(6, DIM))
         shared = np.einsum("na,nask->nsk", w[rows] * by_disp[rows], slots[rows])
-        for x in range(6):
-            b[own[x]] += side[x]
-            np.add.at(e[:, own[x]], number[rows], shared[:, x])
-            for y in range(6):
-                a[own[x], :, own[y], :] += block[x, :, y, :]
-    a, b, e = a[:-1, :, :-1, :], b[:-1], e[:, :-1]
+        if not s.motion_only:
+            np.add.at(e, (number[rows][:, None], own[None, :]), shared)
+    a, b, e = a[:-1, :-1], b[:-1], e[:, :-1]
     m -= 1
-    diagonal = np.einsum("pkpk->pk", a).copy()
-    sens, disp = t["sens"].to_numpy()[first], t["disp"].to_numpy()[first]
-    drawn = np.where(np.isnan(sens), 0.0, s.alpha)
-    c = np.bincount(number, (w * by_disp * by_disp).sum(1)) + drawn + t["eta"].to_numpy()[first] + s.ep
-    v = np.bincount(number, (w * by_disp * r).sum(1)) + drawn * np.where(np.isnan(sens), 0.0, sens - disp)
-    moves = ~t["held"].to_numpy(bool)[first] & (not s.motion_only)
-    inverse = np.where(moves, 1 / c, 0.0)
+    diagonal = np.einsum("ppkk->pk", a).copy()
     flat = e.reshape(len(places), -1)
-    a -= (flat.T @ (flat * inverse[:, None])).reshape(m, DIM, m, DIM)
-    b -= (flat.T @ (inverse * v)).reshape(m, DIM)
-    out = [(_BLOCK, border[p], border[q], np.append(a[p, :, q, :].ravel(), diagonal[p] if p == q else np.zeros(DIM))) for p in range(m) for q in range(p, m) if p == q or a[p, :, q, :].any()]
-    out += [(_SIDE, p, p, np.append(x, np.zeros(DIM * DIM))) for p, x in zip(border, b, strict=True)]
-    out.append((_FACTOR, 0, 0, np.zeros(DIM * DIM + DIM)))
-    done = pd.DataFrame(np.array([x[3] for x in out]), columns=[*H, *D])
-    for k, (name, own) in enumerate({"graph": t["graph"].iloc[0], "i": t["i"].iloc[0], "v": t["vi"].iloc[0], "kind": [x[0] for x in out], "p": [x[1] for x in out], "q": [x[2] for x in out]}.items()):
-        done.insert(k, name, own)
-    last = len(out) - 1
-    done.insert(6, "energy", [0.0] * last + [float((w * r * r).sum())])
-    lists = {"border": border, "r": places >> 31, "c": places & ((1 << 31) - 1), "free": (inverse * v).tobytes(), "taken": (flat * inverse[:, None]).tobytes()}
-    for name, value in lists.items():
-        done[name] = pd.Series([None] * last + [value], dtype=object)
-    return done
+    inverse = v = np.zeros(len(places))
+    if not s.motion_only:
+        sens, disp = t["sens"].to_numpy(float)[first], t["disp"].to_numpy()[first]
+        drawn = np.where(np.isnan(sens), 0.0, s.alpha)
+        c = np.bincount(number, (w * by_disp * by_disp).sum(1)) + drawn + t["eta"].to_numpy()[first] + s.ep
+        v = np.bincount(number, (w * by_disp * r).sum(1)) + drawn * np.where(np.isnan(sens), 0.0, sens - disp)
+        inverse = np.where(~t["held"].to_numpy(bool)[first], 1 / c, 0.0)
+        a = a - (flat.T @ (flat * inverse[:, None])).reshape(m, DIM, m, DIM).transpose(0, 2, 1, 3)
+        b = b - (flat.T @ (inverse * v)).reshape(m, DIM)
+    p, q = np.triu_indices(m)
+    some = (p == q) | a[p, q].any((1, 2))
+    p, q = p[some], q[some]
+    names = [(_BLOCK, border[x], border[y]) for x, y in zip(p, q, strict=True)] + [(_SIDE, x, x) for x in border] + [(_FACTOR, 0, 0)]
+    numbers = np.zeros((len(names), DIM * DIM + DIM))
+    numbers[: len(p), : DIM * DIM] = a[p, q].reshape(-1, DIM * DIM)
+    numbers[: len(p), DIM * DIM :][p == q] = diagonal
+    numbers[len(p) : len(p) + m, :DIM] = b
+    last = {"energy": float((w * r * r).sum())}
+    if not s.motion_only:
+        last |= {"border": border, "r": places >> 31, "c": places & ((1 << 31) - 1), "free": (inverse * v).tobytes(), "taken": (flat * inverse[:, None]).tobytes()}
+    return names, numbers, last
+
+
+def _listed(column: pa.Array) -> pd.DataFrame:
+    """The structs in a column of lists, with the row that each is from."""
+    flat = column.flatten()
+    fields = {f.name: x.to_numpy(zero_copy_only=False) for f, x in zip(flat.type, flat.flatten(), strict=True)}
+    return pd.DataFrame(fields).assign(owner=np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())))
+
+
+def _bands(b: pa.RecordBatch, s: Settings) -> pd.DataFrame | None:
+    """_band() of each row of (graph, i, vi, targets, pixels, edges); all rows are linearised together."""
+    targets, pixels, edges = (_listed(b.column(k)) for k in (3, 4, 5))
+    edges["edge"] = np.arange(len(edges))
+    t = targets.merge(edges, on=["owner", "j", "vj"]).merge(pixels, on=["owner", "r", "c"]).sort_values("owner", kind="stable", ignore_index=True)
+    if not len(t):
+        return None
+    graph, i, view = (b.column(k).to_numpy() for k in range(3))
+    owner = t["owner"].to_numpy()
+    t["i"], t["vi"] = i[owner], view[owner]
+    lin, variables = _linearised(t, s), _variables(t, s)
+    cuts = np.append(0, np.append(np.flatnonzero(np.diff(owner)) + 1, len(t)))
+    heads, names, numbers, lasts = [], [], [], {}
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        own, x, last = _band(t.iloc[lo:hi], tuple(y[lo:hi] for y in lin), variables[lo:hi], s)
+        heads += [owner[lo]] * len(own)
+        names += own
+        numbers.append(x)
+        lasts[len(names) - 1] = last
+    heads, names = np.array(heads), np.array(names)
+    done = {"graph": graph[heads], "i": i[heads], "v": view[heads], "kind": names[:, 0], "p": names[:, 1], "q": names[:, 2]}
+    energy = np.zeros(len(names))
+    for k, last in lasts.items():
+        energy[k] = last["energy"]
+    done |= {"energy": energy} | dict(zip([*H, *D], np.concatenate(numbers).T, strict=True))
+    return pd.DataFrame(done | {c: pd.Series([lasts[k].get(c) if k in lasts else None for k in range(len(names))], dtype=object) for c in ("border", "r", "c", "free", "taken")})
+
+
+def _made(b: pa.RecordBatch, s: Settings) -> Iterator[pd.DataFrame]:
+    """_bands() of slices with about 1 << 14 targets each, a larger band alone."""
+    upto, lo = b.column(3).offsets.to_numpy(), 0
+    while lo < b.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + (1 << 14), side="right")) - 1)
+        found = _bands(b.slice(lo, hi - lo), s)
+        if found is not None:
+            yield found
+        lo = hi
 
 
 def _disparity_steps(factors: DataFrame, x: DataFrame) -> DataFrame:
@@ -260,15 +308,25 @@ def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu
     """The scene after one damped Gauss-Newton step, and (graph, energy) before it.
 
     ``edges`` has (graph, i, vi, j, vj) and ``targets`` besides these r, c, tu, tv, wu, wv, one
-    row a pixel of an edge. ``mu`` (graph, mu) is used with a threshold. A band is one keyframe
+    row a pixel of an edge, without nulls. ``mu`` (graph, mu) is used with a threshold. A band is one keyframe
     view's ``s.band`` grid rows with all their edges. Steps of disparities above 10 are left
     out and they are kept at 0.001 or more; variables that no residual touches stay.
     """
     mu = edges.select("graph").distinct().withColumn("mu", F.lit(1.0)) if mu is None else mu
     px = _placed(scene.pixels, s).withColumnRenamed("v", "vi")
-    rows = targets.join(_edges(scene, edges, mu), _EDGE).join(px, ["graph", "i", "vi", "r", "c"])
-    rows = rows.withColumn("band", F.floor(F.col("r") / s.band))
-    made = written(rows.groupBy("graph", "i", "vi", "band").applyInPandas(lambda t: _band(t, s), _OUT), "bands")
+    # each side goes to a band as one list: a wide row a target and edge would be shuffled many times over
+    band, key = F.floor(F.col("r") / s.band).alias("band"), ["graph", "i", "vi"]
+    aims = targets.groupBy(*key, band).agg(F.collect_list(F.struct("j", "vj", "r", "c", *[F.col(x).cast("double").alias(x) for x in ("tu", "tv", "wu", "wv")])).alias("targets"))
+    own = px.groupBy(*key, band).agg(F.collect_list(F.struct("r", "c", *[F.col(x).cast("double").alias(x) for x in ("x", "y", "factor", "disp", "eta", "sens")], "held")).alias("pixels"))
+    ways = _edges(scene, edges, mu)
+    ways = ways.groupBy(*key).agg(F.collect_list(F.struct(*[x for x in ways.columns if x not in key])).alias("edges"))
+    met = aims.join(own, [*key, "band"]).join(ways, key).select(*key, "targets", "pixels", "edges")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for found in _made(b, s):
+                yield pa.RecordBatch.from_pandas(found, _KINDS, preserve_index=False)
+
+    made = written(met.mapInArrow(run, _OUT), "bands")
     blocks = made.where(F.col("kind") == _BLOCK).groupBy("graph", "p", "q").agg(*[F.sum(c).alias(c) for c in [*H, *D]])
     sides = made.where(F.col("kind") == _SIDE).groupBy("graph", "p").agg(*[F.sum(H[n]).alias(G[n]) for n in range(DIM)])
     steps = written(elimination.solve(_damped(blocks, s), sides), "steps")

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from framequery.operators import rig_bundle
+from pyspark.sql import functions as F
 from framequery.operators.rig_bundle import Scene, Settings, adjusted, annealed
 
 
@@ -255,3 +256,25 @@ def test_tracks_beside_pixels(spark):
     names = [("pose", k) for k in (1, 2, 3)] + [("lens", -1)] + [("disp", k) for k in plain.pixels]
     scene, _ = adjusted(scene, edges, targets, s)
     compare(scene, plain.step(names)[0])
+
+
+def test_bands_meet_as_lists(spark, monkeypatch):
+    """A band's targets, pixels and edges are shuffled apart, each once, and many bands go through one pass of a task."""
+    plans = []
+    keep = rig_bundle.written
+
+    def seen(df, name):
+        if name == "bands":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(rig_bundle, "written", seen)
+    frames = spark.createDataFrame([(0, k, k == 0, 0.01 * k, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0) for k in range(3)], "graph long, k long, fixed boolean, tx double, ty double, tz double, qx double, qy double, qz double, qw double")
+    rig = frames.where("k = 0").select("graph", F.col("k").alias("v"), *rig_bundle._POSE)
+    cams = spark.createDataFrame([(0, 0, 8.0, 8.0, 4.0, 4.0)], "graph long, v long, fx double, fy double, cx double, cy double")
+    pixels = spark.createDataFrame([(0, i, 0, r, c, 1.0, 0.1, None, False) for i in range(3) for r in range(20) for c in range(4)], "graph long, i long, v long, r long, c long, disp double, eta double, sens double, held boolean")
+    edges = spark.createDataFrame([(0, 0, 0, 1, 0), (0, 1, 0, 2, 0), (0, 2, 0, 1, 0)], "graph long, i long, vi long, j long, vj long")
+    targets = edges.join(pixels.select("i", "r", "c"), "i").select("graph", "i", "vi", "j", "vj", "r", "c", (F.col("c") + 0.1).alias("tu"), F.col("r").cast("double").alias("tv"), F.lit(1.0).alias("wu"), F.lit(1.0).alias("wv"))
+    scene, _ = rig_bundle.adjusted(rig_bundle.Scene(frames, rig, cams, pixels), edges, targets, rig_bundle.Settings())
+    assert scene.pixels.count() == 240 and scene.pixels.where("disp <> 1").count() > 0
+    assert plans and all("FlatMapGroupsInPandas" not in p and "MapInArrow" in p for p in plans[:1])
