@@ -69,7 +69,7 @@ def correlation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products of the keyframes' features (a value and twice its square), two levels, 3 x 3 about drifting coordinates."""
     px = grid(spark, sf_dir).where(F.col("frame_idx") % 5 == 0).select(F.floor(F.col("frame_idx") / 5).cast("long").alias("k"), "r", "c", "v")
     flat = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("r", "c", "v"))), lambda x: F.array(x["v"], 2 * x["v"] * x["v"])))
-    maps = px.groupBy(F.col("k").alias("frame")).agg(flat.cast("array<float>").alias("data")).select("frame", F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(2).alias("dim"), "data")
+    maps = px.groupBy(F.col("k").alias("frame")).agg(flat.alias("data")).select("frame", F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(2).alias("dim"), "data")
     coords = edges(spark, sf_dir).join(px, F.col("k") == F.col("i"))
     coords = coords.select("i", "j", "r", "c", (F.col("c") + 0.25 * (F.col("j") - F.col("i")) + 0.3 * F.col("v")).alias("u"), (F.col("r") + 0.2 * F.col("v")).alias("v"))
     found = correlation.looked_up(maps, coords, 2, 1).select("i", "j", "r", "c", F.posexplode("corr").alias("place", "corr"))

@@ -122,3 +122,33 @@ def test_long_lever_arms_of_small_turns(spark):
     for r in trajectories.lever_arms(df, "track").collect():
         assert [r.arm_x, r.arm_y, r.arm_z] == pytest.approx(want[r.track].tolist(), abs=1e-5) and r.scale == pytest.approx(2, abs=1e-6) and r.error < 1e-4
         assert [r.tx, r.ty, r.tz] == pytest.approx([1, 0, -3], abs=1e-4)
+
+
+def test_lookups_end_without_a_gathering(spark):
+    """Levels of an edge's pixels are met in one task: two shuffles of pixels fewer, and maps of unlike shapes side by side."""
+    shapes = {0: (6, 5), 1: (3, 9), 2: (1, 1)}
+    rng = np.random.default_rng(5)
+    maps = {k: rng.normal(size=(h, w, 2)).astype(np.float32) for k, (h, w) in shapes.items()}
+    df = spark.createDataFrame([(k, *x.shape, x.ravel().tolist()) for k, x in maps.items()], "frame long, h int, w int, dim int, data array<float>")
+    coords = [(i, j, r, c, c + 0.25, r + 0.5) for i, j in ((0, 1), (1, 2), (2, 0)) for r in range(shapes[i][0]) for c in range(shapes[i][1])]
+    found = correlation.looked_up(df, spark.createDataFrame(coords, "i long, j long, r long, c long, u double, v double"), 2, 1)
+    assert "collect_list(struct(level, level#" in (plan := found._jdf.queryExecution().optimizedPlan().toString()) and "collect_list(struct(level, level#" not in plan.split("MapInArrow")[0]
+    got = {(x.i, x.j, x.r, x.c): x.corr for x in found.collect()}
+    assert len(got) == len(coords) and {len(x) for (_, j, _, _), x in got.items() if j == 2} == {9} and len(got[0, 1, 0, 0]) == 18
+    at = lambda k, r, c, one: float(maps[k][r, c] @ one) / 16 if 0 <= r < shapes[k][0] and 0 <= c < shapes[k][1] else 0.0
+    for i, j, r, c, _, _ in coords:
+        one = maps[i][r, c].astype(float)
+        want = sum(wx * 0.5 * at(j, r + dr, c + dc, one) for dc, wx in ((0, 0.75), (1, 0.25)) for dr in (0, 1))
+        assert got[i, j, r, c][4] == pytest.approx(want, abs=1e-6)
+
+
+def test_shifted_products(spark):
+    rng = np.random.default_rng(6)
+    maps = {0: rng.normal(size=(3, 4)), 1: rng.normal(size=(3, 4)), 2: rng.normal(size=(2, 5))}
+    df = spark.createDataFrame([(k, *x.shape, x.ravel().tolist()) for k, x in maps.items()], "frame long, h int, w int, data array<double>")
+    found = correlation.shifted(df, spark.createDataFrame([(0, 1), (1, 2), (2, 0)], "i long, j long"), 1).collect()
+    assert len(found) == 27
+    for x in found:
+        a, b = maps[x.i], maps[x.j]
+        want = sum(a[r, c] * b[r + x.dr, c + x.dc] for r in range(a.shape[0]) for c in range(a.shape[1]) if 0 <= r + x.dr < b.shape[0] and 0 <= c + x.dc < b.shape[1])
+        assert x.corr == pytest.approx(want)
