@@ -118,6 +118,24 @@ def write_lines(rows: DataFrame, line: Column, path: str, by: str | None = None)
     (out.write.partitionBy(by) if by else out.write).text(path)
 
 
+def write_keyed_lines(rows: DataFrame, key: Column, line: Column, path: str, folders: int = 256) -> None:
+    """One text line a row, a tab after its key, in ``folders`` folders by a hash of the key, however many keys there are.
+
+    A key's lines lie in one folder. A folder a key would mean as many files, each made, moved and
+    listed one after another by the driver. Keys hold no tab; an empty one is null when read.
+    """
+    name = F.coalesce(key.cast("string"), F.lit(""))
+    out = rows.select(F.pmod(F.xxhash64(name), F.lit(folders)).cast("int").alias("folder"), F.concat(name, F.lit("\t"), F.coalesce(line, F.lit(""))).alias("value"))
+    out.repartition("folder").write.partitionBy("folder").text(path)
+
+
+def read_keyed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(key, value) of write_keyed_lines()."""
+    at = F.instr("value", "\t")
+    key = F.substring("value", F.lit(1), at - 1)
+    return spark.read.schema("value string, folder int").text(path).select(F.when(key != "", key).alias("key"), F.substring("value", at + 1, F.length("value")).alias("value"))
+
+
 def pose_line() -> Column:
     """A frame's number and its pose, translation then quaternion with the scalar last."""
     return F.concat_ws(" ", F.col("frame_idx").cast("string"), *[F.col(c).cast("string") for c in _POSE])

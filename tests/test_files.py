@@ -76,3 +76,11 @@ def test_maps(spark, tmp_path):
     files.write_map(points, edges, str(tmp_path / "map"))
     p, e = files.read_map(spark, str(tmp_path / "map"))
     assert sorted(map(tuple, p.collect())) == sorted(map(tuple, points.collect())) and sorted(map(tuple, e.collect())) == [(0, 1), (1, 2)]
+
+
+def test_keyed_lines_take_few_files(spark, tmp_path):
+    rows = [(k, n, f"{n}: a\tb") for k in [*range(300), None] for n in range(2)]
+    files.write_keyed_lines(spark.createDataFrame(rows, "k long, n long, line string"), F.col("k"), F.col("line"), str(tmp_path / "lines"), 8)
+    assert len(list((tmp_path / "lines").glob("folder=*/part-*"))) <= 8
+    read = files.read_pairs(files.read_keyed_lines(spark, str(tmp_path / "lines")), "n", "text", F.col("key").cast("long").alias("k"))
+    assert sorted(map(str, read.collect())) == sorted(f"Row(k={k}, n={n}, text='a\\tb')" for k, n, _ in rows)
