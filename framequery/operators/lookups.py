@@ -46,13 +46,33 @@ def k_nearest(queries: DataFrame, points: DataFrame, k: int, cell: float, axes:
     return best.select(*by, "q_id", "rank", "p_id", "d2")
 
 
-def k_nearest_whole(queries: DataFrame, points: DataFrame, k: int, cell: float, axes: tuple[str, ...] = ("x", "y", "z"), by: tuple[str, ...] = ()) -> DataFrame:
+def _fitting(points: DataFrame, k: int, cell: float, axes: tuple[str, ...], by: tuple[str, ...]) -> float:
+    """A cell no wider than ``cell`` that holds, as a point sees it, at most eight times ``k`` points.
+
+    Each try counts the points of all cells, of which one row comes back.
+    """
+    for _ in range(8):
+        own = points.groupBy(*by, *[F.floor(F.col(f"p_{a}") / cell).alias(f"__c{a}") for a in axes]).agg(F.count(F.lit(1)).cast("double").alias("n"))
+        met = own.agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("met")).first()["met"]
+        if met is None or met <= 8 * k:
+            break
+        cell *= max(0.05, (4 * k / met) ** (1 / len(axes)))
+    return cell
+
+
+def k_nearest_whole(queries: DataFrame, points: DataFrame, k: int, cell: float, axes: tuple[str, ...] = ("x", "y", "z"), by: tuple[str, ...] = (), dense: bool = False) -> DataFrame:
     """(by, q_id, rank, p_id, d2): the ``k`` nearest points of equal ``by`` at any distance (all, if fewer), ties to smaller ids.
 
     Queries whose k-th neighbour isn't within a cell go on to cells four times wider, until
     none is left or a cell is wider than all there is. Only queries far from most points
-    come that far; wide cells hold many points and are dealt to several tasks.
+    come that far; wide cells hold many points and are dealt to several tasks. Where points may
+    be ``dense``, the first cell is narrowed until it holds few, cells grow twofold, and of points
+    at one place only the ``k`` of smallest ids are met, as no other can be among the nearest.
     """
+    if dense:
+        place = Window.partitionBy(*by, *[f"p_{a}" for a in axes]).orderBy("p_id")
+        points = written(points.withColumn("__n", F.row_number().over(place)).where(F.col("__n") <= k).drop("__n"), "points")
+        cell = _fitting(points, k, cell, axes, by)
     span = lambda rows, side: rows.agg(*[f(f"{side}_{a}") for a in axes for f in (F.min, F.max)]).first()
     both = [(x, y) for x, y in zip(span(queries, "q"), span(points, "p"), strict=True) if x is not None and y is not None]
     reach = sum((max(hi) - min(lo)) ** 2 for lo, hi in zip(both[::2], both[1::2], strict=True)) ** 0.5
@@ -68,7 +88,7 @@ def k_nearest_whole(queries: DataFrame, points: DataFrame, k: int, cell: float,
         left = written(left.join(proven, [*by, "q_id"], "left_anti").select(queries.columns), "left")
         if left.isEmpty():
             return found
-        wide, salts = 4 * wide, min(64, 2 * salts)
+        wide, salts = (2 if dense else 4) * wide, min(64, 2 * salts)
 
 
 def in_range(rows: DataFrame, low: Column, high: Column, out: str) -> DataFrame:

@@ -81,7 +81,7 @@ def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = poses(spark, sf_dir)
     q = p.where(F.col("frame_idx") % 10 == 0).select(F.col("frame_idx").alias("q_id"), F.col("tx").alias("q_x"), F.col("ty").alias("q_y"), F.col("tz").alias("q_z"))
     pts = p.select(F.col("frame_idx").alias("p_id"), F.col("tx").alias("p_x"), F.col("ty").alias("p_y"), F.col("tz").alias("p_z"))
-    near = lookups.k_nearest_whole(q, pts, 4, 0.01)
+    near = lookups.k_nearest_whole(q, pts, 4, 0.01, dense=True)
     return near.select("q_id", F.col("rank").cast("long").alias("rank"), "p_id", g.r6(F.col("d2")).alias("d2"))
 
 

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+
 from framequery.operators import lookups
 from framequery.plans import windows
 
@@ -25,3 +27,24 @@ def test_k_nearest_at_any_distance(spark):
     d2 = lambda a, b: sum(((x - y) * (x - y) for x, y in zip(a, b, strict=True)), 0.0)
     want = {(i, n + 1): j for i, a in enumerate(at) for n, (_, j) in enumerate(sorted((d2(a, b), j) for j, b in enumerate(at))[:4])}
     assert got == want
+
+
+def test_cells_narrow_where_points_are_dense(spark, monkeypatch):
+    """Many points and copies in one cell: the first cell narrows, and the nearest are the same."""
+    rng = np.random.default_rng(12)
+    at = [*rng.uniform(0, 0.009, (400, 3)).tolist(), *[[0.001, 0.002, 0.003]] * 60, [0.5, 0.5, 0.5]]
+    rows = [(k, *x) for k, x in enumerate(at)]
+    frame = lambda side: spark.createDataFrame(rows, f"{side}_id long, {side}_x double, {side}_y double, {side}_z double")
+    cells, plain = [], lookups.k_nearest
+
+    def noted(queries, points, k, cell, *more):
+        cells.append((cell, points.count()))
+        return plain(queries, points, k, cell, *more)
+
+    monkeypatch.setattr(lookups, "k_nearest", noted)
+    got = {(r.q_id, r["rank"]): r.p_id for r in lookups.k_nearest_whole(frame("q").where("q_id % 20 = 0"), frame("p"), 4, 0.01, dense=True).collect()}
+    assert cells[0][0] < 0.006 and cells[0][1] == 400 + 4 + 1
+    p = np.array(at)
+    for q in range(0, len(at), 20):
+        d = ((p - p[q]) ** 2).sum(1)
+        assert [got[q, n + 1] for n in range(4)] == sorted(range(len(at)), key=lambda k: (d[k], k))[:4]
