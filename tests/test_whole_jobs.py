@@ -5,7 +5,7 @@ import math
 import numpy as np
 
 from framequery.operators import lookups
-from framequery.plans import windows
+from framequery.plans import maps, windows
 
 
 def test_ema_scale_of_a_long_stream(spark, monkeypatch):
@@ -48,3 +48,26 @@ def test_cells_narrow_where_points_are_dense(spark, monkeypatch):
     for q in range(0, len(at), 20):
         d = ((p - p[q]) ** 2).sum(1)
         assert [got[q, n + 1] for n in range(4)] == sorted(range(len(at)), key=lambda k: (d[k], k))[:4]
+
+
+def test_nearest_lists_at_any_distance(spark):
+    """Pixels of several cells, groups with few points or none, and queries that only wider cells answer."""
+    rng = np.random.default_rng(14)
+    at = {f: [(r, c) for r in range(9) for c in range(14)] for f in (1, 2, 3)}
+    some = {1: rng.choice(126, 40, replace=False).tolist(), 2: [0, 5], 3: []}
+    q = spark.createDataFrame([(f, k, *x) for f in at for k, x in enumerate(at[f])], "f long, q_id long, q_r long, q_c long")
+    p = spark.createDataFrame([(f, k, *at[f][k], f"{f}-{k}") for f in at for k in some[f]], "f long, p_id long, p_r long, p_c long, name string")
+    want = {}
+    for f in (1, 2):
+        for n, (r, c) in enumerate(at[f]):
+            want[f, n] = sorted((float((r - at[f][k][0]) ** 2 + (c - at[f][k][1]) ** 2), k, f"{f}-{k}") for k in some[f])[:3]
+    for cell in (2.0, 4.0, 32.0):
+        rows = lookups.nearest_lists(q, p, 3, cell, ("r", "c"), ("f",), ("name",)).collect()
+        assert len(rows) == len(want) and {(x.f, x.q_id): [tuple(y) for y in x.near] for x in rows} == want
+
+
+def test_small_frames_meet_as_lists(spark, sf, monkeypatch):
+    """Frames no wider than a cell are fitted and filled without a row a pair of pixels."""
+    monkeypatch.setattr(lookups, "k_nearest", lambda *_: 1 / 0)
+    assert maps.knn_weighted_fit(spark, sf).count() == 500 * 64
+    assert maps.map_infill_nn(spark, sf).count() > 0
