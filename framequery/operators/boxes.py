@@ -3,19 +3,25 @@
 A box can only be suppressed by a better one that overlaps it by more than the threshold;
 pairs that do meet through cells of a grid as wide as the boxes are. Then every undecided box without
 an undecided better neighbour is kept and its neighbours go, all at once, until none is left:
-what a walk in order of score would keep, without any group in one task.
+what a walk in order of score would keep, without any large group in one task. Groups of few
+boxes are walked, as one list each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .written import written
 
 _SIDES = ("x0", "y0", "x1", "y1")
+#: The most boxes of a group that is walked.
+TOGETHER = 512
 
 
 def overlap(a: str, b: str) -> Column:
@@ -50,15 +56,58 @@ def neighbours(boxes: DataFrame, by: str, threshold: float) -> DataFrame:
     return met.select(by, F.when(first, F.col("a_id")).otherwise(F.col("b_id")).alias("better"), F.when(first, F.col("b_id")).otherwise(F.col("a_id")).alias("worse")).distinct()
 
 
+def _walked(score: np.ndarray, ids: np.ndarray, sides: list[np.ndarray], threshold: float) -> np.ndarray:
+    """The places of the boxes of one group that a walk from the highest score down keeps."""
+    order = np.lexsort((ids, -score, ~np.isnan(score)))  # NaN is the highest, as in Spark
+    x0, y0, x1, y1 = (s[order] for s in sides)
+    least, greatest = np.minimum.outer, np.maximum.outer
+    both = np.maximum(least(x1, x1) - greatest(x0, x0), 0.0) * np.maximum(least(y1, y1) - greatest(y0, y0), 0.0)
+    area = (x1 - x0) * (y1 - y0)
+    union = area[:, None] + area - both
+    over = np.divide(both, union, out=np.zeros_like(both), where=union > 0) > threshold
+    kept = np.ones(len(order), bool)
+    for k in range(len(order)):
+        if kept[k]:
+            kept[k + 1 :] &= ~over[k, k + 1 :]
+    return order[kept]
+
+
+def _small(boxes: DataFrame, by: str, threshold: float) -> DataFrame:
+    """suppressed() of groups that each fit a task as a list."""
+    names = boxes.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ends, rows = b.column(0).offsets.to_numpy(), b.column(0).flatten()
+            ends, fields = ends - ends[0], dict(zip([f.name for f in rows.type], rows.flatten(), strict=True))
+            number = lambda n: fields[n].to_numpy(zero_copy_only=False)
+            score, ids, sides = number("score").astype(float), number("id"), [number(s).astype(float) for s in _SIDES]
+            with np.errstate(invalid="ignore", over="ignore"):
+                kept = [lo + _walked(score[lo:hi], ids[lo:hi], [s[lo:hi] for s in sides], threshold) for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+            at = pa.array(np.concatenate([np.zeros(0, np.int64), *kept]))
+            yield pa.RecordBatch.from_arrays([fields[c].take(at) for c in names], names=names)
+
+    return boxes.groupBy(by).agg(F.collect_list(F.struct(*boxes.columns)).alias("rows")).select("rows").mapInArrow(run, boxes.schema)
+
+
 def suppressed(boxes: DataFrame, by: str, threshold: float = 0.7) -> DataFrame:
     """The rows of (by, id, score, x0, y0, x1, y1, ...) that greedy suppression keeps, all columns as they were.
 
     Boxes go from the highest score down, ties by smaller id; each that overlaps none kept
     before by more than ``threshold`` is kept. Ids are unique within ``by``. Rows with a null among
-    those columns, or with a negative width or height, are left out. The number of rounds is the longest chain
-    of ever worse boxes that overlap one another.
+    those columns, or with a negative width or height, are left out. Groups of at most TOGETHER boxes are
+    walked in a task each; the number of rounds of larger ones is the longest chain of ever worse
+    boxes that overlap one another.
     """
     good = boxes.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (by, "id", "score", *_SIDES)]) & (F.col("x1") >= F.col("x0")) & (F.col("y1") >= F.col("y0")))
+    large = written(good.groupBy(by).count().where(F.col("count") > TOGETHER).select(by), "large")
+    if large.isEmpty():
+        return _small(good, by, threshold)
+    return _small(good.join(large, by, "left_anti"), by, threshold).unionByName(_in_rounds(good.join(large, by, "left_semi"), by, threshold)).select(boxes.columns)
+
+
+def _in_rounds(good: DataFrame, by: str, threshold: float) -> DataFrame:
+    """suppressed() of groups of any size."""
     alone = written(good.select(by, "id", F.col("score").cast("double").alias("score"), *_SIDES), "boxes")
     if threshold < 1:
         # of boxes with equal sides only the best can stay; no pairs among them
@@ -76,4 +125,4 @@ def suppressed(boxes: DataFrame, by: str, threshold: float = 0.7) -> DataFrame:
         left = written(left.join(now, [by, "id"], "left_anti").join(gone, [by, "id"], "left_anti"), "left")
         both = left.withColumnRenamed("id", "better"), left.withColumnRenamed("id", "worse")
         pairs = written(pairs.join(both[0], [by, "better"], "left_semi").join(both[1], [by, "worse"], "left_semi").select(by, "better", "worse"), "pairs")
-    return good.join(reduce(DataFrame.unionByName, kept), [by, "id"], "left_semi").select(boxes.columns) if kept else good.limit(0).select(boxes.columns)
+    return good.join(reduce(DataFrame.unionByName, kept), [by, "id"], "left_semi").select(good.columns) if kept else good.limit(0)

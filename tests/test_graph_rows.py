@@ -4,6 +4,7 @@ import random
 
 import pytest
 from framequery.operators import boxes, factor_log
+from framequery.plans import graph_rows
 
 
 def plain(events, most):
@@ -99,3 +100,22 @@ def test_suppression(spark, threshold):
         got.setdefault(r.f, set()).add(r.id)
     assert got == {f: walk(own, threshold) for f, own in frames.items()}
     assert boxes.suppressed(df.limit(0), "f", threshold).count() == 0
+
+
+def test_suppression_of_large_groups(spark, monkeypatch):
+    """Groups too large for a walk go through rounds, with the same result beside small ones."""
+    rnd = random.Random(10)
+    frames = {f: [(k, rnd.randint(0, 9) / 10, (x, y, x + rnd.uniform(0, 4), y + rnd.uniform(0, 4))) for k, x, y in ((k, rnd.uniform(0, 9), rnd.uniform(0, 9)) for k in range(n))] for f, n in ((1, 30), (2, 8), (3, 1), (4, 9))}
+    frames[5] = [(k, 1 - k / 100, (k * 0.6, 0.0, k * 0.6 + 1, 1.0)) for k in range(10)]
+    df = spark.createDataFrame([(f, k, s, *box) for f, own in frames.items() for k, s, box in own], "f long, id long, score double, x0 double, y0 double, x1 double, y1 double")
+    for most in (8, 0):
+        monkeypatch.setattr(boxes, "TOGETHER", most)
+        got = {}
+        for r in boxes.suppressed(df, "f", 0.2).collect():
+            got.setdefault(r.f, set()).add(r.id)
+        assert got == {f: walk(own, 0.2) for f, own in frames.items()}
+
+
+def test_small_groups_meet_no_pairs(spark, sf, monkeypatch):
+    monkeypatch.setattr(boxes, "neighbours", lambda *_: 1 / 0)
+    assert graph_rows.box_suppression(spark, sf).count() > 500
