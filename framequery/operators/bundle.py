@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from framequery.functions import geometry as g
 
-from . import elimination
+from . import elimination, rig_bundle
 from .written import written
 
 DIM = 6
@@ -138,16 +138,26 @@ def relative(cams: DataFrame, edges: DataFrame) -> DataFrame:
 def adjusted(cams: DataFrame, pixels: DataFrame, edges: DataFrame, targets: DataFrame, cam: g.Camera, graph: Callable[[Column], Column], fixed: Callable[[Column], Column], pose_damping: tuple[float, float] = (1e-4, 0.1), depth_damping: tuple[float, float] = (0.0, 1e-3), sensed: DataFrame | None = None, alpha: float = 0.0, share: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """World-to-camera poses (k, tx..qw) and disparities (i, r, c, disp) after one damped Gauss-Newton step, ``share`` of it.
 
-    Residuals, disparities' blocks and steps are written, as several sums read each.
+    The step is a rig's of one view that stays: bands of a keyframe's rows meet their edges as
+    lists, and no row an edge and pixel is written. Edges are within graphs; a pixel that no
+    edge sees follows its sensed disparity alone.
     """
-    res = written(residuals(pixels, relative(cams, edges), targets, cam), "residuals")
-    blocks, rhs = normal_equations(res)
-    depths = written(depth_system(res, pixels, *depth_damping, sensed, alpha), "depths")
-    steps = written(pose_steps(*eliminated(blocks, rhs, depths, *pose_damping), graph, fixed), "steps")
+    of = lambda c: graph(F.col(c)).cast("long").alias("graph")
+    view = lambda n: F.lit(0).cast("long").alias(n)
+    frames = cams.select(of("k"), "k", *g.Pose._fields, fixed(F.col("k")).alias("fixed"))
+    graphs = written(frames.select("graph").distinct(), "graphs")
+    rig = graphs.select("graph", view("v"), *[F.lit(float(m == "qw")).alias(m) for m in g.Pose._fields])
+    lens = graphs.select("graph", view("v"), *[F.lit(float(getattr(cam, n))).alias(n) for n in ("fx", "fy", "cx", "cy")])
+    px = pixels.join(sensed, ["i", "r", "c"], "left") if sensed is not None else pixels.withColumn("sens", F.lit(None).cast("double"))
+    px = px.select(of("i"), "i", view("v"), "r", "c", "disp", F.lit(0.0).alias("eta"), "sens", F.lit(False).alias("held"))
+    aims = targets.select(of("i"), "i", view("vi"), "j", view("vj"), "r", "c", "tu", "tv", F.col("weight").alias("wu"), F.col("weight").alias("wv"))
+    pairs = edges.select(of("i"), "i", view("vi"), "j", view("vj"))
+    s = rig_bundle.Settings(pose=pose_damping, depth=depth_damping[0], ep=depth_damping[1], alpha=alpha)
+    made, steps = rig_bundle.solved(rig_bundle.Scene(frames, rig, lens, px), pairs, aims, s, graphs.withColumn("mu", F.lit(1.0)))
     moved = cams.join(steps.withColumnRenamed("p", "k"), "k", "left").select("k", *g.Pose._fields, *[(share * F.coalesce(f"x{n}", F.lit(0.0))).alias(f"x{n}") for n in range(DIM)])
     x = [F.col(f"x{n}") for n in range(DIM)]
     poses = moved.select("k", *[c.alias(m) for m, c in g.compose(g.se3_exp(tuple(x[:3]), tuple(x[3:])), g.pose()).named().items()])
-    shifted = pixels.join(depth_steps(depths, steps), ["i", "r", "c"], "left")
+    shifted = pixels.join(rig_bundle.disparity_steps(made, steps).select("i", "r", "c", "step"), ["i", "r", "c"], "left")
     new = shifted.select("i", "r", "c", retracted_disparity(F.col("disp"), share * F.coalesce("step", F.lit(0.0))).alias("disp"))
     return written(poses, "poses"), written(new, "disparities")
 

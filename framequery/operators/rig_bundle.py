@@ -42,7 +42,8 @@ class Settings:
     """Dampings are (share of the diagonal, plus a constant); ``factor`` is the image's size over the grid's.
 
     Where ``rig`` holds, rotations of all views but view 0 are adjusted; where ``focal`` holds,
-    focal lengths are, of each view or one for all. ``alpha`` draws sensed disparities.
+    focal lengths are, of each view or one for all. A disparity's diagonal is raised by ``depth`` of
+    itself and ``ep``. ``alpha`` draws sensed disparities.
     ``threshold`` of residuals turns the annealed weights on.
     """
 
@@ -50,6 +51,7 @@ class Settings:
     turn: tuple[float, float] = (1e-4, 1e-4)
     lens: tuple[float, float] = (1e-6, 1e-6)
     ep: float = 1e-7
+    depth: float = 0.0
     alpha: float = 0.0
     factor: float = 1.0
     rig: bool = False
@@ -202,7 +204,8 @@ def _band(t: pd.DataFrame, lin: tuple[np.ndarray, ...], variables: np.ndarray, s
     if not s.motion_only:
         sens, disp = t["sens"].to_numpy(float)[first], t["disp"].to_numpy()[first]
         drawn = np.where(np.isnan(sens), 0.0, s.alpha)
-        c = np.bincount(number, (w * by_disp * by_disp).sum(1)) + drawn + t["eta"].to_numpy()[first] + s.ep
+        c = np.bincount(number, (w * by_disp * by_disp).sum(1))
+        c = (c + drawn) * (1 + s.depth) + t["eta"].to_numpy()[first] + s.ep
         v = np.bincount(number, (w * by_disp * r).sum(1)) + drawn * np.where(np.isnan(sens), 0.0, sens - disp)
         inverse = np.where(~t["held"].to_numpy(bool)[first], 1 / c, 0.0)
         a = a - (flat.T @ (flat * inverse[:, None])).reshape(m, DIM, m, DIM).transpose(0, 2, 1, 3)
@@ -276,11 +279,14 @@ def _disparity_steps(factors: DataFrame, x: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            made = []
             for t in b.to_dict("records"):
                 step = np.frombuffer(t["free"])
                 if t["met"] is not None and len(t["met"]):
                     step = step - np.frombuffer(t["taken"]).reshape(len(step), -1) @ np.concatenate([np.asarray(k["x"], float) for k in t["met"]])
-                yield pd.DataFrame({"graph": t["graph"], "i": t["i"], "v": t["v"], "r": np.asarray(t["r"]), "c": np.asarray(t["c"]), "step": step})
+                made.append((np.full(len(step), t["graph"]), np.full(len(step), t["i"]), np.full(len(step), t["v"]), np.asarray(t["r"]), np.asarray(t["c"]), step))
+            if made:
+                yield pd.DataFrame(dict(zip(("graph", "i", "v", "r", "c", "step"), map(np.concatenate, zip(*made, strict=True)), strict=True)))
 
     joined = keyed.join(met, "band", "left").select("graph", "i", "v", "r", "c", "free", "taken", "met")
     return joined.mapInPandas(run, "graph long, i long, v long, r long, c long, step double")
@@ -304,14 +310,8 @@ def _stepped(rows: DataFrame, steps: DataFrame, key: str, number: Column, keep:
     return met.select("graph", key, *keep, *[c.alias(n) for n, c in moved.named().items()])
 
 
-def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu: DataFrame | None = None) -> tuple[Scene, DataFrame]:
-    """The scene after one damped Gauss-Newton step, and (graph, energy) before it.
-
-    ``edges`` has (graph, i, vi, j, vj) and ``targets`` besides these r, c, tu, tv, wu, wv, one
-    row a pixel of an edge, without nulls. ``mu`` (graph, mu) is used with a threshold. A band is one keyframe
-    view's ``s.band`` grid rows with all their edges. Steps of disparities above 10 are left
-    out and they are kept at 0.001 or more; variables that no residual touches stay.
-    """
+def solved(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The written bands' sums and (graph, p, x0..x5), the step of every variable but the disparities; of the same tables as adjusted()."""
     mu = edges.select("graph").distinct().withColumn("mu", F.lit(1.0)) if mu is None else mu
     px = _placed(scene.pixels, s).withColumnRenamed("v", "vi")
     # each side goes to a band as one list: a wide row a target and edge would be shuffled many times over
@@ -321,6 +321,7 @@ def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu
     ways = _edges(scene, edges, mu)
     ways = ways.groupBy(*key).agg(F.collect_list(F.struct(*[x for x in ways.columns if x not in key])).alias("edges"))
     met = aims.join(own, [*key, "band"]).join(ways, key).select(*key, "targets", "pixels", "edges")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for found in _made(b, s):
@@ -329,7 +330,23 @@ def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu
     made = written(met.mapInArrow(run, _OUT), "bands")
     blocks = made.where(F.col("kind") == _BLOCK).groupBy("graph", "p", "q").agg(*[F.sum(c).alias(c) for c in [*H, *D]])
     sides = made.where(F.col("kind") == _SIDE).groupBy("graph", "p").agg(*[F.sum(H[n]).alias(G[n]) for n in range(DIM)])
-    steps = written(elimination.solve(_damped(blocks, s), sides), "steps")
+    return made, written(elimination.solve(_damped(blocks, s), sides), "steps")
+
+
+def disparity_steps(made: DataFrame, steps: DataFrame) -> DataFrame:
+    """(graph, i, v, r, c, step) of the disparities, once solved() has found the others' steps."""
+    return _disparity_steps(made.where(F.col("kind") == _FACTOR).select("graph", "i", "v", "border", "r", "c", "free", "taken"), steps)
+
+
+def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu: DataFrame | None = None) -> tuple[Scene, DataFrame]:
+    """The scene after one damped Gauss-Newton step, and (graph, energy) before it.
+
+    ``edges`` has (graph, i, vi, j, vj) and ``targets`` besides these r, c, tu, tv, wu, wv, one
+    row a pixel of an edge, without nulls. ``mu`` (graph, mu) is used with a threshold. A band is one keyframe
+    view's ``s.band`` grid rows with all their edges. Steps of disparities above 10 are left
+    out and they are kept at 0.001 or more; variables that no residual touches stay.
+    """
+    made, steps = solved(scene, edges, targets, s, mu)
     frames = written(_stepped(scene.frames, steps, "k", F.col("k"), ["fixed"], False), "frames")
     rig = written(_stepped(scene.rig, steps, "v", -1 - 2 * F.col("v"), [], True), "rig") if s.rig else scene.rig
     cams = scene.cams
@@ -340,7 +357,7 @@ def adjusted(scene: Scene, edges: DataFrame, targets: DataFrame, s: Settings, mu
         cams = written(met.select("graph", "v", (F.col("fx") + wider).alias("fx"), (F.col("fy") + wider).alias("fy"), "cx", "cy"), "cams")
     pixels = scene.pixels
     if not s.motion_only:
-        found = _disparity_steps(made.where(F.col("kind") == _FACTOR).select("graph", "i", "v", "border", "r", "c", "free", "taken"), steps)
+        found = disparity_steps(made, steps)
         moved = pixels.join(found, ["graph", "i", "v", "r", "c"], "left")
         step = F.coalesce("step", F.lit(0.0))
         dense = F.greatest(F.lit(1e-3), F.col("disp") + F.when(step > 10, 0.0).otherwise(step))

@@ -261,6 +261,30 @@ def test_bundle_rounds_lower_the_energy(spark, sf):
     assert after < 0.9 * before
 
 
+def test_bundle_step_without_a_row_a_residual(spark, sf, monkeypatch):
+    """The step of whole bands is the one of residuals summed a row an edge and pixel, which it doesn't make."""
+    p = frames.poses(spark, sf).where("frame_idx % 5 = 0 AND frame_idx < 25")
+    cams = p.select((F.col("frame_idx") / 5).cast("long").alias("k"), *[c.alias(m) for m, c in g.inverse(g.pose()).named().items()])
+    px = frames.grid(spark, sf).where("frame_idx % 5 = 0 AND frame_idx < 25").select((F.col("frame_idx") / 5).cast("long").alias("i"), "r", "c", "disp")
+    e = frames.edges(spark, sf).where("i < 5 AND j < 5")
+    targets = px.select("i", "r", "c").join(e, "i").select("i", "j", "r", "c", (F.col("c") + 0.3).alias("tu"), (F.col("r") - 0.2).alias("tv"), (0.1 + 0.01 * F.col("r")).alias("weight"))
+    sensed = px.where("c % 2 = 0").select("i", "r", "c", (F.col("disp") + 0.1).alias("sens"))
+    res = bundle.residuals(px, bundle.relative(cams, e), targets, maps.CAM).cache()
+    depths = bundle.depth_system(res, px, 0.1, 1e-3, sensed, 0.3)
+    steps = bundle.pose_steps(*bundle.eliminated(*bundle.normal_equations(res), depths, 1e-2, 0.5), lambda k: F.lit(0), lambda k: k == 0)
+    want = {(r.i, r.r, r.c): r.step for r in bundle.depth_steps(depths, steps).collect()}
+    monkeypatch.setattr(bundle, "residuals", lambda *_: 1 / 0)
+    moved, new = bundle.adjusted(cams, px, e, targets, maps.CAM, lambda k: F.lit(0), lambda k: k == 0, (1e-2, 0.5), (0.1, 1e-3), sensed, 0.3, 0.5)
+    old = {(r.i, r.r, r.c): r.disp for r in px.collect()}
+    got = {(r.i, r.r, r.c): r.disp for r in new.collect()}
+    assert len(got) == len(old) and all(got[s] == pytest.approx(max(1e-3, old[s] + 0.5 * want[s]), abs=1e-9) for s in old)
+    x = [0.5 * F.col(f"x{k}") for k in range(6)]
+    there = cams.join(steps.withColumnRenamed("p", "k"), "k").select("k", *[c.alias(m) for m, c in g.compose(g.se3_exp(tuple(x[:3]), tuple(x[3:])), g.pose()).named().items()])
+    there = {r.k: list(r)[1:] for r in there.unionByName(cams.where("k = 0")).collect()}
+    moved = {r.k: list(r)[1:] for r in moved.select("k", *g.Pose._fields).collect()}
+    assert sorted(moved) == sorted(there) and all(np.allclose(moved[k], there[k], atol=1e-9) for k in there)
+
+
 def test_similarities_undo_and_compose(spark):
     rng = np.random.default_rng(21)
     n = lambda v: v / np.linalg.norm(v)
