@@ -125,6 +125,7 @@ def panorama_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     px = poses(spark, sf_dir).withColumn("r", F.explode(eight)).withColumn("c", F.explode(eight))
     ray = ((F.col("c") - 4) / 2, (F.col("r") - 4) / 2, F.lit(1.0))
     u, w = g.panorama_project(g.rotate(g.pose().q, ray))
-    asked = px.select("frame_idx", "r", "c", u.alias("u"), w.alias("w"))
+    # one struct a row: plain columns would be computed anew wherever they are used
+    asked = px.select("frame_idx", "r", "c", F.explode(F.array(F.struct(u.alias("u"), w.alias("w")))).alias("at")).select("frame_idx", "r", "c", "at.u", "at.w")
     found = resampling.panorama_sampled(asked, grid(spark, sf_dir).select("frame_idx", F.col("r").alias("pr"), F.col("c").alias("pc"), "v"), "frame_idx", "v", 8, 8)
     return found.select("frame_idx", "r", "c", (F.round("v", 5) + F.lit(0.0)).alias("v"))

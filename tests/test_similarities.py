@@ -46,3 +46,27 @@ def test_panorama_edges(spark):
     asked = spark.createDataFrame([(0, 1, 0.0, 0.5), (0, 2, 1.0, 0.5), (0, 3, 0.375, 0.0), (0, 4, 0.375, 1.0), (0, 5, None, 0.5), (0, 6, float("nan"), 0.5)], "f long, id long, u double, w double")
     got = {r.id: r.v for r in resampling.panorama_sampled(asked, pano, "f", "v", 2, 4).collect()}
     assert got == {1: 6.5, 2: 6.5, 3: 1.0, 4: 11.0, 5: None, 6: None}
+
+
+def test_panorama_blocks(spark):
+    """Places of a panorama of many blocks, pixels missing, null or given twice, without a row a pixel of a place."""
+    rng = np.random.default_rng(15)
+    height, width = 11, 19
+    pixels = [(f, r, c, float(rng.normal())) for f in (0, 1) for r in range(height) for c in range(width) if rng.random() < 0.9]
+    pixels += [(0, 3, 4, 2.5), (0, 5, 18, None), (None, 2, 2, 9.0)]
+    v = {}
+    for f, r, c, x in pixels:
+        v[f, r, c] = v.get((f, r, c), 0.0) + (x or 0.0)
+    places = [(int(f), k, float(u), float(w)) for k, (f, u, w) in enumerate(zip(rng.integers(0, 3, 400), rng.uniform(-0.2, 1.2, 400), rng.uniform(-0.2, 1.2, 400), strict=True))]
+    pano = spark.createDataFrame(pixels, "f long, pr long, pc long, v double")
+    found = resampling.panorama_sampled(spark.createDataFrame(places, "f long, id long, u double, w double"), pano, "f", "v", height, width)
+    # before, places were dealt to their pixels and gathered by an Aggregate above the join
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Join LeftOuter")]
+    got = {r.id: r.v for r in found.collect()}
+    assert len(got) == 400
+    for f, k, u, w in places:
+        x, y = u * width - 0.5, w * height - 0.5
+        x0, y0 = int(np.floor(x)), int(np.floor(y))
+        want = sum((x - x0 if a else 1 - x + x0) * (y - y0 if b else 1 - y + y0) * v.get((f, max(0, min(height - 1, y0 + b)), (x0 + a) % width), 0.0) for a in (0, 1) for b in (0, 1))
+        assert abs(got[k] - want) < 1e-12
