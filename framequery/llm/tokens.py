@@ -122,7 +122,7 @@ class Encoder:
         parts = cut(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts)
         coded = parts.flatten().dictionary_encode()
         bounds, code = parts.offsets.to_numpy(), coded.indices.to_numpy()
-        used = coded.dictionary.to_pylist()
+        used = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist()
         if len(self.known) > MOST_KEPT:
             self._forget()
         new = [p for p in used if p not in self.known]
